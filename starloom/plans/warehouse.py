@@ -130,12 +130,23 @@ def merge_facts(new_facts: dict[str, DataFrame], current: dict[str, DataFrame],
 
 
 def run_elt(spark: SparkSession, source_root: str, warehouse_root: str, run_ts, run_id: str,
-            source_format: str = "parquet", match: str = "latest") -> dict[tuple[str, str], str]:
+            source_format: str = "parquet", match: str = "latest",
+            timings: dict[str, float] | None = None) -> dict[tuple[str, str], str]:
     """Extract -> land -> staging upserts -> dimensions -> facts -> manifest.
 
     Each layer is written, then read back by the next, so stages share one
-    consistent snapshot and lineage stays short.
+    consistent snapshot and lineage stays short. ``timings`` (optional)
+    receives wall-clock seconds per phase.
     """
+    import time
+    clock = [time.perf_counter()]
+
+    def lap(phase: str) -> None:
+        now = time.perf_counter()
+        if timings is not None:
+            timings[phase] = round(now - clock[0], 3)
+        clock[0] = now
+
     prev = latest_manifest(spark, warehouse_root)
     read = spark.read.parquet
     paths: dict[tuple[str, str], str] = {}
@@ -147,6 +158,7 @@ def run_elt(spark: SparkSession, source_root: str, warehouse_root: str, run_ts,
         land_table(df, p)
         paths[("landing", name)] = p
     landed = {n: read(paths[("landing", n)]) for n in sources}
+    lap("extract_land")
 
     # Staging upserts against the previous staging version.
     staging_prev = {n: (read(prev[("stg", n)]) if ("stg", n) in prev
@@ -155,6 +167,7 @@ def run_elt(spark: SparkSession, source_root: str, warehouse_root: str, run_ts,
     for name, df in load_staging(landed, staging_prev, run_ts).items():
         paths[("stg", name)] = write_version(df, warehouse_root, "stg", name, run_id)
     stg = {n: read(paths[("stg", n)]) for n in SOURCE_TABLES}
+    lap("staging")
 
     # Dimensions (SCD2 dims partitioned by flag so merges skip history files).
     ddl = {"dim_customer": dims.DIM_CUSTOMER_DDL, "dim_seller": dims.DIM_SELLER_DDL,
@@ -168,11 +181,13 @@ def run_elt(spark: SparkSession, source_root: str, warehouse_root: str, run_ts,
         part = ["current_flag"] if name in ("dim_customer", "dim_seller") else None
         paths[("final", name)] = write_version(df, warehouse_root, "final", name, run_id, part)
     star = {n: read(paths[("final", n)]) for n in star}
+    lap("dimensions")
 
     # Facts restated against the new Current versions, then merged.
     fact_prev = {n: read(prev[("final", n)]) for n in facts.FACT_KEYS if ("final", n) in prev}
     for name, df in merge_facts(build_facts(stg, star), fact_prev, run_ts).items():
         paths[("final", name)] = write_version(df, warehouse_root, "final", name, run_id)
 
+    lap("facts")
     publish_manifest(spark, warehouse_root, run_id, paths)
     return paths

@@ -338,3 +338,11 @@ def oracle_with(names: list[str]) -> str:
 def _mentions(sql: str, name: str) -> bool:
     import re
     return re.search(rf"\b{name}\b", sql) is not None
+
+
+def write_source_extract(spark, sf_dir: str, out_root: str) -> None:
+    """Write the nine source tables (adapter views) as parquet under
+    ``out_root/<table>``: the extract a warehouse run starts from."""
+    register(spark, sf_dir)
+    for table, view in SOURCE_VIEWS.items():
+        spark.table(view).write.mode("overwrite").parquet(f"{out_root}/{table}")
