@@ -16,6 +16,8 @@ the whole run.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +30,20 @@ from ..functions.calendar import build_dim_date
 MANIFEST_DDL = "run_id string, layer string, table_name string, path string"
 
 
+def write_all(jobs: dict[str, Callable[[], str]], max_parallel: int = 4) -> dict[str, str]:
+    """Run independent table writes of one layer as concurrent Spark jobs.
+
+    Tables of a layer do not depend on each other, so their jobs share the
+    executors instead of queueing; each job still plans and shuffles on its own.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+    if max_parallel <= 1 or len(jobs) <= 1:
+        return {name: job() for name, job in jobs.items()}
+    with ThreadPoolExecutor(max_workers=min(max_parallel, len(jobs))) as pool:
+        futures = {name: pool.submit(job) for name, job in jobs.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 def version_path(root: str, layer: str, table: str, run_id: str) -> str:
     return f"{root}/{layer}/{table}/run={run_id}"
 
@@ -131,7 +147,8 @@ def merge_facts(new_facts: dict[str, DataFrame], current: dict[str, DataFrame],
 
 def run_elt(spark: SparkSession, source_root: str, warehouse_root: str, run_ts, run_id: str,
             source_format: str = "parquet", match: str = "latest",
-            timings: dict[str, float] | None = None) -> dict[tuple[str, str], str]:
+            timings: dict[str, float] | None = None,
+            max_parallel: int = 4) -> dict[tuple[str, str], str]:
     """Extract -> land -> staging upserts -> dimensions -> facts -> manifest.
 
     Each layer is written, then read back by the next, so stages share one
@@ -153,19 +170,30 @@ def run_elt(spark: SparkSession, source_root: str, warehouse_root: str, run_ts,
 
     # Extract + land: the landing copy is replaced every run.
     sources = scan_sources(spark, source_root, source_format)
-    for name, df in sources.items():
-        p = version_path(warehouse_root, "landing", name, run_id)
-        land_table(df, p)
+
+    def land(name: str, df: DataFrame):
+        def job() -> str:
+            p = version_path(warehouse_root, "landing", name, run_id)
+            land_table(df, p)
+            return p
+        return job
+
+    for name, p in write_all({n: land(n, df) for n, df in sources.items()}, max_parallel).items():
         paths[("landing", name)] = p
     landed = {n: read(paths[("landing", n)]) for n in sources}
     lap("extract_land")
 
+    def write(layer: str, name: str, df: DataFrame, part: list[str] | None = None):
+        return lambda: write_version(df, warehouse_root, layer, name, run_id, part)
+
     # Staging upserts against the previous staging version.
     staging_prev = {n: (read(prev[("stg", n)]) if ("stg", n) in prev
                         else spark.createDataFrame([], staging_schema_ddl(n)))
                     for n in SOURCE_TABLES}
-    for name, df in load_staging(landed, staging_prev, run_ts).items():
-        paths[("stg", name)] = write_version(df, warehouse_root, "stg", name, run_id)
+    merged = load_staging(landed, staging_prev, run_ts)
+    for name, p in write_all({n: write("stg", n, df) for n, df in merged.items()},
+                             max_parallel).items():
+        paths[("stg", name)] = p
     stg = {n: read(paths[("stg", n)]) for n in SOURCE_TABLES}
     lap("staging")
 
@@ -177,17 +205,19 @@ def run_elt(spark: SparkSession, source_root: str, warehouse_root: str, run_ts,
     if ("final", "dim_date") in prev:
         final_prev["dim_date"] = read(prev[("final", "dim_date")])
     star = build_star(spark, stg, final_prev, run_ts, match)
-    for name, df in star.items():
-        part = ["current_flag"] if name in ("dim_customer", "dim_seller") else None
-        paths[("final", name)] = write_version(df, warehouse_root, "final", name, run_id, part)
+    part = {"dim_customer": ["current_flag"], "dim_seller": ["current_flag"]}
+    for name, p in write_all({n: write("final", n, df, part.get(n)) for n, df in star.items()},
+                             max_parallel).items():
+        paths[("final", name)] = p
     star = {n: read(paths[("final", n)]) for n in star}
     lap("dimensions")
 
     # Facts restated against the new Current versions, then merged.
     fact_prev = {n: read(prev[("final", n)]) for n in facts.FACT_KEYS if ("final", n) in prev}
-    for name, df in merge_facts(build_facts(stg, star), fact_prev, run_ts).items():
-        paths[("final", name)] = write_version(df, warehouse_root, "final", name, run_id)
-
+    new_facts = merge_facts(build_facts(stg, star), fact_prev, run_ts)
+    for name, p in write_all({n: write("final", n, df) for n, df in new_facts.items()},
+                             max_parallel).items():
+        paths[("final", name)] = p
     lap("facts")
     publish_manifest(spark, warehouse_root, run_id, paths)
     return paths

@@ -208,8 +208,8 @@ PREV_VIEWS: dict[str, str] = {f"prev_{name}": _prev_staging(spec)
                               for name, spec in SOURCE_TABLES.items()}
 PREV_VIEWS["prev_translation"] = PREV_VIEWS.pop("prev_product_category_name_translation")
 
-# Dimension source rows (staging joined to the zip centroid), one per natural key
-# chosen by lowest staging key; used only to derive the earlier dimension state.
+# Dimension source rows (staging joined to the zip centroid), one per natural
+# key; used only to derive the earlier dimension state.
 _DIM_SEED = {
     "customer": ("src_customers", "customer_unique_id", "customer_id", "customer_zip_code_prefix"),
     "seller": ("src_sellers", "seller_id", "seller_id", "seller_zip_code_prefix"),
@@ -220,11 +220,13 @@ def _prev_scd2(role: str, boundary: str, expired_from: str, history_mod: int,
                old_mod: int = 7, null_mod: int = 21, drop_mod: int = 10) -> str:
     view, nk, sk, zip_col = _DIM_SEED[role]
     p = role
+    # Each natural key has one staging row whose own key equals it (customer k
+    # with k % 5 = 0 for shared keys); that row seeds the earlier version.
     seed = f"""
 SELECT {nk} AS nk, {p}_city AS city, {p}_state AS state, g.geolocation_lat AS lat,
-       g.geolocation_lng AS lng,
-       row_number() OVER (PARTITION BY {nk} ORDER BY {sk}) AS rn
-FROM {view} s LEFT JOIN src_geolocation g ON s.{zip_col} = g.geolocation_zip_code_prefix"""
+       g.geolocation_lng AS lng, 1 AS rn
+FROM {view} s LEFT JOIN src_geolocation g ON s.{zip_col} = g.geolocation_zip_code_prefix
+WHERE s.{sk} = s.{nk}"""
     cols = (f"{p}_id, {p}_nk, {p}_city, {p}_state, {p}_latitude, {p}_longitude, valid_from, valid_to, "
             "current_flag, created_at, updated_at")
     k = "try_cast(nk AS bigint)"

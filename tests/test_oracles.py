@@ -25,7 +25,17 @@ def test_entry_smoke(spark):
     assert "delivery_status" in df.columns
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+# A representative subset runs by default; STARLOOM_FULL_ORACLE=1 runs all
+# registered queries (the driver's gate runs all of them at sf0.01).
+SUBSET = ["scan_table", "csv_roundtrip", "role_playing_dates", "dim_date", "days_between",
+          "late_severity", "change_detect", "latest_per_key", "stg_order_items", "merge_audit",
+          "dim_product_scd1", "dim_customer_scd2", "dim_customer_scd2_any", "dim_seller_scd2",
+          "fct_order_payments", "fct_order_delivery", "fct_order_reviews_merge",
+          "dq_single_current", "fct_items_as_of", "segment_transitions", "on_time_by_state"]
+NAMES = sorted(E.queries()) if os.environ.get("STARLOOM_FULL_ORACLE") else SUBSET
+
+
+@pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, name):
     res = compare(spark, SF, [name], verbose=False)
     assert res[name][0] == "OK", res[name]

@@ -15,7 +15,7 @@ def _optimized(df) -> str:
 
 def test_no_python_in_any_plan(spark):
     for name, q in E.queries().items():
-        plan = _plan(q(spark, SF))
+        plan = _optimized(q(spark, SF))
         for op in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
             assert op not in plan, (name, op)
 
@@ -29,9 +29,12 @@ def test_latest_per_key_is_an_aggregate_not_a_window(spark):
     for name in ("latest_per_key", "dim_customer_scd2", "fct_order_reviews"):
         opt = _optimized(E.queries()[name](spark, SF))
         assert "min_by" in opt, name
-    # the only windows are the adapter's item numbering, never a library operator
-    plan = _optimized(E.queries()["dim_customer_scd2"](spark, SF))
-    assert "Window" not in plan
+    # library operators on plain inputs: no window anywhere in the plan
+    from test_golden import DIM, GEO, STG_C
+    from starloom.plans import dims
+    d = dims.build_dim_customer(spark.createDataFrame([], DIM), spark.createDataFrame([], STG_C),
+                                spark.createDataFrame([], GEO), "2024-06-01 00:00:00", "any")
+    assert "Window" not in _optimized(d)
 
 
 def test_scan_prunes_columns_and_pushes_filters(spark):
