@@ -10,28 +10,48 @@ from ..schemas import UNKNOWN_DATE_ID
 from .scd import FLAG, VALID_FROM, VALID_TO, current_rows
 
 
+# Largest table broadcast by an explicit hint: the generated calendar has
+# 29,221 rows; anything over the bound is left to AQE's runtime choice.
+BROADCAST_MAX_ROWS = 100_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Hint a broadcast only after proving ``df`` has at most ``max_rows`` rows.
+
+    The check reads at most ``max_rows + 1`` rows (a bounded action); a larger
+    table is returned unhinted so AQE picks broadcast or shuffle at runtime.
+    """
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df
+
+
 def date_keys(dim_date: DataFrame) -> DataFrame:
-    """(date_actual, date_id) pairs for lookups; broadcast-safe because the
-    calendar's size is fixed by its generator, not by the data."""
-    return F.broadcast(dim_date.select("date_actual", "date_id"))
+    """(date_actual, date_id) pairs for lookups, broadcast when bounded."""
+    return bounded_broadcast(dim_date.select("date_actual", "date_id"))
 
 
-def lookup_date(df: DataFrame, when, out_col: str, dim_date: DataFrame) -> DataFrame:
-    """Add ``out_col`` = date_id of the day of ``when`` (timestamp or date);
-    NULL or out-of-calendar days map to the unknown member -1."""
-    keys = date_keys(dim_date).select(F.col("date_actual").alias("__d_" + out_col),
-                                      F.col("date_id").alias("__id_" + out_col))
-    joined = df.join(keys, col(when).cast("date") == F.col("__d_" + out_col), "left")
+def _lookup_with_keys(df: DataFrame, when, out_col: str, keys: DataFrame) -> DataFrame:
+    k = keys.select(F.col("date_actual").alias("__d_" + out_col),
+                    F.col("date_id").alias("__id_" + out_col))
+    joined = df.join(k, col(when).cast("date") == F.col("__d_" + out_col), "left")
     return (joined.withColumn(out_col, F.coalesce(F.col("__id_" + out_col),
                                                   F.lit(UNKNOWN_DATE_ID)).cast("int"))
             .drop("__d_" + out_col, "__id_" + out_col))
 
 
+def lookup_date(df: DataFrame, when, out_col: str, dim_date: DataFrame) -> DataFrame:
+    """Add ``out_col`` = date_id of the day of ``when`` (timestamp or date);
+    NULL or out-of-calendar days map to the unknown member -1."""
+    return _lookup_with_keys(df, when, out_col, date_keys(dim_date))
+
+
 def lookup_dates(df: DataFrame, roles: dict[str, object], dim_date: DataFrame) -> DataFrame:
-    """Role-playing lookups: one ``lookup_date`` per ``{out_col: when}``; every
-    role reuses the same broadcast calendar."""
+    """Role-playing lookups: one left join per ``{out_col: when}``, all against
+    the same (size-checked once) calendar keys."""
+    keys = date_keys(dim_date)
     for out_col, when in roles.items():
-        df = lookup_date(df, when, out_col, dim_date)
+        df = _lookup_with_keys(df, when, out_col, keys)
     return df
 
 
@@ -47,6 +67,15 @@ def lookup_current(df: DataFrame, key: str, dim: DataFrame, nk: str, sk: str,
     return df.join(current_key_map(dim, nk, sk, key, out_col), on=key, how="inner")
 
 
+def current_version_attributes(df: DataFrame, version_col: str, dim: DataFrame, sk: str,
+                               nk: str, attrs: list[str]) -> DataFrame:
+    """Attach attributes of the *Current* version to rows that reference any
+    version of a type 2 dimension (version key -> natural key -> Current)."""
+    versions = dim.select(F.col(sk).alias(version_col), F.col(nk).alias("__nk"))
+    cur = current_rows(dim).select(F.col(nk).alias("__nk"), *attrs)
+    return df.join(versions, version_col, "inner").join(cur, "__nk", "inner").drop("__nk")
+
+
 def lookup_as_of(df: DataFrame, key: str, when, dim: DataFrame, nk: str, sk: str,
                  out_col: str, open_first: bool = True, how: str = "left") -> DataFrame:
     """Point-in-time lookup: the version valid on ``when`` (half-open
@@ -70,4 +99,4 @@ def lookup_as_of(df: DataFrame, key: str, when, dim: DataFrame, nk: str, sk: str
 
 
 __all__ = ["lookup_date", "lookup_dates", "lookup_current", "lookup_as_of", "current_key_map",
-           "date_keys", "FLAG"]
+           "current_version_attributes", "date_keys", "bounded_broadcast", "FLAG"]

@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import exprs as X
 from ..operators.aggregates import MONEY
-from ..operators.lookup import lookup_as_of
-from ..operators.scd import current_rows
+from ..operators.lookup import current_version_attributes, lookup_as_of
 
 
 def segment_transitions(assignments: DataFrame, customer: str = "customer_id",
@@ -38,9 +37,7 @@ def sales_by_current_attribute(fact: DataFrame, version_col: str, measure: str,
     version each fact row points to. Facts are first pre-aggregated per
     version key, so only one row per version reaches the dimension joins."""
     per_version = fact.groupBy(version_col).agg(F.sum(F.col(measure).cast(MONEY)).alias("__m"))
-    versions = dim.select(F.col(dim_sk).alias(version_col), F.col(dim_nk).alias("__nk"))
-    cur = current_rows(dim).select(F.col(dim_nk).alias("__nk"), F.col(attr).alias(attr))
-    return (per_version.join(versions, version_col).join(cur, "__nk")
+    return (current_version_attributes(per_version, version_col, dim, dim_sk, dim_nk, [attr])
             .groupBy(attr).agg(F.sum("__m").cast("double").alias(f"total_{measure}")))
 
 

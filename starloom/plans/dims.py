@@ -28,31 +28,32 @@ def empty(spark: SparkSession, ddl: str) -> DataFrame:
     return spark.createDataFrame([], ddl)
 
 
+def attach_geo(df: DataFrame, zip_col: str, stg_geolocation: DataFrame,
+               lat_col: str, lng_col: str) -> DataFrame:
+    """Left join of the zip centroid (lat/lng NULL for an unknown zip)."""
+    geo = zip_centroid(stg_geolocation).select(
+        F.col("geolocation_zip_code_prefix").alias("__zip"),
+        F.col("geolocation_lat").alias(lat_col), F.col("geolocation_lng").alias(lng_col))
+    return df.join(geo, F.col(zip_col) == F.col("__zip"), "left").drop("__zip")
+
+
 def customer_source(stg_customers: DataFrame, stg_geolocation: DataFrame) -> DataFrame:
     """Staging customers with their zip centroid, under dimension column names."""
-    geo = zip_centroid(stg_geolocation)
-    s = stg_customers.alias("s")
-    return (s.join(geo.alias("g"), F.col("s.customer_zip_code_prefix")
-                   == F.col("g.geolocation_zip_code_prefix"), "left")
-            .select(F.col("s.customer_unique_id").alias("customer_nk"),
-                    F.col("s.customer_city").alias("customer_city"),
-                    F.col("s.customer_state").alias("customer_state"),
-                    F.col("g.geolocation_lat").alias("customer_latitude"),
-                    F.col("g.geolocation_lng").alias("customer_longitude"),
-                    F.col("s.updated_at").alias("updated_at"),
-                    F.col("s.customer_id").alias("staging_key")))
+    s = stg_customers.select(
+        F.col("customer_unique_id").alias("customer_nk"), "customer_city", "customer_state",
+        "customer_zip_code_prefix", "updated_at", F.col("customer_id").alias("staging_key"))
+    return attach_geo(s, "customer_zip_code_prefix", stg_geolocation, "customer_latitude",
+                      "customer_longitude").select(
+        "customer_nk", "customer_city", "customer_state", "customer_latitude",
+        "customer_longitude", "updated_at", "staging_key")
 
 
 def seller_source(stg_sellers: DataFrame, stg_geolocation: DataFrame) -> DataFrame:
-    geo = zip_centroid(stg_geolocation)
-    s = stg_sellers.alias("s")
-    return (s.join(geo.alias("g"), F.col("s.seller_zip_code_prefix")
-                   == F.col("g.geolocation_zip_code_prefix"), "left")
-            .select(F.col("s.seller_id").alias("seller_nk"),
-                    F.col("s.seller_city").alias("seller_city"),
-                    F.col("s.seller_state").alias("seller_state"),
-                    F.col("g.geolocation_lat").alias("seller_latitude"),
-                    F.col("g.geolocation_lng").alias("seller_longitude")))
+    s = stg_sellers.select(F.col("seller_id").alias("seller_nk"), "seller_city", "seller_state",
+                           "seller_zip_code_prefix")
+    return attach_geo(s, "seller_zip_code_prefix", stg_geolocation, "seller_latitude",
+                      "seller_longitude").select(
+        "seller_nk", "seller_city", "seller_state", "seller_latitude", "seller_longitude")
 
 
 def build_dim_customer(dim_customer: DataFrame, stg_customers: DataFrame,

@@ -8,26 +8,28 @@ Scenario: the ``prev_*`` views are the stored state before the run, the
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
-from ..functions.calendar import build_dim_date, calendar_columns
+from ..functions.calendar import build_dim_date
 from ..operators import aggregates as A
 from ..operators import quality as Q
-from ..operators.lookup import (current_key_map, lookup_as_of, lookup_current, lookup_date,
+from ..operators.lookup import (bounded_broadcast, lookup_as_of, lookup_current, lookup_date,
                                 lookup_dates)
 from ..operators.merge import (append_rows, insert_if_absent, latest_per_key, merge_audit,
-                               upsert_changed, upsert_overwrite)
+                               upsert_overwrite)
 from ..operators.scd import current_rows
-from ..schemas import DIM_PRODUCT_ATTRS, ORDER_TIMESTAMPS, SOURCE_TABLES
+from ..schemas import ORDER_TIMESTAMPS, SOURCE_TABLES
 from ..session import checkpoint_dir, ensure_utc
 from ..sources import adapters
 from ..sources.tables import land_table, read_csv_table, scan_table, write_csv_table
 from . import dims, facts
-from .warehouse import build_facts, load_staging, merge_facts
+from .analytics import on_time_by_state, sales_by_current_attribute, segment_transitions
+from .warehouse import build_facts, load_staging
 
 RUN_TS = adapters.RUN_TS
 PREV_TS = adapters.PREV_TS
@@ -109,7 +111,6 @@ def _scan_table(r: Run) -> DataFrame:
 def _csv_roundtrip(r: Run) -> DataFrame:
     """Reviews (quotes, commas, newlines in the text) through a header CSV."""
     spec = SOURCE_TABLES["order_reviews"]
-    import uuid
     path = f"{checkpoint_dir(r.spark)}/csv-{uuid.uuid4().hex}"
     write_csv_table(r.src["order_reviews"], path)
     return read_csv_table(r.spark, path, spec.schema)
@@ -117,7 +118,6 @@ def _csv_roundtrip(r: Run) -> DataFrame:
 
 @query("land_table")
 def _land_table(r: Run) -> DataFrame:
-    import uuid
     path = f"{checkpoint_dir(r.spark)}/landing-{uuid.uuid4().hex}"
     land_table(r.src["customers"], path)
     return r.spark.read.parquet(path)
@@ -140,16 +140,17 @@ def _dim_date(r: Run) -> DataFrame:
     """Every order's purchase day with all calendar attributes (unknown member
     for days outside the calendar)."""
     o = lookup_date(_orders_ts(r), "order_purchase_timestamp", "purchase_date_id", r.dim_date)
-    return o.join(F.broadcast(r.dim_date), o.purchase_date_id == r.dim_date.date_id, "inner") \
-        .select("order_id", *r.dim_date.columns)
+    cal = bounded_broadcast(r.dim_date)
+    return o.join(cal, o.purchase_date_id == cal.date_id, "inner").select("order_id", *cal.columns)
 
 
 @query("unknown_member")
 def _unknown_member(r: Run) -> DataFrame:
     """Orders whose approval day resolves to the unknown member."""
     o = lookup_date(_orders_ts(r), "order_approved_at", "approval_date_id", r.dim_date)
+    cal = bounded_broadcast(r.dim_date)
     return (o.filter(F.col("approval_date_id") == -1)
-            .join(F.broadcast(r.dim_date), o.approval_date_id == r.dim_date.date_id)
+            .join(cal, o.approval_date_id == cal.date_id)
             .select("order_id", "date_id", "date_actual", "day_name", "month_name_abbreviated",
                     "week_of_year_iso", "weekend_indr"))
 
@@ -505,13 +506,11 @@ def _fct_items_as_of(r: Run) -> DataFrame:
 
 @query("segment_transitions")
 def _segment_transitions(r: Run) -> DataFrame:
-    from .analytics import segment_transitions
     return segment_transitions(r.t("src_cluster_assignment"))
 
 
 @query("sales_by_current_state")
 def _sales_by_current_state(r: Run) -> DataFrame:
-    from .analytics import sales_by_current_attribute
     return sales_by_current_attribute(_items_as_of(r), "customer_version_id", "price",
                                       r.t("hist_dim_customer"), "customer_id", "customer_nk",
                                       "customer_state")
@@ -519,7 +518,6 @@ def _sales_by_current_state(r: Run) -> DataFrame:
 
 @query("on_time_by_state")
 def _on_time_by_state(r: Run) -> DataFrame:
-    from .analytics import on_time_by_state
     return on_time_by_state(r.stg["orders"], r.stg["customers"], r.t("hist_dim_customer"))
 
 

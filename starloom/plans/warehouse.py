@@ -132,12 +132,13 @@ def build_facts(stg: dict[str, DataFrame], star: dict[str, DataFrame]) -> dict[s
 
 
 def merge_facts(new_facts: dict[str, DataFrame], current: dict[str, DataFrame],
-                run_ts) -> dict[str, DataFrame]:
-    """Upsert each restated fact into its stored state (incoming wins)."""
+                run_ts, rebuild: bool = False) -> dict[str, DataFrame]:
+    """Upsert each restated fact into its stored state (incoming wins).
+    ``rebuild`` starts from empty facts (the truncate-and-reload variant)."""
     out = {}
     for name, df in new_facts.items():
         key, sk = facts.FACT_KEYS[name]
-        cur = current.get(name)
+        cur = None if rebuild else current.get(name)
         if cur is None:
             cur = df.limit(0).withColumn("created_at", F.lit(None).cast("timestamp_ntz")) \
                 .withColumn("updated_at", F.lit(None).cast("timestamp_ntz"))
@@ -147,8 +148,8 @@ def merge_facts(new_facts: dict[str, DataFrame], current: dict[str, DataFrame],
 
 def run_elt(spark: SparkSession, source_root: str, warehouse_root: str, run_ts, run_id: str,
             source_format: str = "parquet", match: str = "latest",
-            timings: dict[str, float] | None = None,
-            max_parallel: int = 4) -> dict[tuple[str, str], str]:
+            timings: dict[str, float] | None = None, max_parallel: int = 4,
+            rebuild_facts: bool = False) -> dict[tuple[str, str], str]:
     """Extract -> land -> staging upserts -> dimensions -> facts -> manifest.
 
     Each layer is written, then read back by the next, so stages share one
@@ -206,6 +207,7 @@ def run_elt(spark: SparkSession, source_root: str, warehouse_root: str, run_ts,
         final_prev["dim_date"] = read(prev[("final", "dim_date")])
     star = build_star(spark, stg, final_prev, run_ts, match)
     part = {"dim_customer": ["current_flag"], "dim_seller": ["current_flag"]}
+    star["dim_date"] = star["dim_date"].sortWithinPartitions("date_id")  # file layout only
     for name, p in write_all({n: write("final", n, df, part.get(n)) for n, df in star.items()},
                              max_parallel).items():
         paths[("final", name)] = p
@@ -214,7 +216,7 @@ def run_elt(spark: SparkSession, source_root: str, warehouse_root: str, run_ts,
 
     # Facts restated against the new Current versions, then merged.
     fact_prev = {n: read(prev[("final", n)]) for n in facts.FACT_KEYS if ("final", n) in prev}
-    new_facts = merge_facts(build_facts(stg, star), fact_prev, run_ts)
+    new_facts = merge_facts(build_facts(stg, star), fact_prev, run_ts, rebuild_facts)
     for name, p in write_all({n: write("final", n, df) for n, df in new_facts.items()},
                              max_parallel).items():
         paths[("final", name)] = p
