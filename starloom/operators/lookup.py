@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from .scd import FLAG, VALID_FROM, VALID_TO, current_rows
 # Largest table broadcast by an explicit hint: the generated calendar has
 # 29,221 rows; anything over the bound is left to AQE's runtime choice.
 BROADCAST_MAX_ROWS = 100_000
+_BOUNDED: "weakref.WeakKeyDictionary[DataFrame, bool]" = weakref.WeakKeyDictionary()
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
@@ -21,14 +24,16 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
     The check reads at most ``max_rows + 1`` rows (a bounded action); a larger
     table is returned unhinted so AQE picks broadcast or shuffle at runtime.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    known = _BOUNDED.get(df)
+    if known is None:
+        known = df.limit(max_rows + 1).count() <= max_rows
+        _BOUNDED[df] = known
+    return F.broadcast(df) if known else df
 
 
 def date_keys(dim_date: DataFrame) -> DataFrame:
     """(date_actual, date_id) pairs for lookups, broadcast when bounded."""
-    return bounded_broadcast(dim_date.select("date_actual", "date_id"))
+    return bounded_broadcast(dim_date).select("date_actual", "date_id")
 
 
 def _lookup_with_keys(df: DataFrame, when, out_col: str, keys: DataFrame) -> DataFrame:
