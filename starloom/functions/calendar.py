@@ -102,4 +102,7 @@ def build_dim_date(spark: SparkSession, start: str = DATE_SPINE_START,
     """
     from ..operators.merge import insert_if_absent
     spine = date_spine(spark, start, days).select(*calendar_columns("d"))
+    if start > UNKNOWN_MEMBER["date_actual"]:
+        # Spine keys are yyyymmdd of later days, never -1: no conflict possible.
+        return spine.unionByName(unknown_member(spark))
     return insert_if_absent(spine, unknown_member(spark), ["date_id"])

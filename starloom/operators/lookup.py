@@ -37,12 +37,13 @@ def date_keys(dim_date: DataFrame) -> DataFrame:
 
 
 def _lookup_with_keys(df: DataFrame, when, out_col: str, keys: DataFrame) -> DataFrame:
-    k = keys.select(F.col("date_actual").alias("__d_" + out_col),
-                    F.col("date_id").alias("__id_" + out_col))
-    joined = df.join(k, col(when).cast("date") == F.col("__d_" + out_col), "left")
-    return (joined.withColumn(out_col, F.coalesce(F.col("__id_" + out_col),
-                                                  F.lit(UNKNOWN_DATE_ID)).cast("int"))
-            .drop("__d_" + out_col, "__id_" + out_col))
+    # The build side is the same plan for every role (only the alias differs),
+    # so all role lookups share one broadcast exchange.
+    k = keys.alias("__cal_" + out_col)
+    joined = df.join(k, col(when).cast("date") == F.col(f"__cal_{out_col}.date_actual"), "left")
+    return joined.select(*[df[c] for c in df.columns],
+                         F.coalesce(F.col(f"__cal_{out_col}.date_id"),
+                                    F.lit(UNKNOWN_DATE_ID)).cast("int").alias(out_col))
 
 
 def lookup_date(df: DataFrame, when, out_col: str, dim_date: DataFrame) -> DataFrame:
