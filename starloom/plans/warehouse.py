@@ -27,7 +27,11 @@ from ..sources.tables import land_table, scan_sources
 from . import dims, facts
 from ..functions.calendar import build_dim_date
 
-MANIFEST_DDL = "run_id string, layer string, table_name string, path string"
+MANIFEST_DDL = ("run_id string, layer string, table_name string, path string, "
+                "num_buckets int, bucket_cols string")
+
+# (number of buckets, bucket columns) of a stored version, or None.
+Bucketing = tuple[int, tuple[str, ...]] | None
 
 
 def write_all(jobs: dict[str, Callable[[], str]], max_parallel: int = 4) -> dict[str, str]:
@@ -48,36 +52,82 @@ def version_path(root: str, layer: str, table: str, run_id: str) -> str:
     return f"{root}/{layer}/{table}/run={run_id}"
 
 
+def _catalog_name(path: str) -> str:
+    """Session-catalog name of a bucketed version (derived from its path)."""
+    import hashlib
+    import re
+    tail = re.sub(r"\W", "_", "_".join(path.rstrip("/").split("/")[-3:]))
+    return f"stl_{tail}_{hashlib.md5(path.encode()).hexdigest()[:10]}"
+
+
 def write_version(df: DataFrame, root: str, layer: str, table: str, run_id: str,
-                  partition_by: list[str] | None = None) -> str:
-    """Write one table version; returns its path."""
+                  partition_by: list[str] | None = None, bucket: Bucketing = None) -> str:
+    """Write one table version; returns its path.
+
+    With ``bucket = (n, cols)`` the version is stored hash-bucketed and sorted
+    on ``cols`` (an external table in the session catalog), so a later merge or
+    join on those columns with an equally bucketed side needs no shuffle.
+    """
     path = version_path(root, layer, table, run_id)
-    w = df.write.mode("overwrite")
+    w = df.write.mode("overwrite").format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    if bucket:
+        n, cols = bucket
+        w.bucketBy(n, *cols).sortBy(*cols).option("path", path).saveAsTable(_catalog_name(path))
+    else:
+        w.save(path)
     return path
 
 
+def read_version(spark: SparkSession, path: str, bucket: Bucketing = None,
+                 ddl: str | None = None) -> DataFrame:
+    """Read a stored version; a bucketed one is (re-)registered with its bucket
+    spec so the planner can use it (needs the column list ``ddl``)."""
+    if not bucket:
+        return spark.read.parquet(path)
+    n, cols = bucket
+    name = _catalog_name(path)
+    if not spark.catalog.tableExists(name):
+        keys = ", ".join(cols)
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet "
+                  f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {n} BUCKETS LOCATION '{path}'")
+    return spark.table(name)
+
+
 def publish_manifest(spark: SparkSession, root: str, run_id: str,
-                     paths: dict[tuple[str, str], str]) -> None:
-    rows = [(run_id, layer, table, path) for (layer, table), path in sorted(paths.items())]
+                     paths: dict[tuple[str, str], str],
+                     buckets: dict[tuple[str, str], Bucketing] | None = None) -> None:
+    buckets = buckets or {}
+    rows = []
+    for (layer, table), path in sorted(paths.items()):
+        b = buckets.get((layer, table))
+        rows.append((run_id, layer, table, path, b[0] if b else None,
+                     ",".join(b[1]) if b else None))
     spark.createDataFrame(rows, MANIFEST_DDL).coalesce(1).write.mode("overwrite") \
         .json(f"{root}/_manifests/run={run_id}")
 
 
-def latest_manifest(spark: SparkSession, root: str) -> dict[tuple[str, str], str]:
-    """(layer, table) -> path of the latest published run (empty if none).
-    The manifest holds one small row per table, so collecting it is bounded."""
+def _latest_rows(spark: SparkSession, root: str) -> list:
     try:
         m = spark.read.schema(MANIFEST_DDL).json(f"{root}/_manifests/*")
     except Exception:  # noqa: BLE001 - no manifest yet
-        return {}
+        return []
     last = m.agg(F.max("run_id").alias("r")).collect()[0]["r"]
     if last is None:
-        return {}
-    return {(r["layer"], r["table_name"]): r["path"]
-            for r in m.filter(F.col("run_id") == last).collect()}
+        return []
+    return m.filter(F.col("run_id") == last).collect()
+
+
+def latest_manifest(spark: SparkSession, root: str) -> dict[tuple[str, str], str]:
+    """(layer, table) -> path of the latest published run (empty if none).
+    The manifest holds one small row per table, so collecting it is bounded."""
+    return {(r["layer"], r["table_name"]): r["path"] for r in _latest_rows(spark, root)}
+
+
+def latest_buckets(spark: SparkSession, root: str) -> dict[tuple[str, str], Bucketing]:
+    return {(r["layer"], r["table_name"]): (r["num_buckets"], tuple(r["bucket_cols"].split(",")))
+            for r in _latest_rows(spark, root) if r["num_buckets"]}
 
 
 def staging_schema_ddl(name: str) -> str:
@@ -146,15 +196,26 @@ def merge_facts(new_facts: dict[str, DataFrame], current: dict[str, DataFrame],
     return out
 
 
+def source_ddl(name: str) -> str:
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}"
+                     for f in SOURCE_TABLES[name].schema.fields)
+
+
 def run_elt(spark: SparkSession, source_root: str, warehouse_root: str, run_ts, run_id: str,
             source_format: str = "parquet", match: str = "latest",
             timings: dict[str, float] | None = None, max_parallel: int = 4,
-            rebuild_facts: bool = False) -> dict[tuple[str, str], str]:
+            rebuild_facts: bool = False, num_buckets: int | None = None
+            ) -> dict[tuple[str, str], str]:
     """Extract -> land -> staging upserts -> dimensions -> facts -> manifest.
 
     Each layer is written, then read back by the next, so stages share one
     consistent snapshot and lineage stays short. ``timings`` (optional)
     receives wall-clock seconds per phase.
+
+    ``num_buckets`` stores landing and staging versions bucketed (and sorted)
+    on each table's primary key. The extract is then shuffled once, when it
+    lands, and the merge of the (ever larger) staging table with it reads
+    co-bucketed inputs: no exchange on either side.
     """
     import time
     clock = [time.perf_counter()]
@@ -166,36 +227,46 @@ def run_elt(spark: SparkSession, source_root: str, warehouse_root: str, run_ts,
         clock[0] = now
 
     prev = latest_manifest(spark, warehouse_root)
+    prev_buckets = latest_buckets(spark, warehouse_root)
     read = spark.read.parquet
     paths: dict[tuple[str, str], str] = {}
+    buckets: dict[tuple[str, str], Bucketing] = {}
+    table_bucket = {n: (num_buckets, tuple(spec.key)) if num_buckets else None
+                    for n, spec in SOURCE_TABLES.items()}
+
+    def write(layer: str, name: str, df: DataFrame, part: list[str] | None = None,
+              bucket: Bucketing = None):
+        if bucket:
+            buckets[(layer, name)] = bucket
+        return lambda: write_version(df, warehouse_root, layer, name, run_id, part, bucket)
 
     # Extract + land: the landing copy is replaced every run.
     sources = scan_sources(spark, source_root, source_format)
-
-    def land(name: str, df: DataFrame):
-        def job() -> str:
+    jobs = {}
+    for name, df in sources.items():
+        b = table_bucket[name]
+        if b:
+            jobs[name] = write("landing", name, df.repartition(b[0], *b[1]), bucket=b)
+        else:
             p = version_path(warehouse_root, "landing", name, run_id)
-            land_table(df, p)
-            return p
-        return job
-
-    for name, p in write_all({n: land(n, df) for n, df in sources.items()}, max_parallel).items():
+            jobs[name] = (lambda d, q: lambda: (land_table(d, q), q)[1])(df, p)
+    for name, p in write_all(jobs, max_parallel).items():
         paths[("landing", name)] = p
-    landed = {n: read(paths[("landing", n)]) for n in sources}
+    landed = {n: read_version(spark, paths[("landing", n)], table_bucket[n], source_ddl(n))
+              for n in sources}
     lap("extract_land")
 
-    def write(layer: str, name: str, df: DataFrame, part: list[str] | None = None):
-        return lambda: write_version(df, warehouse_root, layer, name, run_id, part)
-
     # Staging upserts against the previous staging version.
-    staging_prev = {n: (read(prev[("stg", n)]) if ("stg", n) in prev
+    staging_prev = {n: (read_version(spark, prev[("stg", n)], prev_buckets.get(("stg", n)),
+                                     staging_schema_ddl(n)) if ("stg", n) in prev
                         else spark.createDataFrame([], staging_schema_ddl(n)))
                     for n in SOURCE_TABLES}
     merged = load_staging(landed, staging_prev, run_ts)
-    for name, p in write_all({n: write("stg", n, df) for n, df in merged.items()},
-                             max_parallel).items():
+    for name, p in write_all({n: write("stg", n, df, bucket=table_bucket[n])
+                              for n, df in merged.items()}, max_parallel).items():
         paths[("stg", name)] = p
-    stg = {n: read(paths[("stg", n)]) for n in SOURCE_TABLES}
+    stg = {n: read_version(spark, paths[("stg", n)], table_bucket[n], staging_schema_ddl(n))
+           for n in SOURCE_TABLES}
     lap("staging")
 
     # Dimensions (SCD2 dims partitioned by flag so merges skip history files).
@@ -221,5 +292,5 @@ def run_elt(spark: SparkSession, source_root: str, warehouse_root: str, run_ts,
                              max_parallel).items():
         paths[("final", name)] = p
     lap("facts")
-    publish_manifest(spark, warehouse_root, run_id, paths)
+    publish_manifest(spark, warehouse_root, run_id, paths, buckets)
     return paths

@@ -48,3 +48,35 @@ def test_three_runs(spark, scratch):
     fct = spark.read.parquet(m[("final", "fct_order_delivery")])
     assert fct.groupBy("order_nk").count().filter("count > 1").count() == 0
     assert fct.filter("created_at < updated_at").count() == fct.count()  # restated on runs 2, 3
+
+
+def test_bucketed_runs_merge_without_shuffle(spark, scratch):
+    """With bucketed storage the second run's staging merge reads both sides
+    co-bucketed: no exchange in the merge plan, same rows as unbucketed."""
+    from starloom.operators.merge import upsert_changed
+    from starloom.plans.warehouse import (latest_buckets, read_version, source_ddl,
+                                          staging_schema_ddl)
+    base = f"{scratch}/base"
+    write_source_extract(spark, "/root/testdata/sf0.001", base)
+    plain, bucketed = f"{scratch}/plain", f"{scratch}/bucketed"
+    for i, ts in enumerate(["2024-06-01 00:00:00", "2024-06-02 00:00:00"], 1):
+        run_elt(spark, base, plain, ts, f"r{i}")
+        run_elt(spark, base, bucketed, ts, f"r{i}", num_buckets=4)
+    mp, mb = latest_manifest(spark, plain), latest_manifest(spark, bucketed)
+    for layer, table in [("stg", "orders"), ("stg", "order_items"), ("final", "fct_order_items"),
+                         ("final", "dim_customer")]:
+        a = spark.read.parquet(mp[(layer, table)])
+        b = spark.read.parquet(mb[(layer, table)]).select(*a.columns)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, table
+    bk = latest_buckets(spark, bucketed)
+    assert bk[("stg", "order_items")] == (4, ("order_id", "order_item_id"))
+    cur = read_version(spark, mb[("stg", "order_items")], bk[("stg", "order_items")],
+                       staging_schema_ddl("order_items"))
+    inc = read_version(spark, mb[("landing", "order_items")], bk[("landing", "order_items")],
+                       source_ddl("order_items"))
+    m = upsert_changed(cur.select(*inc.columns, "id", "created_at", "updated_at"), inc,
+                       ["order_id", "order_item_id"],
+                       ["product_id", "seller_id", "shipping_limit_date", "price", "freight_value"],
+                       "2024-06-03 00:00:00")
+    plan = m._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
