@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.merge import upsert_changed, upsert_overwrite
+from ..operators.quality import QualityError, check_single_current, check_unique
 from ..schemas import SOURCE_TABLES, STAGING_AUDIT
 from ..sources.tables import land_table, scan_sources
 from . import dims, facts
@@ -34,7 +35,7 @@ MANIFEST_DDL = ("run_id string, layer string, table_name string, path string, "
 Bucketing = tuple[int, tuple[str, ...]] | None
 
 
-def write_all(jobs: dict[str, Callable[[], str]], max_parallel: int = 4) -> dict[str, str]:
+def write_all(jobs: dict[str, Callable[[], object]], max_parallel: int = 4) -> dict[str, object]:
     """Run independent table writes of one layer as concurrent Spark jobs.
 
     Tables of a layer do not depend on each other, so their jobs share the
@@ -196,6 +197,15 @@ def merge_facts(new_facts: dict[str, DataFrame], current: dict[str, DataFrame],
     return out
 
 
+def _assert_all(checks: dict[str, DataFrame], max_parallel: int) -> None:
+    """Run independent checks concurrently; raise naming every failed one."""
+    results = write_all({name: (lambda d: lambda: d.isEmpty())(df) for name, df in checks.items()},
+                        max_parallel)
+    failed = sorted(name for name, ok in results.items() if not ok)
+    if failed:
+        raise QualityError("data-quality checks failed: " + ", ".join(failed))
+
+
 def source_ddl(name: str) -> str:
     return ", ".join(f"{f.name} {f.dataType.simpleString()}"
                      for f in SOURCE_TABLES[name].schema.fields)
@@ -204,8 +214,8 @@ def source_ddl(name: str) -> str:
 def run_elt(spark: SparkSession, source_root: str, warehouse_root: str, run_ts, run_id: str,
             source_format: str = "parquet", match: str = "latest",
             timings: dict[str, float] | None = None, max_parallel: int = 4,
-            rebuild_facts: bool = False, num_buckets: int | None = None
-            ) -> dict[tuple[str, str], str]:
+            rebuild_facts: bool = False, num_buckets: int | None = None,
+            validate: bool = True) -> dict[tuple[str, str], str]:
     """Extract -> land -> staging upserts -> dimensions -> facts -> manifest.
 
     Each layer is written, then read back by the next, so stages share one
@@ -216,6 +226,11 @@ def run_elt(spark: SparkSession, source_root: str, warehouse_root: str, run_ts,
     on each table's primary key. The extract is then shuffled once, when it
     lands, and the merge of the (ever larger) staging table with it reads
     co-bucketed inputs: no exchange on either side.
+
+    ``validate`` runs the key checks before the merges (a repeated or NULL
+    key in an extract fails the run instead of being resolved arbitrarily) and
+    the one-Current-version check on the new type 2 dimensions before the
+    facts read them. Nothing is published when a check fails.
     """
     import time
     clock = [time.perf_counter()]
@@ -254,6 +269,9 @@ def run_elt(spark: SparkSession, source_root: str, warehouse_root: str, run_ts,
         paths[("landing", name)] = p
     landed = {n: read_version(spark, paths[("landing", n)], table_bucket[n], source_ddl(n))
               for n in sources}
+    if validate:
+        _assert_all({f"unique key of {n}": check_unique(df, SOURCE_TABLES[n].key)
+                     for n, df in landed.items()}, max_parallel)
     lap("extract_land")
 
     # Staging upserts against the previous staging version.
@@ -283,6 +301,10 @@ def run_elt(spark: SparkSession, source_root: str, warehouse_root: str, run_ts,
                              max_parallel).items():
         paths[("final", name)] = p
     star = {n: read(paths[("final", n)]) for n in star}
+    if validate:
+        _assert_all({f"one Current version in {n}": check_single_current(star[n], nk)
+                     for n, nk in (("dim_customer", "customer_nk"), ("dim_seller", "seller_nk"))},
+                    max_parallel)
     lap("dimensions")
 
     # Facts restated against the new Current versions, then merged.

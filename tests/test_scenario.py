@@ -80,3 +80,17 @@ def test_bucketed_runs_merge_without_shuffle(spark, scratch):
                        "2024-06-03 00:00:00")
     plan = m._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_duplicate_extract_key_fails_the_run(spark, scratch):
+    import pytest
+    from starloom.operators.quality import QualityError
+    base = f"{scratch}/base"
+    write_source_extract(spark, "/root/testdata/sf0.001", base)
+    bad = f"{scratch}/bad"
+    _write_day(spark, base, bad)
+    sellers = spark.read.parquet(f"{base}/sellers")
+    sellers.unionByName(sellers.limit(1)).write.mode("overwrite").parquet(f"{bad}/sellers")
+    with pytest.raises(QualityError, match="unique key of sellers"):
+        run_elt(spark, bad, f"{scratch}/wh", "2024-06-01 00:00:00", "r1")
+    assert latest_manifest(spark, f"{scratch}/wh") == {}     # nothing published
