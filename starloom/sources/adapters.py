@@ -118,7 +118,7 @@ SELECT cast(d.doc_id AS string) AS review_id,
 FROM documents d LEFT JOIN orders o ON o.o_orderkey = d.doc_id * 7 % 1500""",
 }
 
-# Payments: the first two items of each order, numbered as in src_order_items.
+# Payments: one per line item (sequential = the item's number within its order).
 ADAPTERS["src_order_payments"] = """
 SELECT cast(l_orderkey AS string) AS order_id,
        order_item_id AS payment_sequential,
@@ -130,8 +130,7 @@ FROM (SELECT l_orderkey, l_linenumber, l_extendedprice, l_returnflag,
              cast(row_number() OVER (PARTITION BY l_orderkey
                   ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity)
                   AS int) AS order_item_id
-      FROM lineitem) numbered
-WHERE order_item_id <= 2"""
+      FROM lineitem) numbered"""
 
 # Staging table name -> adapter view holding its incoming rows.
 SOURCE_VIEWS = {
