@@ -23,11 +23,25 @@ def scan_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 
 def scan_sources(spark: SparkSession, root: str, fmt: str = "parquet") -> dict[str, DataFrame]:
     """Lazy DataFrames for the nine source tables under ``root/<table>``, in
-    ingest (foreign-key) order, each with its declared schema."""
+    ingest (foreign-key) order, each with its declared schema. ``fmt='csv'``
+    reads header CSV exchange files (see ``extract_to_csv``)."""
+    if fmt == "csv":
+        return {name: read_csv_table(spark, f"{root}/{name}", spec.schema)
+                for name, spec in SOURCE_TABLES.items()}
     return {name: scan_table(spark, f"{root}/{name}", spec.schema, fmt)
             for name, spec in SOURCE_TABLES.items()}
 
 
+def extract_to_csv(sources: dict[str, DataFrame], out_root: str) -> dict[str, str]:
+    """Extract step: write every source table as header CSV under
+    ``out_root/<table>`` (the exchange format between extract and load)."""
+    paths = {}
+    for name, df in sources.items():
+        paths[name] = f"{out_root}/{name}"
+        write_csv_table(df, paths[name])
+    return paths
+
+
 # CSV options that keep quoted commas, quotes and embedded newlines in one
 # record (review texts contain all three).
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "escape": '"', "quote": '"',

@@ -94,3 +94,18 @@ def test_duplicate_extract_key_fails_the_run(spark, scratch):
     with pytest.raises(QualityError, match="unique key of sellers"):
         run_elt(spark, bad, f"{scratch}/wh", "2024-06-01 00:00:00", "r1")
     assert latest_manifest(spark, f"{scratch}/wh") == {}     # nothing published
+
+
+def test_csv_extract_loads_like_parquet(spark, scratch):
+    from starloom.sources.tables import extract_to_csv, scan_sources
+    base = f"{scratch}/base"
+    write_source_extract(spark, "/root/testdata/sf0.001", base)
+    extract_to_csv(scan_sources(spark, base), f"{scratch}/csv")
+    run_elt(spark, base, f"{scratch}/wp", "2024-06-01 00:00:00", "r1")
+    run_elt(spark, f"{scratch}/csv", f"{scratch}/wc", "2024-06-01 00:00:00", "r1",
+            source_format="csv")
+    mp, mc = latest_manifest(spark, f"{scratch}/wp"), latest_manifest(spark, f"{scratch}/wc")
+    for key in [("stg", "order_reviews"), ("stg", "orders"), ("final", "fct_order_reviews")]:
+        a, b = spark.read.parquet(mp[key]), spark.read.parquet(mc[key])
+        assert a.exceptAll(b.select(*a.columns)).count() == 0, key
+        assert b.count() == a.count(), key
