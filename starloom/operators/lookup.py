@@ -15,7 +15,7 @@ from .scd import FLAG, VALID_FROM, VALID_TO, current_rows
 # Largest table broadcast by an explicit hint: the generated calendar has
 # 29,221 rows; anything over the bound is left to AQE's runtime choice.
 BROADCAST_MAX_ROWS = 100_000
-_BOUNDED: "weakref.WeakKeyDictionary[DataFrame, bool]" = weakref.WeakKeyDictionary()
+_BOUNDED: "weakref.WeakKeyDictionary[DataFrame, tuple[int, bool]]" = weakref.WeakKeyDictionary()
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
@@ -24,11 +24,17 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
     The check reads at most ``max_rows + 1`` rows (a bounded action); a larger
     table is returned unhinted so AQE picks broadcast or shuffle at runtime.
     """
+    return F.broadcast(df) if fits(df, max_rows) else df
+
+
+def fits(df: DataFrame, max_rows: int) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows (reads at most one more row;
+    the answer is remembered per DataFrame)."""
     known = _BOUNDED.get(df)
-    if known is None:
-        known = df.limit(max_rows + 1).count() <= max_rows
+    if known is None or known[0] != max_rows:
+        known = (max_rows, df.limit(max_rows + 1).count() <= max_rows)
         _BOUNDED[df] = known
-    return F.broadcast(df) if known else df
+    return known[1]
 
 
 def date_keys(dim_date: DataFrame) -> DataFrame:

@@ -54,3 +54,21 @@ def test_review_text_not_shuffled(spark):
     opt = _optimized(E.queries()["fct_order_reviews"](spark, SF))
     agg_part = opt[opt.find("Aggregate"):]
     assert "review_comment_message" not in agg_part.split("Project")[0]
+
+
+def test_delta_merge_streams_the_stored_side(spark):
+    """A small delta merges into a large stored table without shuffling it."""
+    from pyspark.sql import functions as F
+    from starloom.operators.merge import upsert_delta, upsert_overwrite
+    big = spark.range(200000).select(F.col("id").cast("string").alias("k"),
+                                     F.lit("a").alias("v"), F.md5(F.col("id").cast("string")).alias("sk"),
+                                     F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("created_at"),
+                                     F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("updated_at"))
+    delta = spark.createDataFrame([("5", "b", None), ("x", "c", None)], "k string, v string, sk string")
+    out = upsert_delta(big, delta, "k", "2024-06-01 00:00:00", id_col="sk")
+    rows = out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+    assert "SortMergeJoin" not in plan
+    ref = upsert_overwrite(big, delta, "k", "2024-06-01 00:00:00", id_col="sk")
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, ref.collect()))

@@ -109,3 +109,33 @@ def test_csv_extract_loads_like_parquet(spark, scratch):
         a, b = spark.read.parquet(mp[key]), spark.read.parquet(mc[key])
         assert a.exceptAll(b.select(*a.columns)).count() == 0, key
         assert b.count() == a.count(), key
+
+
+def test_incremental_facts_equal_full_restatement(spark, scratch):
+    base = f"{scratch}/base"
+    write_source_extract(spark, "/root/testdata/sf0.001", base)
+    day2 = f"{scratch}/day2"
+    _write_day(spark, base, day2, city_of_1="MOVED")
+    orders = spark.read.parquet(f"{base}/orders")
+    orders.withColumn("order_status", F.when(F.col("order_id") == "5", F.lit("X"))
+                      .otherwise(F.col("order_status"))) \
+        .write.mode("overwrite").parquet(f"{day2}/orders")
+    full, inc = f"{scratch}/full", f"{scratch}/inc"
+    for wh, incremental in ((full, False), (inc, True)):
+        run_elt(spark, base, wh, "2024-06-01 00:00:00", "r1")
+        run_elt(spark, day2, wh, "2024-06-02 00:00:00", "r2", incremental_facts=incremental)
+    mf, mi = latest_manifest(spark, full), latest_manifest(spark, inc)
+    touched = {"5"} | {r["order_id"] for r in spark.read.parquet(f"{base}/orders")
+                       .filter("customer_id IN ('0', '1')").collect()}
+    for name in ("fct_order_items", "fct_order_payments", "fct_order_reviews",
+                 "fct_order_delivery"):
+        a = spark.read.parquet(mf[("final", name)])
+        b = spark.read.parquet(mi[("final", name)]).select(*a.columns)
+        cols = [c for c in a.columns if c != "updated_at"]
+        assert a.select(*cols).exceptAll(b.select(*cols)).count() == 0, name
+        assert b.count() == a.count(), name
+        restated = {r["order_nk"] for r in b.filter("updated_at = '2024-06-02 00:00:00'")
+                    .select("order_nk").collect()}
+        assert restated <= touched, (name, sorted(restated - touched)[:5])
+    d = spark.read.parquet(mi[("final", "fct_order_delivery")])
+    assert d.filter("order_nk = '5'").first()["order_status"] == "X"
