@@ -366,8 +366,19 @@ def run_elt(spark: SparkSession, source_root: str, warehouse_root: str, run_ts,
     # Facts restated against the new Current versions, then merged.
     fact_prev = {n: read(prev[("final", n)]) for n in facts.FACT_KEYS if ("final", n) in prev}
     delta = incremental_facts and not rebuild_facts and len(fact_prev) == len(facts.FACT_KEYS)
-    fact_stg = restrict_to_orders(stg, affected_orders(stg, star, run_ts)) if delta else stg
-    new_facts = merge_facts(build_facts(fact_stg, star), fact_prev, run_ts, rebuild_facts, delta)
+    if delta:
+        # Affected orders and the restated rows are written once to the work
+        # area and read back: computed a single time, sized from stored data.
+        work = lambda name: version_path(warehouse_root, "work", name, run_id)
+        affected_orders(stg, star, run_ts).write.mode("overwrite").parquet(work("affected_orders"))
+        fact_stg = restrict_to_orders(stg, read(work("affected_orders")))
+        restated = build_facts(fact_stg, star)
+        write_all({n: (lambda d, q: lambda: d.write.mode("overwrite").parquet(q))(df, work(n))
+                   for n, df in restated.items()}, max_parallel)
+        new_rows = {n: read(work(n)) for n in restated}
+    else:
+        new_rows = build_facts(stg, star)
+    new_facts = merge_facts(new_rows, fact_prev, run_ts, rebuild_facts, delta)
     for name, p in write_all({n: write("final", n, df) for n, df in new_facts.items()},
                              max_parallel).items():
         paths[("final", name)] = p
