@@ -128,6 +128,32 @@ def latest_manifest(spark: SparkSession, root: str) -> dict[tuple[str, str], str
     return {(r["layer"], r["table_name"]): r["path"] for r in _latest_rows(spark, root)}
 
 
+SCD2_DIMS = ("dim_customer", "dim_seller")
+
+
+def committed_paths(spark: SparkSession, root: str, layer: str, table: str) -> list[str]:
+    """Paths of ``(layer, table)`` in every published run (one manifest row
+    per run and table, so the list is bounded by the number of runs)."""
+    try:
+        m = spark.read.schema(MANIFEST_DDL).json(f"{root}/_manifests/*")
+    except Exception:  # noqa: BLE001 - no manifest yet
+        return []
+    rows = m.filter((F.col("layer") == layer) & (F.col("table_name") == table)) \
+        .select("run_id", "path").collect()
+    return [r["path"] for r in sorted(rows, key=lambda r: r["run_id"])]
+
+
+def read_dimension(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """Full type 2 dimension: Current rows of the latest run plus the Expired
+    partition (that run's increment) of every committed run."""
+    flag = F.col("current_flag")
+    paths = committed_paths(spark, root, "final", name)
+    out = spark.read.parquet(paths[-1]).filter(flag == "Current")
+    for path in paths:
+        out = out.unionByName(spark.read.parquet(path).filter(flag != "Current"))
+    return out
+
+
 def latest_buckets(spark: SparkSession, root: str) -> dict[tuple[str, str], Bucketing]:
     return {(r["layer"], r["table_name"]): (r["num_buckets"], tuple(r["bucket_cols"].split(",")))
             for r in _latest_rows(spark, root) if r["num_buckets"]}
@@ -343,16 +369,20 @@ def run_elt(spark: SparkSession, source_root: str, warehouse_root: str, run_ts,
            for n in SOURCE_TABLES}
     lap("staging")
 
-    # Dimensions (SCD2 dims partitioned by flag so merges skip history files).
+    # Dimensions. A type 2 version is partitioned by current_flag and its
+    # Expired partition holds only the versions that run expired: history is
+    # append-only across runs and never copied (see read_dimension).
     ddl = {"dim_customer": dims.DIM_CUSTOMER_DDL, "dim_seller": dims.DIM_SELLER_DDL,
            "dim_product": dims.DIM_PRODUCT_DDL}
     final_prev = {n: (read(prev[("final", n)]) if ("final", n) in prev
                       else dims.empty(spark, d)) for n, d in ddl.items()}
+    for n in SCD2_DIMS:  # only the Current partition takes part in the merge
+        final_prev[n] = final_prev[n].filter(F.col("current_flag") == "Current")
     if ("final", "dim_date") in prev:
         final_prev["dim_date"] = read(prev[("final", "dim_date")])
     star = build_star(spark, stg, final_prev, run_ts, match)
-    part = {"dim_customer": ["current_flag"], "dim_seller": ["current_flag"]}
     star["dim_date"] = star["dim_date"].sortWithinPartitions("date_id")  # file layout only
+    part = {n: ["current_flag"] for n in SCD2_DIMS}
     for name, p in write_all({n: write("final", n, df, part.get(n)) for n, df in star.items()},
                              max_parallel).items():
         paths[("final", name)] = p
