@@ -10,6 +10,7 @@ from .exprs import col
 
 # Fixed values (must equal the reference's calendar):
 QUARTER_NAMES = ("First", "Second", "Third", "Fourth")
+WEEKEND, WEEKDAY = "weekend", "weekday"
 UNKNOWN_MEMBER = {
     "date_id": UNKNOWN_DATE_ID, "date_actual": "1900-01-01", "day_suffix": "1st",
     "day_name": "Unknown", "day_of_year": 1, "week_of_month": 1, "week_of_year": 1,
@@ -76,7 +77,7 @@ def calendar_columns(d) -> list[Column]:
         F.make_date(year, F.lit(12), F.lit(31)).alias("last_day_of_year"),
         F.date_format(d, "MMyyyy").alias("mmyyyy"),
         F.date_format(d, "MMddyyyy").alias("mmddyyyy"),
-        F.when(wd >= 5, F.lit("weekend")).otherwise(F.lit("weekday")).alias("weekend_indr"),
+        F.when(wd >= 5, F.lit(WEEKEND)).otherwise(F.lit(WEEKDAY)).alias("weekend_indr"),
     ]
 
 

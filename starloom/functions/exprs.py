@@ -12,6 +12,15 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed values (labels and scores that must equal the reference's):
+ON_TIME, LATE = "On Time", "Late"
+WITHIN_THRESHOLD, SIGNIFICANTLY_LATE = "Within Threshold", "Significantly Late"
+LATE_THRESHOLD_DAYS = 3
+CRITICAL, STANDARD = "Critical", "Standard"
+HAS_COMMENT, NO_COMMENT = "Has Comment", "No Comment"
+MULTI_SELLER, SINGLE_SELLER = "Multi Seller", "Single Seller"
+SENTIMENT_POSITIVE, SENTIMENT_NEUTRAL, SENTIMENT_NEGATIVE = 1.0, 0.0, -1.0
+
 
 def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -64,27 +73,27 @@ def days_between(later, earlier) -> Column:
 def delivery_status(delivered, estimated) -> Column:
     d, e = col(delivered), col(estimated)
     both = d.isNotNull() & e.isNotNull()
-    return (F.when(both & (d <= e), F.lit("On Time"))
-            .when(both & (d > e), F.lit("Late")))
+    return (F.when(both & (d <= e), F.lit(ON_TIME))
+            .when(both & (d > e), F.lit(LATE)))
 
 
-def late_severity(delivered, estimated, threshold_days: int = 3) -> Column:
+def late_severity(delivered, estimated, threshold_days: int = LATE_THRESHOLD_DAYS) -> Column:
     d, e = col(delivered), col(estimated)
     both = d.isNotNull() & e.isNotNull()
-    inner = (F.when(d <= e, F.lit("On Time"))
-             .when(d <= e + F.make_dt_interval(F.lit(threshold_days)), F.lit("Within Threshold"))
-             .otherwise(F.lit("Significantly Late")))
+    inner = (F.when(d <= e, F.lit(ON_TIME))
+             .when(d <= e + F.make_dt_interval(F.lit(threshold_days)), F.lit(WITHIN_THRESHOLD))
+             .otherwise(F.lit(SIGNIFICANTLY_LATE)))
     return F.when(both, inner)
 
 
 def sentiment_score(score) -> Column:
     s = col(score)
-    return (F.when(s >= 4, F.lit(1.0)).when(s == 3, F.lit(0.0)).when(s <= 2, F.lit(-1.0))
-            .otherwise(F.lit(0.0)))
+    return (F.when(s >= 4, F.lit(SENTIMENT_POSITIVE)).when(s == 3, F.lit(SENTIMENT_NEUTRAL))
+            .when(s <= 2, F.lit(SENTIMENT_NEGATIVE)).otherwise(F.lit(SENTIMENT_NEUTRAL)))
 
 
 def review_severity(score) -> Column:
-    return F.when(col(score) <= 2, F.lit("Critical")).otherwise(F.lit("Standard"))
+    return F.when(col(score) <= 2, F.lit(CRITICAL)).otherwise(F.lit(STANDARD))
 
 
 def text_length(text) -> Column:
@@ -95,11 +104,11 @@ def text_length(text) -> Column:
 def comment_status(text) -> Column:
     """'Has Comment' only for text that is non-blank after trimming spaces."""
     t = col(text)
-    return (F.when(t.isNotNull() & (F.length(F.trim(t)) > 0), F.lit("Has Comment"))
-            .otherwise(F.lit("No Comment")))
+    return (F.when(t.isNotNull() & (F.length(F.trim(t)) > 0), F.lit(HAS_COMMENT))
+            .otherwise(F.lit(NO_COMMENT)))
 
 
 def multi_seller_label(min_seller, max_seller) -> Column:
     """'Multi Seller' iff more than one distinct non-null seller (min <> max)."""
-    return (F.when(col(min_seller) != col(max_seller), F.lit("Multi Seller"))
-            .otherwise(F.lit("Single Seller")))
+    return (F.when(col(min_seller) != col(max_seller), F.lit(MULTI_SELLER))
+            .otherwise(F.lit(SINGLE_SELLER)))
