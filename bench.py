@@ -1,6 +1,7 @@
 """Benchmark: end-to-end warehouse runs plus the headline registered queries.
 
-Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
+Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
+BENCH_EVENT_LOG_DIR (optional: write Spark's event log there for stage times).
 Prints one JSON line. ``value`` is the wall-clock of a full first run
 (extract+land, nine staging upserts, three dimensions + calendar, four facts,
 all written as parquet) -- the same work as the reference's three timed steps.
@@ -31,9 +32,13 @@ HEADLINE = ["stg_orders", "stg_order_items", "merge_audit", "dim_customer_scd2",
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
+    extra = {"spark.driver.memory": "16g"}
+    event_dir = os.environ.get("BENCH_EVENT_LOG_DIR")  # stage/task times without the UI
+    if event_dir:
+        os.makedirs(event_dir, exist_ok=True)
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_dir})
     spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus),
-                          app_name="starloom-bench",
-                          extra={"spark.driver.memory": "16g"})
+                          app_name="starloom-bench", extra=extra)
     scratch = tempfile.mkdtemp(prefix="bench-", dir=checkpoint_dir(spark))
     src_root, wh_root = f"{scratch}/source", f"{scratch}/warehouse"
 
