@@ -198,3 +198,20 @@ def test_csv_round_trip(spark, scratch):
     from pyspark.sql import types as T
     back = read_csv_table(spark, f"{scratch}/t", T._parse_datatype_string(schema))
     assert rows(back) == [(1, text), (2, "   "), (3, None)]
+
+
+def test_as_of_lookup_rules(spark):
+    from starloom.operators.lookup import lookup_as_of
+    dim = spark.createDataFrame([
+        ("v1", "n", date(2020, 1, 1), date(2020, 6, 1)),
+        ("v2", "n", date(2020, 6, 1), date(2020, 6, 1)),     # changed twice on one day
+        ("v3", "n", date(2020, 6, 1), date(9999, 12, 31)),
+        ("w1", "m", date(2021, 1, 1), date(9999, 12, 31))],
+        "sk string, nk string, valid_from date, valid_to date")
+    facts = spark.createDataFrame([(1, "n", datetime(2019, 3, 1)), (2, "n", datetime(2020, 5, 31, 23)),
+                                   (3, "n", datetime(2020, 6, 1)), (4, "m", datetime(2020, 12, 31)),
+                                   (5, "x", datetime(2020, 1, 1))], "k int, key string, t timestamp_ntz")
+    got = rows(lookup_as_of(facts, "key", "t", dim, "nk", "sk", "ver"), "k", "ver")
+    # before the first load date -> first version; boundary day -> the new version;
+    # the empty same-day version never matches; unknown key stays (left join)
+    assert got == [(1, "v1"), (2, "v1"), (3, "v3"), (4, "w1"), (5, None)]
