@@ -143,3 +143,15 @@ def test_incremental_facts_equal_full_restatement(spark, scratch):
         assert restated <= touched, (name, sorted(restated - touched)[:5])
     d = spark.read.parquet(mi[("final", "fct_order_delivery")])
     assert d.filter("order_nk = '5'").first()["order_status"] == "X"
+
+
+def test_rebuild_facts_starts_from_empty(spark, scratch):
+    base = f"{scratch}/base"
+    write_source_extract(spark, "/root/testdata/sf0.001", base)
+    wh = f"{scratch}/wh"
+    run_elt(spark, base, wh, "2024-06-01 00:00:00", "r1")
+    run_elt(spark, base, wh, "2024-06-02 00:00:00", "r2", rebuild_facts=True)
+    m = latest_manifest(spark, wh)
+    f = spark.read.parquet(m[("final", "fct_order_items")])
+    assert f.count() > 0
+    assert f.filter("created_at <> '2024-06-02 00:00:00'").count() == 0   # reloaded, not merged
