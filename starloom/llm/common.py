@@ -189,7 +189,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         if roots is None:
             roots = step
         else:
-            nxt = step.withColumnsRenamed({"node": "root", "root": "to"})
+            nxt = hook.select(F.col("hi").alias("root"), F.col("up").alias("to"))
             moved = roots.join(nxt, "root", "left").select(
                 "node", F.coalesce("to", "root").alias("root"))
             roots = materialize(moved.unionByName(step), "cc-roots")
