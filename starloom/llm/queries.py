@@ -5,7 +5,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .packing import pack_documents
 from .superminhash import NearDup, near_duplicates
+from .tokens import read_token_files, write_token_files
+
+
+def _vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +24,15 @@ def op1_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), params=NearDup(3, 85, 100))
 
 
-QUERIES = {f.__name__: f for f in (op1_superminhash,)}
+def op2_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = write_token_files(_table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"), end_id=2)
+    return read_token_files(index)
+
+
+QUERIES = {f.__name__: f for f in (op1_superminhash, op2_harmonic_packing, op7_token_files)}
 
 ORACLES: dict[str, str] = {}
