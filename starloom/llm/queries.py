@@ -5,6 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontam import contamination
+from .licenses import scan_licenses
 from .packing import pack_documents
 from .superminhash import NearDup, near_duplicates
 from .tokens import read_token_files, write_token_files
@@ -33,6 +35,16 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(index)
 
 
-QUERIES = {f.__name__: f for f in (op1_superminhash, op2_harmonic_packing, op7_token_files)}
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, bench = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return contamination(docs, bench).drop("items", "spans")
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_superminhash, op2_harmonic_packing, op7_token_files,
+                                   op8_decontamination, op9_license_scan)}
 
 ORACLES: dict[str, str] = {}
