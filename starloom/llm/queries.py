@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .decontam import contamination
 from .licenses import scan_licenses
 from .packing import pack_documents
+from .quality import classify
 from .superminhash import NearDup, near_duplicates
 from .tokens import read_token_files, write_token_files
 
@@ -44,7 +45,12 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(_table(spark, sf_dir, "documents"))
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (op1_superminhash, op2_harmonic_packing, op7_token_files,
-                                   op8_decontamination, op9_license_scan)}
+                                   op8_decontamination, op9_license_scan,
+                                   op10_quality_classifier)}
 
 ORACLES: dict[str, str] = {}
