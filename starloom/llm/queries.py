@@ -9,6 +9,7 @@ from .decontam import contamination
 from .licenses import scan_licenses
 from .packing import pack_documents
 from .quality import classify
+from .suffix import repeat_digest
 from .superminhash import NearDup, near_duplicates
 from .tokens import read_token_files, write_token_files
 
@@ -31,6 +32,10 @@ def op2_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_digest(_table(spark, sf_dir, "documents"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = write_token_files(_table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"), end_id=2)
     return read_token_files(index)
@@ -49,7 +54,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_superminhash, op2_harmonic_packing, op7_token_files,
+QUERIES = {f.__name__: f for f in (op1_superminhash, op2_harmonic_packing, op6_suffix_dedup, op7_token_files,
                                    op8_decontamination, op9_license_scan,
                                    op10_quality_classifier)}
 
