@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .ctw import score_texts
 from .decontam import contamination
 from .licenses import scan_licenses
 from .packing import pack_documents
@@ -32,6 +33,10 @@ def op2_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
 
 
+def op5_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(_table(spark, sf_dir, "documents"))
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeat_digest(_table(spark, sf_dir, "documents"))
 
@@ -54,7 +59,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_superminhash, op2_harmonic_packing, op6_suffix_dedup, op7_token_files,
+QUERIES = {f.__name__: f for f in (op1_superminhash, op2_harmonic_packing, op5_context_tree, op6_suffix_dedup, op7_token_files,
                                    op8_decontamination, op9_license_scan,
                                    op10_quality_classifier)}
 

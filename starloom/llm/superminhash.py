@@ -10,8 +10,10 @@ sets, and verified links are grouped by distributed union-find.
 Only one document of each distinct shingle set is signed, linked and verified.
 Verification runs in star rounds: a bucket's pivot against the others, so a
 bucket of any size gives a linear number of pairs. What the rounds leave apart
-is settled exactly: documents that share a band but not a component are
-compared pair by pair, so no link between components is lost.
+is settled exactly: documents that share a band but not a component are all
+compared, pair by pair in small buckets, and in large ones in blocks of sets
+whose intersections one task counts at once, so no link between components is
+lost and no pairs of a large group are written out.
 """
 
 from __future__ import annotations
@@ -44,6 +46,9 @@ class NearDup:
     bands: int = 25
     rows: int = 5
     star_rounds: int = 2
+    #: Members of a bucket that are compared pair by pair; sets of a block beyond.
+    small: int = 32
+    block: int = 256
 
 
 def shingle_hashes(h: np.ndarray, wofs: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -207,11 +212,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         links, labels = _link(pairs, sets, links, p)
     rest = materialize(_undecided(members, labels), "smh-rest")
     if not rest.isEmpty():
-        x = rest.select("band", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
-        y = rest.select("band", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
+        sizes = materialize(rest.groupBy("band").agg(F.count("*").alias("size")), "smh-sizes")
+        few = rest.join(sizes.filter(F.col("size") <= p.small), "band")
+        x = few.select("band", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
+        y = few.select("band", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
         pairs = (x.join(y, "band").filter("la < lb").filter(_close(p, F.col("na"), F.col("nb")))
                  .select("a", "b").distinct())
-        links, labels = _link(pairs, sets, links, p)
+        many = rest.join(sizes.filter(F.col("size") > p.small).select("band"), "band")
+        links, labels = _link(pairs, sets, links, p, _block_links(many, sets, p))
     of_set = reps.select("fp1", "fp2", F.col("n").alias("n2"), "rep").join(
         labels.select(F.col("node").alias("rep"), "root"), "rep", "left").select(
         "fp1", "fp2", "n2", F.coalesce("root", "rep").alias("component"))
@@ -248,13 +256,78 @@ def _candidate_sets(src: DataFrame, members: DataFrame, p: NearDup) -> DataFrame
     return materialize(texts.mapInArrow(_write_sets(p), "doc long, elems binary"), "smh-sets")
 
 
-def _link(pairs: DataFrame, sets: DataFrame, links: DataFrame | None, p: NearDup):
-    """Verify pairs, add them to the links, and group all links."""
+def _block_links(many: DataFrame, sets: DataFrame, p: NearDup) -> DataFrame:
+    """Links (a, b) between the members of large buckets. Buckets that share
+    members form a cluster, so each pair is compared once, not once a bucket;
+    a cluster's sets are dealt to blocks, and each pair of blocks is one group."""
+    many = materialize(many, "smh-many")
+    firsts = materialize(many.groupBy("band").agg(F.min("rep").alias("b")), "smh-firsts")
+    cluster = connected_components(many.join(firsts, "band").select(F.col("rep").alias("a"), "b"))
+    named = many.select("rep", "label").distinct().join(
+        cluster.withColumnRenamed("node", "rep"), "rep", "left").select(
+        "rep", "label", F.coalesce("root", "rep").alias("cluster"))
+    named = materialize(named, "smh-cluster")
+    blocks = materialize(named.groupBy("cluster").agg(F.ceil(F.count("*") / p.block).alias("blocks")), "smh-blocks")
+    dealt = (named.join(blocks, "cluster").withColumn("own", F.pmod(F.xxhash64("rep"), "blocks"))
+             .join(sets.withColumnRenamed("doc", "rep"), "rep")
+             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))))
+    keyed = dealt.select("cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+                         "own", "rep", "label", "elems")
+    return keyed.groupBy("cluster", "i", "j").applyInArrow(_compare_blocks(p), "a long, b long")
+
+
+def intersections(elems: np.ndarray, owner: np.ndarray, n: int, width: int = 4096) -> np.ndarray:
+    """(n, n) sizes of the intersections of n sets given as flat (element, set)."""
+    order = np.argsort(elems)
+    e, o = elems[order], owner[order]
+    new = np.concatenate(([True], e[1:] != e[:-1])) if len(e) else np.zeros(0, bool)
+    shared = ~(new & np.concatenate((new[1:], [True]))) if len(e) else new
+    column = np.cumsum(new[shared]) - 1
+    o = o[shared]
+    out = np.zeros((n, n), np.float32)  # exact: counts stay below 2**24
+    cuts = np.searchsorted(column, np.arange(0, (column[-1] if len(column) else -1) + width + 1, width))
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        m = np.zeros((n, width), np.float32)
+        m[o[a:b], column[a:b] % width] = 1
+        out += m @ m.T
+    return out
+
+
+def _compare_blocks(p: NearDup):
+    def run(table: pa.Table) -> pa.Table:
+        rep, label = table.column("rep").to_numpy(), table.column("label").to_numpy()
+        own, i, j = table.column("own").to_numpy(), table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("elems")]
+        size = np.array([len(x) for x in sets], np.int64)
+        both = intersections(np.concatenate(sets), np.repeat(np.arange(len(sets)), size), len(sets)).astype(np.int64)
+        link = p.den * both >= p.num * (size[:, None] + size[None, :] - both)
+        link &= label[:, None] != label[None, :]
+        if i != j:  # pairs inside a block belong to (i, i)
+            link &= own[:, None] != own[None, :]
+        low = np.arange(len(sets))  # smallest row reachable: a few edges stand for all
+        order = np.argsort(rep)
+        link, rep = link[order][:, order], rep[order]
+        while True:
+            new = np.minimum(low, np.where(link, low[None, :], len(sets)).min(axis=1, initial=len(sets)))
+            new = new[new]
+            if (new == low).all():
+                break
+            low = new
+        far = np.flatnonzero(low < np.arange(len(sets)))
+        return pa.table({"a": rep[far], "b": rep[low[far]]})
+    return run
+
+
+def _link(pairs: DataFrame, sets: DataFrame, links: DataFrame | None, p: NearDup,
+          more: DataFrame | None = None):
+    """Verify pairs, add them (and ``more`` links) to the links, and group all."""
     pairs = materialize(pairs, "smh-pairs")
     half = pairs.join(sets.select(F.col("doc").alias("a"), F.col("elems").alias("x")), "a")
     full = half.join(sets.select(F.col("doc").alias("b"), F.col("elems").alias("y")), "b")
     new = materialize(full.select("a", "b", "x", "y").mapInArrow(_verify(p), "a long, b long"), "smh-links")
     links = new if links is None else links.unionByName(new)
+    if more is not None:
+        links = links.unionByName(materialize(more, "smh-block-links"))
     return links, connected_components(links)
 
 
