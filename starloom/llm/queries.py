@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .ctw import score_texts
 from .decontam import contamination
+from .embeddings import similar_vectors
 from .licenses import scan_licenses
 from .packing import pack_documents
 from .quality import classify
@@ -33,6 +34,10 @@ def op2_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
 
 
+def op4_pca_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op5_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(_table(spark, sf_dir, "documents"))
 
@@ -59,7 +64,8 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_superminhash, op2_harmonic_packing, op5_context_tree, op6_suffix_dedup, op7_token_files,
+QUERIES = {f.__name__: f for f in (op1_superminhash, op2_harmonic_packing, op4_pca_tiles, op5_context_tree,
+                                   op6_suffix_dedup, op7_token_files,
                                    op8_decontamination, op9_license_scan,
                                    op10_quality_classifier)}
 
