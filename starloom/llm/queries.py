@@ -4,10 +4,12 @@ with production parameters, to the whole of its table."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .ctw import score_texts
 from .decontam import contamination
 from .embeddings import similar_vectors
+from .langid import declared_language, identify, page_text, url_host
 from .licenses import scan_licenses
 from .packing import pack_documents
 from .quality import classify
@@ -34,6 +36,18 @@ def op2_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents (no markup; the source is their site) and web pages together."""
+    docs, pages = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "pages")
+    null = F.lit(None)
+    rows = docs.select("doc_id", null.cast("long").alias("page_id"), "text", null.cast("string").alias("markup"),
+                       F.col("source").alias("host"))
+    rows = rows.unionByName(pages.select(
+        null.cast("long").alias("doc_id"), "page_id", page_text(F.col("html")).alias("text"),
+        declared_language(F.col("html")).alias("markup"), url_host(F.col("url")).alias("host")))
+    return identify(rows, docs).withColumnRenamed("lang_id", "lang").drop("host")
+
+
 def op4_pca_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_vectors(_table(spark, sf_dir, "embeddings"))
 
@@ -64,7 +78,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_superminhash, op2_harmonic_packing, op4_pca_tiles, op5_context_tree,
+QUERIES = {f.__name__: f for f in (op1_superminhash, op2_harmonic_packing, op3_language_id, op4_pca_tiles, op5_context_tree,
                                    op6_suffix_dedup, op7_token_files,
                                    op8_decontamination, op9_license_scan,
                                    op10_quality_classifier)}
