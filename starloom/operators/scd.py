@@ -43,6 +43,9 @@ def scd2_merge(current: DataFrame, source: DataFrame, nk: str, tracked: Sequence
        when any source row of that key differs.
     3. Insert a Current version (``valid_from = run date``, ``valid_to = 9999-12-31``)
        for every picked key left without a Current version.
+    A version's surrogate is made of its natural key and the run timestamp, so two
+    changes on one day give two keys. A NULL natural key in ``source`` fails the job.
+
     4. Expired history and keys absent from the source pass through untouched.
 
     Only Current rows take part in the join; history is a plain union. The
@@ -56,6 +59,8 @@ def scd2_merge(current: DataFrame, source: DataFrame, nk: str, tracked: Sequence
     history = current.filter(F.col(FLAG) != F.lit(CURRENT))
     active = current_rows(current)
     src = source.select(nk, *attrs, *[c for c, _ in (order or []) if c not in attrs and c != nk])
+    src = src.withColumn(nk, F.when(F.col(nk).isNull(), F.raise_error(
+        F.lit(f"NULL natural key {nk}"))).otherwise(F.col(nk)))
     picked = latest_per_key(src, nk, order) if order else src
     picked = picked.select(nk, *attrs)
 
@@ -85,7 +90,7 @@ def scd2_merge(current: DataFrame, source: DataFrame, nk: str, tracked: Sequence
         F.col("created_at").alias("created_at"),
         F.when(expire, ts).otherwise(F.col("updated_at")).alias("updated_at")))
     new_version = F.when(insert, F.struct(
-        surrogate_key(nk, run_date).alias(sk_col), *[F.col("__new_" + a).alias(a) for a in attrs],
+        surrogate_key(nk, ts).alias(sk_col), *[F.col("__new_" + a).alias(a) for a in attrs],
         run_date.alias(VALID_FROM), date_literal(END_OF_TIME).alias(VALID_TO),
         F.lit(CURRENT).alias(FLAG), ts.alias("created_at"), ts.alias("updated_at")))
     versions = (j.select(nk, F.explode(F.filter(F.array(old_version, new_version),
