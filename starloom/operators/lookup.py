@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import weakref
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,34 +10,10 @@ from ..schemas import UNKNOWN_DATE_ID
 from .scd import FLAG, VALID_FROM, VALID_TO, current_rows
 
 
-# Largest table broadcast by an explicit hint: the generated calendar has
-# 29,221 rows; anything over the bound is left to AQE's runtime choice.
-BROADCAST_MAX_ROWS = 100_000
-_BOUNDED: "weakref.WeakKeyDictionary[DataFrame, tuple[int, bool]]" = weakref.WeakKeyDictionary()
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Hint a broadcast only after proving ``df`` has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (a bounded action); a larger
-    table is returned unhinted so AQE picks broadcast or shuffle at runtime.
-    """
-    return F.broadcast(df) if fits(df, max_rows) else df
-
-
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows (reads at most one more row;
-    the answer is remembered per DataFrame)."""
-    known = _BOUNDED.get(df)
-    if known is None or known[0] != max_rows:
-        known = (max_rows, df.limit(max_rows + 1).count() <= max_rows)
-        _BOUNDED[df] = known
-    return known[1]
-
-
 def date_keys(dim_date: DataFrame) -> DataFrame:
-    """(date_actual, date_id) pairs for lookups, broadcast when bounded."""
-    return bounded_broadcast(dim_date).select("date_actual", "date_id")
+    """(date_actual, date_id) pairs for lookups. The calendar is generated: its
+    size is fixed by ``DATE_SPINE_DAYS``, so it is always broadcast."""
+    return F.broadcast(dim_date.select("date_actual", "date_id"))
 
 
 def _lookup_with_keys(df: DataFrame, when, out_col: str, keys: DataFrame) -> DataFrame:
@@ -60,7 +34,7 @@ def lookup_date(df: DataFrame, when, out_col: str, dim_date: DataFrame) -> DataF
 
 def lookup_dates(df: DataFrame, roles: dict[str, object], dim_date: DataFrame) -> DataFrame:
     """Role-playing lookups: one left join per ``{out_col: when}``, all against
-    the same (size-checked once) calendar keys."""
+    the same calendar keys."""
     keys = date_keys(dim_date)
     for out_col, when in roles.items():
         df = _lookup_with_keys(df, when, out_col, keys)
@@ -111,4 +85,4 @@ def lookup_as_of(df: DataFrame, key: str, when, dim: DataFrame, nk: str, sk: str
 
 
 __all__ = ["lookup_date", "lookup_dates", "lookup_current", "lookup_as_of", "current_key_map",
-           "current_version_attributes", "date_keys", "bounded_broadcast", "FLAG"]
+           "current_version_attributes", "date_keys", "FLAG"]

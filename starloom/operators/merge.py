@@ -168,33 +168,22 @@ def merge_audit(merged: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-# Largest delta (in keys) merged by broadcasting its keys; beyond it the
-# full outer join plan of upsert_overwrite is used.
-DELTA_BROADCAST_MAX_KEYS = 2_000_000
-
-
 def upsert_delta(current: DataFrame, incoming: DataFrame, key, run_ts, id_col: str,
-                 created_col: str = "created_at", updated_col: str = "updated_at",
-                 max_broadcast_keys: int = DELTA_BROADCAST_MAX_KEYS) -> DataFrame:
-    """Same result as ``upsert_overwrite`` (minus the action column), planned
-    for a small ``incoming``: its keys are broadcast (after a bounded size
-    check), untouched stored rows stream through a broadcast anti-join and the
-    touched ones through a broadcast semi-join, so the large stored table is
-    never shuffled. A delta over the bound falls back to the shuffle merge."""
-    from .lookup import fits
+                 created_col: str = "created_at", updated_col: str = "updated_at") -> DataFrame:
+    """Same rows as ``upsert_overwrite`` (minus the action column), written for an
+    ``incoming`` that touches few stored rows: untouched rows pass an anti-join on
+    the delta's keys, touched ones are rebuilt from the delta. No join is hinted;
+    adaptive execution broadcasts the delta when its measured size allows."""
     keys = _keys(key)
-    delta_keys = incoming.select(*keys)
-    if not fits(delta_keys, max_broadcast_keys):
-        return upsert_overwrite(current, incoming, keys, run_ts, id_col, created_col, updated_col)
     ts = ts_literal(run_ts)
-    bkeys = F.broadcast(delta_keys)
-    untouched = current.join(bkeys, on=keys, how="left_anti")
-    old = (current.join(bkeys, on=keys, how="left_semi")
-           .select(*keys, F.col(id_col).alias("__old_id"), F.col(created_col).alias("__old_created")))
-    inc = incoming.drop(id_col) if id_col in incoming.columns else incoming
-    restated = inc.join(old, on=keys, how="left").select(
-        *[F.coalesce(F.col("__old_id"), surrogate_key(*keys)).alias(c) if c == id_col
-          else F.coalesce(F.col("__old_created"), ts).alias(c) if c == created_col
+    untouched = current.join(incoming.select(*keys), on=keys, how="left_anti")
+    given = [c for c in incoming.columns if c not in keys and c != id_col]
+    old = current.join(incoming.select(*keys), on=keys, how="left_semi").select(
+        *keys, *[F.col(c).alias("__old_" + c) for c in current.columns if c not in keys and c not in given])
+    restated = incoming.select(*keys, *given).join(old, on=keys, how="left").select(
+        *[F.coalesce(F.col("__old_" + c), surrogate_key(*keys)).alias(c) if c == id_col
+          else F.coalesce(F.col("__old_" + c), ts).alias(c) if c == created_col
           else ts.alias(c) if c == updated_col
-          else F.col(c) for c in current.columns])
+          else F.col(c) if c in keys or c in given
+          else F.col("__old_" + c).alias(c) for c in current.columns])
     return untouched.unionByName(restated)

@@ -91,14 +91,16 @@ def build_fct_order_payments(stg_order_payments, stg_orders, stg_customers, dim_
 
 def build_fct_order_reviews(stg_order_reviews, stg_orders, stg_customers, dim_customer,
                             dim_date, dedupe: bool = True) -> DataFrame:
-    """One row per (review, order). Text measures are computed before any
+    """One row per (review, order): the latest by ``updated_at``, or with
+    ``dedupe=False`` the rows as they are, for a table whose key is already
+    unique (a staging table after its merge). Text measures are computed before any
     shuffle, so only their small results (not the review text) move."""
     r = stg_order_reviews.select(
         "review_id", "order_id", "review_score", "review_creation_date",
         X.text_length("review_comment_message").alias("review_length_chars"),
         X.comment_status("review_comment_message").alias("comment_status"),
-        *(["updated_at"] if "updated_at" in stg_order_reviews.columns else []))
-    if dedupe and "updated_at" in r.columns:
+        *(["updated_at"] if dedupe else []))
+    if dedupe:
         r = latest_per_key(r, ["review_id", "order_id"], [("updated_at", "desc")])
     orders = order_customer_keys(stg_orders, stg_customers, dim_customer) \
         .select("order_id", "order_status", "order_purchase_timestamp", "customer_sk")

@@ -18,8 +18,7 @@ from ..functions import exprs as X
 from ..functions.calendar import build_dim_date
 from ..operators import aggregates as A
 from ..operators import quality as Q
-from ..operators.lookup import (bounded_broadcast, lookup_as_of, lookup_current, lookup_date,
-                                lookup_dates)
+from ..operators.lookup import lookup_as_of, lookup_current, lookup_date, lookup_dates
 from ..operators.merge import (append_rows, insert_if_absent, latest_per_key, merge_audit,
                                upsert_overwrite)
 from ..operators.scd import current_rows
@@ -164,7 +163,7 @@ def _dim_date(r: Run) -> DataFrame:
     """Every order's purchase day with all calendar attributes (unknown member
     for days outside the calendar)."""
     o = lookup_date(_orders_ts(r), "order_purchase_timestamp", "purchase_date_id", r.dim_date)
-    cal = bounded_broadcast(r.dim_date)
+    cal = F.broadcast(r.dim_date)
     return o.join(cal, o.purchase_date_id == cal.date_id, "inner").select("order_id", *cal.columns)
 
 
@@ -172,7 +171,7 @@ def _dim_date(r: Run) -> DataFrame:
 def _unknown_member(r: Run) -> DataFrame:
     """Orders whose approval day resolves to the unknown member."""
     o = lookup_date(_orders_ts(r), "order_approved_at", "approval_date_id", r.dim_date)
-    cal = bounded_broadcast(r.dim_date)
+    cal = F.broadcast(r.dim_date)
     return (o.filter(F.col("approval_date_id") == -1)
             .join(cal, o.approval_date_id == cal.date_id)
             .select("order_id", "date_id", "date_actual", "day_name", "month_name_abbreviated",

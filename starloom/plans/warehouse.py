@@ -247,7 +247,7 @@ def build_facts(stg: dict[str, DataFrame], star: dict[str, DataFrame]) -> dict[s
             d["dim_date"]),
         "fct_order_reviews": facts.build_fct_order_reviews(
             stg["order_reviews"], stg["orders"], stg["customers"], d["dim_customer"],
-            d["dim_date"]),
+            d["dim_date"], dedupe=False),
         "fct_order_delivery": facts.build_fct_order_delivery(
             stg["orders"], stg["customers"], d["dim_customer"], stg["order_items"],
             stg["sellers"], d["dim_seller"], d["dim_date"]),

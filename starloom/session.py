@@ -20,12 +20,16 @@ SESSION_DEFAULTS = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "starloom", extra: dict | None = None) -> SparkSession:
-    """Create (or reuse) a session with the defaults above."""
-    builder = SparkSession.builder.master(master).appName(app_name)
+    """Create (or reuse) a session with the defaults above. The master and the
+    number of shuffle partitions are the cluster's unless the caller names them."""
+    builder = SparkSession.builder.appName(app_name)
+    if master:
+        builder = builder.master(master)
     conf = dict(SESSION_DEFAULTS)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -43,15 +47,19 @@ def ensure_utc(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession, fallback_parent: str | None = None) -> str:
     """Return the cluster's shared checkpoint folder.
 
-    The folder named by ``spark.checkpoint.dir`` is used as is. Only when it is
-    unset (local tests) a fresh folder is created under ``fallback_parent`` (or
-    the system temp dir) and registered with the SparkContext.
+    The folder named by ``spark.checkpoint.dir`` is used as is. When it is unset,
+    a local session (tests) gets a fresh folder under ``fallback_parent`` (or the
+    system temp dir), registered with the SparkContext; on a cluster, whose
+    machines do not share such a folder, that is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not (fallback_parent or spark.sparkContext.master.startswith("local[")
+            or spark.sparkContext.master == "local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
     parent = fallback_parent or tempfile.gettempdir()
     os.makedirs(parent, exist_ok=True)
     path = tempfile.mkdtemp(prefix="starloom-ckpt-", dir=parent)
