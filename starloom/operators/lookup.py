@@ -56,24 +56,27 @@ def lookup_current(df: DataFrame, key: str, dim: DataFrame, nk: str, sk: str,
 def current_version_attributes(df: DataFrame, version_col: str, dim: DataFrame, sk: str,
                                nk: str, attrs: list[str]) -> DataFrame:
     """Attach attributes of the *Current* version to rows that reference any
-    version of a type 2 dimension (version key -> natural key -> Current)."""
+    version of a type 2 dimension (version key -> natural key -> Current). Rows
+    without a version, or whose key has no Current one, keep NULL attributes."""
     versions = dim.select(F.col(sk).alias(version_col), F.col(nk).alias("__nk"))
     cur = current_rows(dim).select(F.col(nk).alias("__nk"), *attrs)
-    return df.join(versions, version_col, "inner").join(cur, "__nk", "inner").drop("__nk")
+    return df.join(versions, version_col, "left").join(cur, "__nk", "left").drop("__nk")
 
 
 def lookup_as_of(df: DataFrame, key: str, when, dim: DataFrame, nk: str, sk: str,
-                 out_col: str, open_first: bool = True, how: str = "left") -> DataFrame:
+                 out_col: str, open_first: bool = True, how: str = "left",
+                 attrs: tuple[str, ...] = ()) -> DataFrame:
     """Point-in-time lookup: the version valid on ``when`` (half-open
     ``[valid_from, valid_to)``), equi-joined on the natural key.
 
     ``valid_from`` is the load date of a version, so with ``open_first`` the
     first version of each key also covers every earlier event. Versions with
-    ``valid_from = valid_to`` (changed twice on one day) never match.
+    ``valid_from = valid_to`` (changed twice on one day) never match. ``attrs``
+    are columns of the matched version to bring along.
     """
     first = dim.groupBy(nk).agg(F.min(VALID_FROM).alias("__first_from"))
     versions = (dim.join(first, on=nk, how="inner")
-                .select(F.col(nk).alias("__nk"), F.col(sk).alias(out_col),
+                .select(F.col(nk).alias("__nk"), F.col(sk).alias(out_col), *attrs,
                         F.when(F.lit(open_first) & (F.col(VALID_FROM) == F.col("__first_from")),
                                F.lit(None).cast("date")).otherwise(F.col(VALID_FROM))
                         .alias("__from"),

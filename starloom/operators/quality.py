@@ -37,7 +37,7 @@ def check_foreign_key(child: DataFrame, fk, parent: DataFrame, pk) -> DataFrame:
     non_null = child
     for c in fks:
         non_null = non_null.filter(F.col(c).isNotNull())
-    parent_keys = parent.select(*[F.col(p).alias(f) for p, f in zip(pks, fks)]).distinct()
+    parent_keys = parent.select(*[F.col(p).alias(f) for p, f in zip(pks, fks)])
     return non_null.join(parent_keys, on=fks, how="left_anti")
 
 

@@ -18,9 +18,10 @@ DIM_PRODUCT_DDL = ("product_id string, product_nk string, product_category_name
                    "product_category_name_english string, product_weight_g double, "
                    f"product_length_cm double, product_height_cm double, product_width_cm double, "
                    f"{_AUDIT}")
-DIM_CLUSTER_DDL = "cluster_id string, cluster_label string, model_version string, assigned_date date"
+DIM_CLUSTER_DDL = ("cluster_id string, cluster_label string, model_version string, "
+                   f"assigned_date date, {_AUDIT}")
 CLUSTER_ASSIGNMENT_DDL = ("assignment_id string, customer_id string, cluster_id string, "
-                          "model_version string, assigned_date date")
+                          f"model_version string, assigned_date date, {_AUDIT}")
 
 
 def empty(spark: SparkSession, ddl: str) -> DataFrame:
@@ -34,7 +35,14 @@ def attach_geo(df: DataFrame, zip_col: str, stg_geolocation: DataFrame,
     geo = zip_centroid(stg_geolocation).select(
         F.col("geolocation_zip_code_prefix").alias("__zip"),
         F.col("geolocation_lat").alias(lat_col), F.col("geolocation_lng").alias(lng_col))
-    return df.join(geo, F.col(zip_col) == F.col("__zip"), "left").drop("__zip")
+    return left_join_non_null(df, geo, zip_col, "__zip")
+
+
+def left_join_non_null(df: DataFrame, small: DataFrame, key: str, small_key: str) -> DataFrame:
+    """Left join in which rows with a NULL key, which cannot match, stay out of
+    the shuffle instead of meeting on one key."""
+    known = df.filter(F.col(key).isNotNull()).join(small, F.col(key) == F.col(small_key), "left").drop(small_key)
+    return known.unionByName(df.filter(F.col(key).isNull()), allowMissingColumns=True)
 
 
 def customer_source(stg_customers: DataFrame, stg_geolocation: DataFrame) -> DataFrame:
@@ -75,8 +83,9 @@ def build_dim_seller(dim_seller: DataFrame, stg_sellers: DataFrame, stg_geolocat
 
 def product_source(stg_products: DataFrame, stg_translation: DataFrame) -> DataFrame:
     """Products with their English category name (NULL when untranslated)."""
-    t = stg_translation.select("product_category_name", "product_category_name_english")
-    return (stg_products.join(t, on="product_category_name", how="left")
+    t = stg_translation.select(F.col("product_category_name").alias("__category"),
+                               "product_category_name_english")
+    return (left_join_non_null(stg_products, t, "product_category_name", "__category")
             .select(F.col("product_id").alias("product_nk"), "product_category_name",
                     "product_category_name_english", "product_weight_g", "product_length_cm",
                     "product_height_cm", "product_width_cm"))

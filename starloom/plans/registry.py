@@ -22,7 +22,7 @@ from ..operators.lookup import lookup_as_of, lookup_current, lookup_date, lookup
 from ..operators.merge import (append_rows, insert_if_absent, latest_per_key, merge_audit,
                                upsert_overwrite)
 from ..operators.scd import current_rows
-from ..schemas import ORDER_TIMESTAMPS, SOURCE_TABLES
+from ..schemas import FACT_DOMAINS, ORDER_TIMESTAMPS, SOURCE_TABLES
 from ..session import checkpoint_dir, ensure_utc
 from ..sources import adapters
 from ..sources.tables import land_table, read_csv_table, scan_table, write_csv_table
@@ -32,6 +32,7 @@ from .warehouse import build_facts, load_staging
 
 RUN_TS = adapters.RUN_TS
 PREV_TS = adapters.PREV_TS
+SECOND_TS = "2024-06-01 06:00:00"  # a second run on the same day
 
 STAGING_VIEWS = {
     "product_category_name_translation": ("prev_translation", "src_translation"),
@@ -392,8 +393,10 @@ def _dim_seller(r: Run) -> DataFrame:
 def _cluster_dim(assign: DataFrame) -> DataFrame:
     labels = assign.groupBy("cluster_label", "model_version") \
         .agg(F.min("assigned_date").alias("assigned_date"))
+    stamp = F.col("assigned_date").cast("timestamp_ntz")
     return labels.select(X.surrogate_key("cluster_label", "model_version").alias("cluster_id"),
-                         "cluster_label", "model_version", "assigned_date")
+                         "cluster_label", "model_version", "assigned_date",
+                         stamp.alias("created_at"), stamp.alias("updated_at"))
 
 
 @query("dim_cluster")
@@ -410,7 +413,8 @@ def _cluster_assignment(r: Run) -> DataFrame:
     a = r.t("src_cluster_assignment").select(
         "assignment_id", "customer_id",
         X.surrogate_key("cluster_label", "model_version").alias("cluster_id"),
-        "model_version", "assigned_date")
+        "model_version", "assigned_date", F.col("assigned_date").cast("timestamp_ntz").alias("created_at"),
+        F.col("assigned_date").cast("timestamp_ntz").alias("updated_at"))
     return append_rows(a.filter(F.col("model_version") == "v1"),
                        a.filter(F.col("model_version") == "v2"))
 
@@ -527,9 +531,66 @@ def _fct_items_as_of(r: Run) -> DataFrame:
                                   "customer_version_id")
 
 
+@query("fct_delivery_as_of_seller")
+def _fct_delivery_as_of_seller(r: Run) -> DataFrame:
+    """Each order's first seller, in the version valid on the purchase day."""
+    o = r.stg["orders"].select("order_id", X.parse_ts("order_purchase_timestamp").alias("purchased"))
+    s = A.order_sellers(r.stg["order_items"]).select("order_id", "first_seller_id")
+    v = lookup_as_of(o.join(s, "order_id"), "first_seller_id", "purchased", r.t("hist_dim_seller"),
+                     "seller_nk", "seller_id", "seller_version_id", attrs=("seller_state",))
+    return v.select(F.col("order_id").alias("order_nk"), "seller_version_id", "seller_state")
+
+
+@query("dq_dim_key_unique")
+def _dq_dim_key_unique(r: Run) -> DataFrame:
+    """Surrogates of a dimension whose customers changed twice on one day."""
+    once = r.dim_customer("latest")
+    moved = r.stg["customers"].withColumn("customer_city", F.concat("customer_city", F.lit(" 2")))
+    twice = dims.build_dim_customer(once, moved, r.stg["geolocation"], SECOND_TS)
+    return twice.groupBy("customer_id").agg(F.count("*").alias("row_count")).select("customer_id", "row_count")
+
+
+def _without_threes(df: DataFrame, keys) -> DataFrame:
+    """A parent table that lost the keys ending in 3."""
+    return df.filter(~F.col(keys[0]).cast("string").endswith("3"))
+
+
+for _child, _spec in SOURCE_TABLES.items():
+    for _fk, _parent, _pk in _spec.foreign_keys:
+        def _make_fk(child, fk, parent, pk, key):
+            def _dq_fk(r: Run) -> DataFrame:
+                found = Q.check_foreign_key(r.src[child], fk, _without_threes(r.src[parent], pk), pk)
+                return found.select(*dict.fromkeys([*key, *fk]))
+            return _dq_fk
+        query(f"dq_fk_{_child}_{_fk[0]}")(_make_fk(_child, _fk, _parent, _pk, _spec.key))
+
+
+def _orders_of(n: str):
+    return F.col("order_nk").try_cast("bigint") % 10 == int(n)
+
+
+for _table, _column, _allowed in FACT_DOMAINS:
+    def _make_domain(table, column, allowed):
+        def _dq(r: Run) -> DataFrame:
+            broken = r.facts()[table].withColumn(
+                column, F.when(_orders_of("7"), F.lit("broken")).otherwise(F.col(column)))
+            return Q.check_domain(broken, column, allowed).select(*facts.FACT_KEYS[table][0], column)
+        return _dq
+    query(f"dq_check_{_column}")(_make_domain(_table, _column, _allowed))
+
+
+for _table, (_key, _) in facts.FACT_KEYS.items():
+    def _make_unique(table, key):
+        def _dq(r: Run) -> DataFrame:
+            rows = r.facts()[table].select(*key)
+            return Q.check_unique(rows.unionByName(rows.filter(_orders_of("7"))), list(key))
+        return _dq
+    query(f"dq_unique_{_table}")(_make_unique(_table, _key))
+
+
 @query("segment_transitions")
 def _segment_transitions(r: Run) -> DataFrame:
-    return segment_transitions(r.t("src_cluster_assignment"))
+    return segment_transitions(r.t("src_cluster_assignment"), r.t("hist_dim_customer"))
 
 
 @query("sales_by_current_state")

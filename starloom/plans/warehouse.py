@@ -2,16 +2,18 @@
 
 Storage layout under a shared warehouse root::
 
-    <root>/<layer>/<table>/run=<run_id>/   parquet, one directory per run
-    <root>/_manifests/run=<run_id>/        (layer, table, path) rows
-
-A merge reads the version named by the latest manifest and writes a new
-version directory, never the path it reads. The manifest is written last,
-so readers only ever see complete runs; a failed or retried run leaves no
-visible partial state (it rewrites its own directories on retry). Writing
-each layer and reading it back also cuts the lineage between layers, which
-is what lets a lost executor be recomputed from stored data instead of from
-the whole run.
+    <root>/<layer>/<table>/<run_id>-<attempt>/   parquet, one folder per attempt
+    <root>/_manifests/<sequence>/                (layer, table, path) rows of a run
+
+Every attempt of a run writes folders of its own, so nothing that a published
+run names is ever overwritten. The manifest is written last, under the next
+sequence number; readers take the complete manifest with the highest number. A
+published run id and a run timestamp that is not later than the published one
+are refused. A type 2 dimension is stored as its Current rows plus one
+increment of Expired rows per run; the manifest names all of them, and they are
+folded into one when there are many. Writing each layer and reading it back
+also cuts the lineage between layers, so a lost executor is recomputed from
+stored data.
 """
 
 from __future__ import annotations
@@ -24,14 +26,19 @@ from pyspark.sql import functions as F
 from ..functions import exprs as X
 from ..operators.merge import upsert_changed, upsert_delta, upsert_overwrite
 from ..operators.scd import current_rows
-from ..operators.quality import QualityError, check_single_current, check_unique
-from ..schemas import SOURCE_TABLES, STAGING_AUDIT
+from ..operators.quality import (QualityError, check_domain, check_foreign_key, check_not_null,
+                                 check_parse_failures, check_range, check_single_current, check_unique)
+from ..schemas import (DIM_KEYS, FACT_DOMAINS, NOT_NULL, REVIEW_SCORE_RANGE, SOURCE_TABLES, STAGING_AUDIT,
+                       TIMESTAMP_TEXTS)
 from ..sources.tables import land_table, scan_sources
 from . import dims, facts
 from ..functions.calendar import build_dim_date
 
-MANIFEST_DDL = ("run_id string, layer string, table_name string, path string, "
-                "num_buckets int, bucket_cols string")
+MANIFEST_DDL = ("run_id string, run_ts string, layer string, table_name string, path string, "
+                "num_buckets int, bucket_cols string, n_rows int")
+
+# Increments of Expired rows that a manifest names before they are folded into one.
+MAX_INCREMENTS = 24
 
 # (number of buckets, bucket columns) of a stored version, or None.
 Bucketing = tuple[int, tuple[str, ...]] | None
@@ -51,30 +58,28 @@ def write_all(jobs: dict[str, Callable[[], object]], max_parallel: int = 4) -> d
         return {name: f.result() for name, f in futures.items()}
 
 
-def version_path(root: str, layer: str, table: str, run_id: str) -> str:
-    return f"{root}/{layer}/{table}/run={run_id}"
+def version_path(root: str, layer: str, table: str, attempt: str) -> str:
+    return f"{root}/{layer}/{table}/{attempt}"
 
 
 def _catalog_name(path: str) -> str:
     """Session-catalog name of a bucketed version (derived from its path)."""
     import hashlib
     import re
-    tail = re.sub(r"\W", "_", "_".join(path.rstrip("/").split("/")[-3:]))
+    tail = re.sub(r"\W", "_", "_".join(path.rstrip("/").split("/")[-3:-1]))
     return f"stl_{tail}_{hashlib.md5(path.encode()).hexdigest()[:10]}"
 
 
-def write_version(df: DataFrame, root: str, layer: str, table: str, run_id: str,
-                  partition_by: list[str] | None = None, bucket: Bucketing = None) -> str:
-    """Write one table version; returns its path.
+def write_version(df: DataFrame, root: str, layer: str, table: str, attempt: str,
+                  bucket: Bucketing = None) -> str:
+    """Write one table version to a folder that must not exist; returns its path.
 
     With ``bucket = (n, cols)`` the version is stored hash-bucketed and sorted
     on ``cols`` (an external table in the session catalog), so a later merge or
     join on those columns with an equally bucketed side needs no shuffle.
     """
-    path = version_path(root, layer, table, run_id)
-    w = df.write.mode("overwrite").format("parquet")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
+    path = version_path(root, layer, table, attempt)
+    w = df.write.format("parquet")
     if bucket:
         n, cols = bucket
         w.bucketBy(n, *cols).sortBy(*cols).option("path", path).saveAsTable(_catalog_name(path))
@@ -98,60 +103,75 @@ def read_version(spark: SparkSession, path: str, bucket: Bucketing = None,
     return spark.table(name)
 
 
-def publish_manifest(spark: SparkSession, root: str, run_id: str,
-                     paths: dict[tuple[str, str], str],
+class ManifestError(Exception):
+    """The stored manifests do not describe a complete run."""
+
+
+def _sequences(spark: SparkSession, root: str) -> list[int]:
+    """Numbers of the complete manifests, ascending; a listing that fails raises."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/_manifests")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    done = []
+    for status in fs.listStatus(folder):
+        name = status.getPath().getName()
+        if name.isdigit() and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/_manifests/{name}/_SUCCESS")):
+            done.append(int(name))
+    return sorted(done)
+
+
+def publish_manifest(spark: SparkSession, root: str, run_id: str, run_ts: str,
+                     paths: dict[tuple[str, str], str | list[str]],
                      buckets: dict[tuple[str, str], Bucketing] | None = None) -> None:
+    """Name the tables of a run, under the next sequence number. Two runs that
+    publish at once claim the same folder, and the second fails."""
     buckets = buckets or {}
     rows = []
-    for (layer, table), path in sorted(paths.items()):
+    for (layer, table), found in sorted(paths.items()):
         b = buckets.get((layer, table))
-        rows.append((run_id, layer, table, path, b[0] if b else None,
-                     ",".join(b[1]) if b else None))
-    spark.createDataFrame(rows, MANIFEST_DDL).coalesce(1).write.mode("overwrite") \
-        .json(f"{root}/_manifests/run={run_id}")
+        for path in [found] if isinstance(found, str) else found:
+            rows.append((run_id, run_ts, layer, table, path, b[0] if b else None,
+                         ",".join(b[1]) if b else None))
+    done = _sequences(spark, root)
+    number = done[-1] + 1 if done else 1
+    spark.createDataFrame([(*r, len(rows)) for r in rows], MANIFEST_DDL).coalesce(1).write \
+        .json(f"{root}/_manifests/{number:09d}")
 
 
-def _latest_rows(spark: SparkSession, root: str) -> list:
-    try:
-        m = spark.read.schema(MANIFEST_DDL).json(f"{root}/_manifests/*")
-    except Exception:  # noqa: BLE001 - no manifest yet
-        return []
-    last = m.agg(F.max("run_id").alias("r")).collect()[0]["r"]
-    if last is None:
-        return []
-    return m.filter(F.col("run_id") == last).collect()
+def _read_manifest(spark: SparkSession, root: str, number: int) -> list:
+    rows = spark.read.schema(MANIFEST_DDL).option("mode", "FAILFAST").json(
+        f"{root}/_manifests/{number:09d}").collect()
+    if not rows or any(r["n_rows"] != len(rows) or not r["path"] for r in rows):
+        raise ManifestError(f"manifest {number} under {root} is damaged")
+    return rows
 
 
-def latest_manifest(spark: SparkSession, root: str) -> dict[tuple[str, str], str]:
-    """(layer, table) -> path of the latest published run (empty if none).
-    The manifest holds one small row per table, so collecting it is bounded."""
-    return {(r["layer"], r["table_name"]): r["path"] for r in _latest_rows(spark, root)}
+def _latest_rows(spark: SparkSession, root: str) -> list:
+    """Rows of the latest complete manifest; [] only when none was ever published."""
+    done = _sequences(spark, root)
+    return _read_manifest(spark, root, done[-1]) if done else []
+
+
+def latest_manifest(spark: SparkSession, root: str) -> dict[tuple[str, str], str | list[str]]:
+    """(layer, table) -> path of the latest published run, or the list of paths
+    that together hold a type 2 dimension (empty if nothing was published)."""
+    out: dict[tuple[str, str], str | list[str]] = {}
+    for r in _latest_rows(spark, root):
+        key = (r["layer"], r["table_name"])
+        if key[1] in SCD2_DIMS:
+            out.setdefault(key, []).append(r["path"])
+        else:
+            out[key] = r["path"]
+    return out
 
 
 SCD2_DIMS = ("dim_customer", "dim_seller")
 
 
-def committed_paths(spark: SparkSession, root: str, layer: str, table: str) -> list[str]:
-    """Paths of ``(layer, table)`` in every published run (one manifest row
-    per run and table, so the list is bounded by the number of runs)."""
-    try:
-        m = spark.read.schema(MANIFEST_DDL).json(f"{root}/_manifests/*")
-    except Exception:  # noqa: BLE001 - no manifest yet
-        return []
-    rows = m.filter((F.col("layer") == layer) & (F.col("table_name") == table)) \
-        .select("run_id", "path").collect()
-    return [r["path"] for r in sorted(rows, key=lambda r: r["run_id"])]
-
-
 def read_dimension(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """Full type 2 dimension: Current rows of the latest run plus the Expired
-    partition (that run's increment) of every committed run."""
-    flag = F.col("current_flag")
-    paths = committed_paths(spark, root, "final", name)
-    out = spark.read.parquet(paths[-1]).filter(flag == "Current")
-    for path in paths:
-        out = out.unionByName(spark.read.parquet(path).filter(flag != "Current"))
-    return out
+    """The whole type 2 dimension, Current and Expired versions, in one scan."""
+    return spark.read.parquet(*latest_manifest(spark, root)[("final", name)])
 
 
 def latest_buckets(spark: SparkSession, root: str) -> dict[tuple[str, str], Bucketing]:
@@ -282,6 +302,56 @@ def _assert_all(checks: dict[str, DataFrame], max_parallel: int) -> None:
         raise QualityError("data-quality checks failed: " + ", ".join(failed))
 
 
+def landing_checks(landed: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Constraints of the nine source tables: violating rows by check name."""
+    out = {}
+    for n, spec in SOURCE_TABLES.items():
+        df = landed[n]
+        out[f"unique key of {n}"] = check_unique(df, spec.key)
+        needed = [f.name for f in spec.schema.fields if not f.nullable or f.name in NOT_NULL.get(n, ())]
+        out[f"not null in {n}"] = check_not_null(df, needed, list(spec.key))
+        for fk, parent, pk in spec.foreign_keys:
+            out[f"foreign key {n}({', '.join(fk)}) to {parent}"] = check_foreign_key(df, fk, landed[parent], pk)
+        for c in TIMESTAMP_TEXTS.get(n, ()):
+            out[f"timestamp text {n}.{c}"] = check_parse_failures(df, c, X.parse_ts(c))
+    return out
+
+
+def dimension_checks(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    out = {}
+    for n, (sk, nk) in DIM_KEYS.items():
+        out[f"unique surrogate of {n}"] = check_unique(star[n], sk)
+        out[f"not null in {n}"] = check_not_null(star[n], [nk], [sk])
+        if n in SCD2_DIMS:
+            out[f"one Current version in {n}"] = check_single_current(star[n], nk)
+        else:
+            out[f"unique key of {n}"] = check_unique(star[n], nk)
+    return out
+
+
+def fact_checks(stored: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    out = {f"unique key of {n}": check_unique(df, facts.FACT_KEYS[n][0]) for n, df in stored.items()}
+    for n, column, allowed in FACT_DOMAINS:
+        out[f"allowed values of {n}.{column}"] = check_domain(stored[n], column, allowed)
+    out["range of fct_order_reviews.review_score"] = check_range(
+        stored["fct_order_reviews"], "review_score", *REVIEW_SCORE_RANGE)
+    return out
+
+
+def run_audit(stg: dict[str, DataFrame], run_ts) -> DataFrame:
+    """Rows per staging table and what the run did to them, from their stamps."""
+    ts = X.ts_literal(run_ts)
+    action = (F.when(F.col("created_at") == ts, F.lit("inserted"))
+              .when(F.col("updated_at") == ts, F.lit("updated")).otherwise(F.lit("unchanged or kept")))
+    parts = [df.groupBy(action.alias("action")).agg(F.count(F.lit(1)).alias("row_count"))
+             .select(F.lit(n).alias("table_name"), "action", "row_count", ts.alias("run_ts"))
+             for n, df in stg.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.coalesce(1)
+
+
 def source_ddl(name: str) -> str:
     return ", ".join(f"{f.name} {f.dataType.simpleString()}"
                      for f in SOURCE_TABLES[name].schema.fields)
@@ -304,10 +374,14 @@ def run_elt(spark: SparkSession, source_root: str, warehouse_root: str, run_ts,
     lands, and the merge of the (ever larger) staging table with it reads
     co-bucketed inputs: no exchange on either side.
 
-    ``validate`` runs the key checks before the merges (a repeated or NULL
-    key in an extract fails the run instead of being resolved arbitrarily) and
-    the one-Current-version check on the new type 2 dimensions before the
-    facts read them. Nothing is published when a check fails.
+    ``validate`` enforces the model's constraints: keys, foreign keys, NOT NULL
+    columns and timestamp texts of the extract before the merges; surrogates and
+    one Current version per key of the dimensions before the facts read them;
+    keys, allowed values and the score range of the facts. Nothing is published
+    when a check fails.
+
+    A run id that is already published, or a ``run_ts`` that is not later than the
+    published one, is refused; a failed run may be repeated under its id.
 
     ``incremental_facts`` restates only ``affected_orders`` and merges them
     with ``upsert_delta``: same fact values as a full restatement, but rows of
@@ -315,6 +389,7 @@ def run_elt(spark: SparkSession, source_root: str, warehouse_root: str, run_ts,
     are streamed through instead of shuffled.
     """
     import time
+    import uuid
     clock = [time.perf_counter()]
 
     def lap(phase: str) -> None:
@@ -323,6 +398,16 @@ def run_elt(spark: SparkSession, source_root: str, warehouse_root: str, run_ts,
             timings[phase] = round(now - clock[0], 3)
         clock[0] = now
 
+    stamp = str(run_ts)
+    for r in _latest_rows(spark, warehouse_root)[:1]:
+        if r["run_id"] == run_id or stamp <= r["run_ts"]:
+            raise ValueError(f"run {run_id} at {stamp} does not follow the published run "
+                             f"{r['run_id']} at {r['run_ts']}")
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{warehouse_root}/_published/{run_id}")
+    fs = marker.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(marker):
+        raise ValueError(f"run {run_id} is already published")
+    attempt = f"{run_id}-{uuid.uuid4().hex[:12]}"
     prev = latest_manifest(spark, warehouse_root)
     prev_buckets = latest_buckets(spark, warehouse_root)
     read = spark.read.parquet
@@ -331,11 +416,10 @@ def run_elt(spark: SparkSession, source_root: str, warehouse_root: str, run_ts,
     table_bucket = {n: (num_buckets, tuple(spec.key)) if num_buckets else None
                     for n, spec in SOURCE_TABLES.items()}
 
-    def write(layer: str, name: str, df: DataFrame, part: list[str] | None = None,
-              bucket: Bucketing = None):
+    def write(layer: str, name: str, df: DataFrame, bucket: Bucketing = None):
         if bucket:
             buckets[(layer, name)] = bucket
-        return lambda: write_version(df, warehouse_root, layer, name, run_id, part, bucket)
+        return lambda: write_version(df, warehouse_root, layer, name, attempt, bucket)
 
     # Extract + land: the landing copy is replaced every run.
     sources = scan_sources(spark, source_root, source_format)
@@ -343,17 +427,16 @@ def run_elt(spark: SparkSession, source_root: str, warehouse_root: str, run_ts,
     for name, df in sources.items():
         b = table_bucket[name]
         if b:
-            jobs[name] = write("landing", name, df.repartition(b[0], *b[1]), bucket=b)
+            jobs[name] = write("landing", name, df.repartition(b[0], *b[1]), b)
         else:
-            p = version_path(warehouse_root, "landing", name, run_id)
+            p = version_path(warehouse_root, "landing", name, attempt)
             jobs[name] = (lambda d, q: lambda: (land_table(d, q), q)[1])(df, p)
     for name, p in write_all(jobs, max_parallel).items():
         paths[("landing", name)] = p
     landed = {n: read_version(spark, paths[("landing", n)], table_bucket[n], source_ddl(n))
               for n in sources}
     if validate:
-        _assert_all({f"unique key of {n}": check_unique(df, SOURCE_TABLES[n].key)
-                     for n, df in landed.items()}, max_parallel)
+        _assert_all(landing_checks(landed), max_parallel)
     lap("extract_land")
 
     # Staging upserts against the previous staging version.
@@ -362,35 +445,48 @@ def run_elt(spark: SparkSession, source_root: str, warehouse_root: str, run_ts,
                         else spark.createDataFrame([], staging_schema_ddl(n)))
                     for n in SOURCE_TABLES}
     merged = load_staging(landed, staging_prev, run_ts)
-    for name, p in write_all({n: write("stg", n, df, bucket=table_bucket[n])
+    for name, p in write_all({n: write("stg", n, df, table_bucket[n])
                               for n, df in merged.items()}, max_parallel).items():
         paths[("stg", name)] = p
     stg = {n: read_version(spark, paths[("stg", n)], table_bucket[n], staging_schema_ddl(n))
            for n in SOURCE_TABLES}
     lap("staging")
 
-    # Dimensions. A type 2 version is partitioned by current_flag and its
-    # Expired partition holds only the versions that run expired: history is
-    # append-only across runs and never copied (see read_dimension).
+    # Dimensions. Only Current rows take part in the type 2 merge. What a run
+    # expires is written once, as an increment; history is never copied.
     ddl = {"dim_customer": dims.DIM_CUSTOMER_DDL, "dim_seller": dims.DIM_SELLER_DDL,
            "dim_product": dims.DIM_PRODUCT_DDL}
-    final_prev = {n: (read(prev[("final", n)]) if ("final", n) in prev
-                      else dims.empty(spark, d)) for n, d in ddl.items()}
-    for n in SCD2_DIMS:  # only the Current partition takes part in the merge
-        final_prev[n] = final_prev[n].filter(F.col("current_flag") == "Current")
+    final_prev = {}
+    for n, d in ddl.items():
+        stored = prev.get(("final", n))
+        if stored is None:
+            final_prev[n] = dims.empty(spark, d)
+        else:  # the first path of a type 2 dimension holds its Current rows
+            final_prev[n] = read(stored[0] if n in SCD2_DIMS else stored)
     if ("final", "dim_date") in prev:
         final_prev["dim_date"] = read(prev[("final", "dim_date")])
     star = build_star(spark, stg, final_prev, run_ts, match)
     star["dim_date"] = star["dim_date"].sortWithinPartitions("date_id")  # file layout only
-    part = {n: ["current_flag"] for n in SCD2_DIMS}
-    for name, p in write_all({n: write("final", n, df, part.get(n)) for n, df in star.items()},
-                             max_parallel).items():
-        paths[("final", name)] = p
-    star = {n: read(paths[("final", n)]) for n in star}
+    written = write_all({n: write("work" if n in SCD2_DIMS else "final", n, df) for n, df in star.items()},
+                        max_parallel)
+    star = {n: read(p) for n, p in written.items()}
+    increments, jobs = {}, {}
+    for n in SCD2_DIMS:
+        current = F.col("current_flag") == "Current"
+        expired = star[n].filter(~current)
+        old = list(prev.get(("final", n), []))[1:]
+        if len(old) >= MAX_INCREMENTS:
+            expired, old = expired.unionByName(read(*old)), []
+        increments[n] = old
+        jobs[n] = write("final", n, star[n].filter(current))
+        jobs[f"{n}_expired"] = write("final", f"{n}_expired", expired)
+    parts = write_all(jobs, max_parallel)
+    for n, p in written.items():
+        paths[("final", n)] = [parts[n], *increments[n], parts[f"{n}_expired"]] if n in SCD2_DIMS else p
+    star = {n: read(*p) if n in SCD2_DIMS else read(p) for n, p in
+            ((n, paths[("final", n)]) for n in star)}
     if validate:
-        _assert_all({f"one Current version in {n}": check_single_current(star[n], nk)
-                     for n, nk in (("dim_customer", "customer_nk"), ("dim_seller", "seller_nk"))},
-                    max_parallel)
+        _assert_all(dimension_checks(star), max_parallel)
     lap("dimensions")
 
     # Facts restated against the new Current versions, then merged.
@@ -399,11 +495,11 @@ def run_elt(spark: SparkSession, source_root: str, warehouse_root: str, run_ts,
     if delta:
         # Affected orders and the restated rows are written once to the work
         # area and read back: computed a single time, sized from stored data.
-        work = lambda name: version_path(warehouse_root, "work", name, run_id)
-        affected_orders(stg, star, run_ts).write.mode("overwrite").parquet(work("affected_orders"))
+        work = lambda name: version_path(warehouse_root, "work", name, attempt)
+        affected_orders(stg, star, run_ts).write.parquet(work("affected_orders"))
         fact_stg = restrict_to_orders(stg, read(work("affected_orders")))
         restated = build_facts(fact_stg, star)
-        write_all({n: (lambda d, q: lambda: d.write.mode("overwrite").parquet(q))(df, work(n))
+        write_all({n: (lambda d, q: lambda: d.write.parquet(q))(df, work(n))
                    for n, df in restated.items()}, max_parallel)
         new_rows = {n: read(work(n)) for n in restated}
     else:
@@ -412,6 +508,11 @@ def run_elt(spark: SparkSession, source_root: str, warehouse_root: str, run_ts,
     for name, p in write_all({n: write("final", n, df) for n, df in new_facts.items()},
                              max_parallel).items():
         paths[("final", name)] = p
+    if validate:
+        _assert_all(fact_checks({n: read(paths[("final", n)]) for n in facts.FACT_KEYS}), max_parallel)
     lap("facts")
-    publish_manifest(spark, warehouse_root, run_id, paths, buckets)
+    audit = run_audit({n: stg[n] for n in SOURCE_TABLES}, run_ts)
+    paths[("audit", "merge_audit")] = write_version(audit, warehouse_root, "audit", "merge_audit", attempt)
+    publish_manifest(spark, warehouse_root, run_id, stamp, paths, buckets)
+    fs.mkdirs(marker)
     return paths

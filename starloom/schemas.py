@@ -157,3 +157,21 @@ SCD2_CUSTOMER_TRACKED = ("customer_city", "customer_state", "customer_latitude",
 SCD2_SELLER_TRACKED = ("seller_city", "seller_state", "seller_latitude", "seller_longitude")
 DIM_PRODUCT_ATTRS = ("product_category_name", "product_category_name_english", "product_weight_g",
                      "product_length_cm", "product_height_cm", "product_width_cm")
+
+
+# Constraints of the model that the schemas above do not carry.
+NOT_NULL = {"customers": ("customer_unique_id",)}
+TIMESTAMP_TEXTS = {"orders": ORDER_TIMESTAMPS, "order_reviews": ("review_creation_date",)}
+DIM_KEYS = {  # surrogate, natural key
+    "dim_customer": ("customer_id", "customer_nk"),
+    "dim_seller": ("seller_id", "seller_nk"),
+    "dim_product": ("product_id", "product_nk"),
+}
+FACT_DOMAINS = (
+    ("fct_order_delivery", "multi_seller_order", ("Single Seller", "Multi Seller")),
+    ("fct_order_delivery", "delivery_status", ("On Time", "Late")),
+    ("fct_order_delivery", "late_severity", ("On Time", "Within Threshold", "Significantly Late")),
+    ("fct_order_reviews", "review_severity", ("Critical", "Standard")),
+    ("fct_order_reviews", "comment_status", ("Has Comment", "No Comment")),
+)
+REVIEW_SCORE_RANGE = (1, 5)

@@ -289,17 +289,20 @@ SELECT {surrogate_sql(["'gone'"])} AS product_id, 'gone' AS product_nk,
        cast(NULL AS double) AS product_height_cm, cast(NULL AS double) AS product_width_cm,
        cast('{PREV_TS}' AS {{ts}}) AS created_at, cast('{PREV_TS}' AS {{ts}}) AS updated_at"""
 
-# Customer segment assignments from two model runs (segment-movement input).
+# Customer segment assignments from two model runs, by the customer's version: every
+# third customer moved in between, so the runs name two versions of it.
 PREV_VIEWS["src_cluster_assignment"] = f"""
 SELECT {surrogate_sql(['customer_id', "'v1'"])} AS assignment_id, customer_id,
-       concat('segment_', cast(try_cast(customer_id AS bigint) % 4 AS string)) AS cluster_label,
+       concat('segment_', cast(try_cast(customer_nk AS bigint) % 4 AS string)) AS cluster_label,
        'v1' AS model_version, cast('2024-01-01' AS date) AS assigned_date
-FROM src_customers
+FROM hist_dim_customer
+WHERE current_flag = 'Expired' OR try_cast(customer_nk AS bigint) % 3 <> 0
 UNION ALL
 SELECT {surrogate_sql(['customer_id', "'v2'"])} AS assignment_id, customer_id,
-       concat('segment_', cast((try_cast(customer_id AS bigint) * 3 + 1) % 4 AS string)) AS cluster_label,
+       concat('segment_', cast((try_cast(customer_nk AS bigint) * 3 + 1) % 4 AS string)) AS cluster_label,
        'v2' AS model_version, cast('2024-06-01' AS date) AS assigned_date
-FROM src_customers"""
+FROM hist_dim_customer
+WHERE current_flag = 'Current' AND customer_nk <> 'gone'"""
 
 
 def all_views() -> dict[str, str]:

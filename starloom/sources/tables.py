@@ -26,7 +26,8 @@ def scan_sources(spark: SparkSession, root: str, fmt: str = "parquet") -> dict[s
     ingest (foreign-key) order, each with its declared schema. ``fmt='csv'``
     reads header CSV exchange files (see ``extract_to_csv``)."""
     if fmt == "csv":
-        return {name: read_csv_table(spark, f"{root}/{name}", spec.schema)
+        return {name: read_csv_table(spark, f"{root}/{name}", spec.schema,
+                                     multi_line=name == "order_reviews")
                 for name, spec in SOURCE_TABLES.items()}
     return {name: scan_table(spark, f"{root}/{name}", spec.schema, fmt)
             for name, spec in SOURCE_TABLES.items()}
@@ -42,16 +43,17 @@ def extract_to_csv(sources: dict[str, DataFrame], out_root: str) -> dict[str, st
     return paths
 
 
-# CSV options that keep quoted commas, quotes and embedded newlines in one
-# record (review texts contain all three).
-CSV_OPTIONS = {"header": "true", "multiLine": "true", "escape": '"', "quote": '"',
+# CSV options that keep quoted commas and quotes in one record. Only review texts
+# hold newlines: reading them needs ``multiLine``, which makes a file one task.
+CSV_OPTIONS = {"header": "true", "escape": '"', "quote": '"',
                "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def read_csv_table(spark: SparkSession, path: str, schema: T.StructType,
-                   null_tokens: tuple[str, ...] = ()) -> DataFrame:
-    """Header CSV with a declared schema; empty fields read as NULL."""
-    df = spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+                   null_tokens: tuple[str, ...] = (), multi_line: bool = True) -> DataFrame:
+    """Header CSV with a declared schema; empty fields read as NULL. Files whose
+    records hold no newlines should pass ``multi_line=False``: they can be split."""
+    df = spark.read.schema(schema).options(**CSV_OPTIONS, multiLine=multi_line).csv(path)
     if null_tokens:
         from pyspark.sql import functions as F
         df = df.select(*[F.when(F.col(f.name).isin(*null_tokens), F.lit(None))
@@ -71,11 +73,6 @@ def land_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def append_table(df: DataFrame, path: str) -> None:
-    """Append rows to a stored table."""
-    df.write.mode("append").parquet(path)
-
-
 def jdbc_options(url: str, table: str, user: str | None = None, password: str | None = None,
                  partition_column: str | None = None, lower_bound: int | None = None,
                  upper_bound: int | None = None, num_partitions: int | None = None,

@@ -3,17 +3,18 @@
 The batch load (``plans.warehouse.run_elt``) re-reads the whole extract every
 run. When extracts arrive as new files in a landing folder, the same
 change-aware upsert can run per micro-batch instead: ``foreachBatch`` merges
-each batch into the latest staging version and writes a new version
-directory named after the batch id, so a retried batch rewrites its own
-output and the checkpoint makes the stream exactly-once per batch.
+each batch into the staging version of the latest earlier batch and writes a new
+folder. A repeated batch starts from the same earlier version and writes another
+folder, so it never reads what it replaces; the pointer of a batch names the last
+folder written for it.
 """
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators.merge import upsert_changed
 from ..operators.quality import QualityError, check_unique
@@ -27,16 +28,19 @@ def _pointer_root(warehouse_root: str, table: str) -> str:
     return f"{warehouse_root}/_stream_pointers/{table}"
 
 
-def latest_staging(spark: SparkSession, warehouse_root: str, table: str) -> DataFrame:
-    """Latest staging version written by the stream (empty table if none)."""
-    try:
-        ptr = spark.read.schema(POINTER_DDL).json(f"{_pointer_root(warehouse_root, table)}/*")
-        last = ptr.orderBy(F.col("batch_id").desc()).select("path").take(1)
-    except Exception:  # noqa: BLE001 - nothing written yet
-        last = []
-    if not last:
+def latest_staging(spark: SparkSession, warehouse_root: str, table: str,
+                   before: int | None = None) -> DataFrame:
+    """Staging version of the latest batch (before batch ``before``), or an empty
+    table when no batch has a pointer. A pointer that cannot be read raises."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_pointer_root(warehouse_root, table))
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    numbers = [int(f.getPath().getName().split("=")[1]) for f in fs.listStatus(folder)] if fs.exists(folder) else []
+    numbers = [n for n in numbers if before is None or n < before]
+    if not numbers:
         return spark.createDataFrame([], staging_schema_ddl(table))
-    return spark.read.parquet(last[0]["path"])
+    pointer = spark.read.schema(POINTER_DDL).option("mode", "FAILFAST").json(
+        f"{_pointer_root(warehouse_root, table)}/batch={max(numbers):012d}").first()
+    return spark.read.parquet(pointer["path"])
 
 
 def merge_batch(batch: DataFrame, batch_id: int, table: str, warehouse_root: str,
@@ -48,10 +52,10 @@ def merge_batch(batch: DataFrame, batch_id: int, table: str, warehouse_root: str
     if not check_unique(incoming, spec.key).isEmpty():
         raise QualityError(f"batch {batch_id} of {table} repeats a key")
     ts = run_ts or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
-    current = latest_staging(spark, warehouse_root, table).select(*spec.columns, *STAGING_AUDIT)
+    current = latest_staging(spark, warehouse_root, table, batch_id).select(*spec.columns, *STAGING_AUDIT)
     merged = upsert_changed(current, incoming, spec.key, spec.compare, ts)
-    path = f"{warehouse_root}/stg/{table}/batch={batch_id:012d}"
-    merged.write.mode("overwrite").parquet(path)
+    path = f"{warehouse_root}/stg/{table}/batch-{batch_id:012d}-{uuid.uuid4().hex[:12]}"
+    merged.write.parquet(path)
     spark.createDataFrame([(batch_id, path)], POINTER_DDL).coalesce(1).write.mode("overwrite") \
         .json(f"{_pointer_root(warehouse_root, table)}/batch={batch_id:012d}")
     return path
