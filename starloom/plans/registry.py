@@ -28,7 +28,7 @@ from ..sources import adapters
 from ..sources.tables import land_table, read_csv_table, scan_table, write_csv_table
 from . import dims, facts
 from .analytics import on_time_by_state, sales_by_current_attribute, segment_transitions
-from .warehouse import build_facts, load_staging
+from .warehouse import build_facts, load_staging, write_all, write_version
 
 RUN_TS = adapters.RUN_TS
 PREV_TS = adapters.PREV_TS
@@ -60,9 +60,9 @@ class Run:
         self.stg = {n: df.drop("merge_action") for n, df in self.stg_audit.items()}
         self.dim_date = build_dim_date(spark)
 
-        self._memo: dict[str, DataFrame] = {}
+        self._memo: dict[str, object] = {}
 
-    def _once(self, key: str, build: Callable[[], DataFrame]) -> DataFrame:
+    def _once(self, key: str, build: Callable[[], object]):
         if key not in self._memo:
             self._memo[key] = build()
         return self._memo[key]
@@ -85,11 +85,30 @@ class Run:
         return {"dim_date": self.dim_date, "dim_customer": self.dim_customer(),
                 "dim_seller": self.dim_seller(), "dim_product": self.dim_product()}
 
+    def _stored(self, name: str, df: DataFrame) -> DataFrame:
+        """``df`` written once to the shared folder, as a run does, and read back."""
+        def write() -> DataFrame:
+            return self.spark.read.parquet(write_version(df, self._root(), "run", name, "v1"))
+        return self._once(f"stored_{name}", write)
+
+    def _root(self) -> str:
+        return self._once("root", lambda: f"{checkpoint_dir(self.spark)}/run-{uuid.uuid4().hex}")
+
     def facts(self) -> dict[str, DataFrame]:
+        """Facts over stored staging tables and dimensions, each written once."""
         if "facts" not in self._memo:
-            self._memo["facts"] = build_facts(self.stg, self.star())
+            tables = {**{f"stg_{n}": df for n, df in self.stg.items()}, **self.star()}
+            del tables["dim_date"]
+            done = write_all({n: (lambda n, df: lambda: self._stored(n, df))(n, df) for n, df in tables.items()})
+            stg = {n: done[f"stg_{n}"] for n in self.stg}
+            star = {n: done.get(n, df) for n, df in self.star().items()}
+            self._memo["facts"] = build_facts(stg, star)
         return self._memo["facts"]
 
+    def stored_fact(self, name: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """The fact's earlier state, written once."""
+        return self._stored(f"earlier_{name}", build(self.facts()[name]))
+
 
 _RUNS: dict[tuple[str, int, str], Run] = {}
 
@@ -449,8 +468,8 @@ def _prev_fact(r: Run, name: str, new: DataFrame) -> DataFrame:
 for _f in facts.FACT_KEYS:
     def _make_merge(n):
         def _merge(r: Run) -> DataFrame:
-            new = r.facts()[n]
-            return upsert_overwrite(_prev_fact(r, n, new), new, list(facts.FACT_KEYS[n][0]),
+            earlier = r.stored_fact(n, lambda new: _prev_fact(r, n, new))
+            return upsert_overwrite(earlier, r.facts()[n], list(facts.FACT_KEYS[n][0]),
                                     RUN_TS, id_col=facts.FACT_KEYS[n][1])
         _merge.__name__ = f"{n}_merge"
         return _merge
@@ -608,7 +627,8 @@ def _on_time_by_state(r: Run) -> DataFrame:
 # ---------------------------------------------------------------- whole run
 @query("star_row_counts")
 def _star_row_counts(r: Run) -> DataFrame:
-    tables = {**r.star(), **r.facts()}
+    facts_of_run = r.facts()  # writes the dimensions
+    tables = {**{n: r._memo.get(f"stored_{n}", df) for n, df in r.star().items()}, **facts_of_run}
     parts = [df.agg(F.count(F.lit(1)).cast("bigint").alias("row_count"))
              .select(F.lit(n).alias("table_name"), "row_count") for n, df in tables.items()]
     out = parts[0]
