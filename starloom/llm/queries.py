@@ -11,6 +11,7 @@ from .decontam import contamination
 from .embeddings import similar_vectors
 from .langid import declared_language, identify, page_text, url_host
 from .licenses import scan_licenses
+from .oracles import ORACLES
 from .packing import pack_documents
 from .quality import classify
 from .suffix import repeat_digest
@@ -83,4 +84,4 @@ QUERIES = {f.__name__: f for f in (op1_superminhash, op2_harmonic_packing, op3_l
                                    op8_decontamination, op9_license_scan,
                                    op10_quality_classifier)}
 
-ORACLES: dict[str, str] = {}
+__all__ = ["QUERIES", "ORACLES"]
