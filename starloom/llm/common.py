@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_dir
 
 #: Bytes of text that one numpy pass takes.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
 
 #: Word alphabets of the contracts: everything but ASCII white space, or ASCII
 #: letters and digits plus all non-ASCII characters.
@@ -31,6 +31,16 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+#: Rows of an Arrow batch, so that a batch of texts stays a few megabytes.
+BATCH_ROWS = 1000
+
+
+def bound_batches(df: DataFrame) -> DataFrame:
+    """``df``, with its session's Arrow batches bounded to ``BATCH_ROWS`` rows."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df
+
+
 # --- tables in the shared folder -------------------------------------------
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (NOT_SPACE, connected_components, materialize, mix64, text_chunks,
+from .common import (NOT_SPACE, bound_batches, connected_components, materialize, mix64, text_chunks,
                      word_hashes)
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -188,7 +188,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     are not looked at, whatever their names.
     """
     p = params
-    src = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
+    src = bound_batches(docs).select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     signed = materialize(src.mapInArrow(
         _sign(p), "doc long, n long, fp1 long, fp2 long, bands array<long>"), "smh-signed")
     reps = materialize(
