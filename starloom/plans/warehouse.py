@@ -256,7 +256,10 @@ def restrict_to_orders(stg: dict[str, DataFrame], orders: DataFrame) -> dict[str
     return out
 
 
-def build_facts(stg: dict[str, DataFrame], star: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def build_facts(stg: dict[str, DataFrame], star: dict[str, DataFrame],
+                unique_reviews: bool = False) -> dict[str, DataFrame]:
+    """``unique_reviews``: the staged reviews' key is known to be unique (a run
+    checks it), so that they need not be reduced to the latest row per key."""
     d = star
     return {
         "fct_order_items": facts.build_fct_order_items(
@@ -267,7 +270,7 @@ def build_facts(stg: dict[str, DataFrame], star: dict[str, DataFrame]) -> dict[s
             d["dim_date"]),
         "fct_order_reviews": facts.build_fct_order_reviews(
             stg["order_reviews"], stg["orders"], stg["customers"], d["dim_customer"],
-            d["dim_date"], dedupe=False),
+            d["dim_date"], dedupe=not unique_reviews),
         "fct_order_delivery": facts.build_fct_order_delivery(
             stg["orders"], stg["customers"], d["dim_customer"], stg["order_items"],
             stg["sellers"], d["dim_seller"], d["dim_date"]),
@@ -498,12 +501,12 @@ def run_elt(spark: SparkSession, source_root: str, warehouse_root: str, run_ts,
         work = lambda name: version_path(warehouse_root, "work", name, attempt)
         affected_orders(stg, star, run_ts).write.parquet(work("affected_orders"))
         fact_stg = restrict_to_orders(stg, read(work("affected_orders")))
-        restated = build_facts(fact_stg, star)
+        restated = build_facts(fact_stg, star, validate)
         write_all({n: (lambda d, q: lambda: d.write.parquet(q))(df, work(n))
                    for n, df in restated.items()}, max_parallel)
         new_rows = {n: read(work(n)) for n in restated}
     else:
-        new_rows = build_facts(stg, star)
+        new_rows = build_facts(stg, star, validate)
     new_facts = merge_facts(new_rows, fact_prev, run_ts, rebuild_facts, delta)
     for name, p in write_all({n: write("final", n, df) for n, df in new_facts.items()},
                              max_parallel).items():

@@ -56,7 +56,7 @@ def test_review_text_not_shuffled(spark):
     assert "review_comment_message" not in agg_part.split("Project")[0]
 
 
-def test_delta_merge_streams_the_stored_side(spark):
+def test_delta_merge_streams_the_stored_side(spark, scratch):
     """A small delta merges into a large stored table without shuffling it."""
     from pyspark.sql import functions as F
     from starloom.operators.merge import upsert_delta, upsert_overwrite
@@ -65,6 +65,8 @@ def test_delta_merge_streams_the_stored_side(spark):
                                      F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("created_at"),
                                      F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("updated_at"))
     delta = spark.createDataFrame([("5", "b", None), ("x", "c", None)], "k string, v string, sk string")
+    delta.write.parquet(f"{scratch}/delta")  # a run reads the delta from its work area
+    delta = spark.read.parquet(f"{scratch}/delta")
     out = upsert_delta(big, delta, "k", "2024-06-01 00:00:00", id_col="sk")
     rows = out.collect()
     plan = out._jdf.queryExecution().executedPlan().toString()
