@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NOT_SPACE, lower_ascii, materialize, text_chunks, word_hashes
+from .common import NOT_SPACE, bound_batches, lower_ascii, materialize, text_chunks, word_hashes
 
 END = 0xFF  # in no UTF-8 text; also stands before a text's first byte
 DEPTH = 5
@@ -380,7 +380,7 @@ def _score(depth: int, buckets: int, total: int, distinct: int):
 
 
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold: int = 2, folds: int = 7,
-                depth: int = DEPTH, buckets: int = 256) -> DataFrame:
+                depth: int = DEPTH, buckets: int | None = None) -> DataFrame:
     """One row per document: ``id_col, held_out, n_tokens, n_known, train_tokens,
     base_score`` (word unigram with add-one smoothing), ``score`` (log10 probability
     of the lower-cased text under the context tree) and ``bits_per_byte``.
@@ -392,7 +392,9 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     if not TOP < depth <= 7:
         raise ValueError(f"depth must be above {TOP} and at most 7")
-    src = docs.select(
+    if buckets is None:  # as many more as the session has partitions for more data
+        buckets = max(256, 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    src = bound_batches(docs).select(
         F.spark_partition_id().cast("long").alias("chunk"),
         F.coalesce(F.crc32(F.col(id_col).cast("string")) % folds == fold, F.lit(False)).alias("held"),
         F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_CHARS, materialize, ranges, text_chunks, word_hashes
+from .common import WORD_CHARS, bound_batches, materialize, ranges, text_chunks, word_hashes
 
 #: Test-set text that one pass over the shards takes.
 BLOCK_BYTES = 8 << 20
@@ -189,7 +189,7 @@ def contamination(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", tex
     count once. An empty test set hits nothing. Repeated or null document ids
     are judged row by row.
     """
-    src = docs.select(F.monotonically_increasing_id().alias("row"),
+    src = bound_batches(docs).select(F.monotonically_increasing_id().alias("row"),
                       F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     parts = [src.mapInArrow(_hits(block), _HITS)
              for block in _blocks(bench, item_col, item_text_col, window, block_bytes)]

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, materialize, text_chunks
+from .common import bound_batches, lower_ascii, materialize, text_chunks
 
 #: Hash buckets of trigrams; with the languages they bound the model's size.
 BUCKETS = 1 << 14
@@ -118,6 +118,7 @@ def identify(rows: DataFrame, labelled: DataFrame, text_col: str = "text", marku
     the language is null and the confidence zero.
     """
     keep = [c for c in rows.columns if c not in (text_col, markup_col)]
+    bound_batches(rows)
     languages, log_p = train(labelled, train_text_col, train_lang_col, max_languages)
     if not languages:
         return rows.select(*keep, F.lit(None).cast("string").alias("lang_id"), F.lit(0.0).alias("confidence"),

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_CHARS, text_chunks, word_hashes
+from .common import WORD_CHARS, bound_batches, text_chunks, word_hashes
 
 # The phrases whose places are counted, and their labels.
 BASE_PHRASES = {
@@ -243,5 +243,5 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     schema = ("doc long, n_words long, n_base long, first_word long, last_word long, base_labels string, "
               "labels string, score double"
               + ", spans array<struct<label:string,first:long,end:long,cover:double>>" * with_spans)
-    src = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
+    src = bound_batches(docs).select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     return src.mapInArrow(_scan(options, with_spans), schema).withColumnRenamed("doc", id_col)

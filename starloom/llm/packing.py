@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import bound_batches, materialize
 from .tokens import TokenEncoder, encode_chunks
 
 _LOCAL = 40  # bits of a worker's own bin counter
@@ -104,7 +104,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: i
     each other without gaps. Equal or null document ids are packed row by row.
     """
     schema = _PIECES + ", ids array<long>" * with_ids
-    src = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
+    src = bound_batches(docs).select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     pieces = materialize(
         src.mapInArrow(_pack(tokenizer, end_id, capacity, classes, cut_cost, with_ids), schema), "pieces")
     rest = pieces.filter("sequence_id is null")

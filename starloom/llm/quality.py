@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_CHARS, lower_ascii, materialize, mix64, text_chunks, word_hashes
+from .common import WORD_CHARS, bound_batches, lower_ascii, materialize, mix64, text_chunks, word_hashes
 
 TARGETS = ("quality", "toxic")
 _ALNUM = WORD_CHARS.copy()
@@ -275,7 +275,7 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     rate, an unseen host the global rate. Without labels all posteriors are one
     half or more for quality and under it for toxic: everything is kept.
     """
-    model = fit(docs, labels, id_col, text_col, max_labels, max_features, min_g, l2)
+    model = fit(bound_batches(docs), labels, id_col, text_col, max_labels, max_features, min_g, l2)
     site = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(host_col).cast("string").alias("host"),
                        F.col(path_col).cast("string").alias("path"), F.col(text_col).alias("text"))
     schema = "doc long, host string, path string, " + ", ".join(f"{t} double" for t in TARGETS)
