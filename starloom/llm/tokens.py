@@ -24,51 +24,118 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, ranges, scratch_path, text_chunks
+from .common import bound_batches, materialize, ranges, scratch_path, text_chunks
 
-#: Words kept by a worker's cache; beyond it, the cache starts anew.
-CACHE_WORDS = 600_000
+#: Words kept by a worker's cache; beyond it, words used once make room.
+CACHE_WORDS = 400_000
 #: Longer words are not cached: their text goes through the library whole.
 LONGEST_WORD = 200
+#: Number of the line break in every store.
+LINE_BREAK = 0
 #: Stands for a null id in the files, before all other ids.
 NULL_ID = -(1 << 63)
 
 _ENCODERS: dict[str, "TokenEncoder"] = {}
 
 
+def _room(x: np.ndarray, need: int) -> np.ndarray:
+    """``x``, or a copy of at least twice its length that holds ``need`` values."""
+    if need <= len(x):
+        return x
+    out = np.zeros(max(need, 2 * len(x), 1024), x.dtype)
+    out[:len(x)] = x
+    return out
+
+
+class _Store:
+    """Ids of numbered words, in one array; unseen words wait in ``new`` (to be
+    encoded) or ``joined`` (made of other words, by how deep they nest)."""
+
+    def __init__(self):
+        self.start, self.size, self.uses = np.zeros((3, 1024), np.int64)
+        self.ids, self.used = np.zeros(1024, np.uint32), 0
+        self.depth: list[int] = []  # of every word; 0: encoded by the library
+        self.new: list[str] = []
+        self.new_at: list[int] = []
+        self.joined: dict[int, list[tuple[int, list[int]]]] = {}
+
+    def add(self, text: str) -> int:
+        n = len(self.depth)
+        self.depth.append(0)
+        self.new_at.append(n)
+        self.new.append(text)
+        return n
+
+    def join(self, parts: list[int]) -> int:
+        n = len(self.depth)
+        self.depth.append(1 + max(self.depth[p] for p in parts))
+        self.joined.setdefault(self.depth[n], []).append((n, parts))
+        return n
+
+    def _put(self, at: list[int], size: np.ndarray, ids: np.ndarray) -> None:
+        self.start[at] = self.used + np.cumsum(size) - size
+        self.size[at] = size
+        self.ids = _room(self.ids, self.used + len(ids))
+        self.ids[self.used:self.used + len(ids)] = ids
+        self.used += len(ids)
+
+    def fill(self, tok, mark: str) -> None:
+        """Encode the waiting words, many to a call: the special token ``mark``,
+        which no cached word holds, ends each of them."""
+        self.start, self.size, self.uses = (_room(x, len(self.depth)) for x in (self.start, self.size, self.uses))
+        if self.new:
+            mark_id, words = tok.token_to_id(mark), self.new
+            texts = [mark.join(words[i:i + 500]) + mark for i in range(0, len(words), 500)]
+            flat = np.concatenate([np.array(e.ids, np.uint32)
+                                   for e in tok.encode_batch_fast(texts, add_special_tokens=False)])
+            ends = np.flatnonzero(flat == mark_id) - np.arange(len(words))
+            self._put(self.new_at, np.diff(ends, prepend=0), flat[flat != mark_id])
+            self.new, self.new_at = [], []
+        for depth in sorted(self.joined):
+            rows = self.joined.pop(depth)
+            n_parts = np.fromiter((len(p) for _, p in rows), np.int64, len(rows))
+            part = np.fromiter((x for _, p in rows for x in p), np.int64, int(n_parts.sum()))
+            ids = self.ids[ranges(self.start[part], self.size[part])]
+            self._put([n for n, _ in rows], np.add.reduceat(self.size[part], np.cumsum(n_parts) - n_parts), ids)
+
+    def keep(self, mask: np.ndarray) -> None:
+        mask = np.flatnonzero(mask)
+        self.ids = self.ids[ranges(self.start[mask], self.size[mask])]
+        self.size, self.uses, self.used = self.size[mask], np.zeros(len(mask), np.int64), len(self.ids)
+        self.start = np.cumsum(self.size) - self.size
+        self.depth = [0] * len(self.size)
+
+
 class _Words(dict):
-    """word -> number; unseen words get the next number and wait in ``new``."""
+    """word -> number in the store. ``lead`` stands before every word here.
+
+    Both kinds of vocabulary split text before and after a line break between
+    visible characters, and between a letter and a comma or full stop that ends
+    the word: such words are joined from their parts."""
 
-    def __init__(self, lead: str):
+    def __init__(self, lead: str, store: _Store, heads: "_Words | None" = None):
         super().__init__()
-        self.lead, self.new = lead, []
-        self.start, self.size, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self.lead, self.store, self.heads = lead, store, heads
 
     def __missing__(self, word):
+        if len(word) <= LONGEST_WORD and word.isalpha():
+            self[word] = n = self.store.add(self.lead + word)
+            return n
         if (len(word) > LONGEST_WORD or not word or word[0].isspace() or word[-1].isspace()
                 or "<|" in word):
             return -1
-        self.new.append(self.lead + word)
-        self[word] = n = len(self)
+        heads, parts = self if self.heads is None else self.heads, None
+        if "\n" in word:
+            first, *lines = word.split("\n")
+            if not any(x == "" or x[0].isspace() or x[-1].isspace() for x in (first, *lines)):
+                parts = [self[first]]
+                for x in lines:
+                    parts += [LINE_BREAK, heads[x]]
+        elif word[-1] in ".," and word[-2:-1].isalpha():
+            parts = [self[word[:-1]], heads[word[-1]]]
+        self[word] = n = self.store.join(parts) if parts else self.store.add(self.lead + word)
         return n
 
-    def encode_new(self, tok, mark: str) -> None:
-        """Encode the waiting words, many to a call: the special token ``mark``,
-        which no cached word holds, ends each of them."""
-        if not self.new:
-            return
-        mark_id = tok.token_to_id(mark)
-        texts = [mark.join(self.new[i:i + 500]) + mark for i in range(0, len(self.new), 500)]
-        got = tok.encode_batch_fast(texts, add_special_tokens=False)
-        flat = np.concatenate([np.array(e.ids, np.uint32) for e in got])
-        ends = np.flatnonzero(flat == mark_id) - np.arange(len(self.new))
-        flat = flat[flat != mark_id]
-        size = np.diff(ends, prepend=0)
-        self.start = np.concatenate((self.start, len(self.ids) + ends - size))
-        self.size = np.concatenate((self.size, size))
-        self.ids = np.concatenate((self.ids, flat))
-        self.new = []
-
 
 class TokenEncoder:
     def __init__(self, path: str):
@@ -80,10 +147,10 @@ class TokenEncoder:
         marks = [t.content for t in self.tok.get_added_tokens_decoder().values()
                  if t.special and t.content.startswith("<|") and not (t.lstrip or t.rstrip or t.single_word)]
         self.mark = marks[-1] if marks else None
-        self._reset()
-
-    def _reset(self) -> None:
-        self.first, self.rest = _Words(""), _Words(" ")
+        self.store = _Store()
+        self.first = _Words("", self.store)
+        self.rest = _Words(" ", self.store, self.first)
+        self.store.add("\n")  # takes the number LINE_BREAK
 
     @staticmethod
     def of(path: str) -> "TokenEncoder":
@@ -92,6 +159,18 @@ class TokenEncoder:
             _ENCODERS[path] = TokenEncoder(path)
         return _ENCODERS[path]
 
+    def _make_room(self) -> None:
+        """Forget the words used once; if most were used more, the lesser half."""
+        uses = self.store.uses[:len(self.store.depth)]
+        keep = uses > max(1, int(np.partition(uses, -CACHE_WORDS // 2)[-CACHE_WORDS // 2]))
+        keep[LINE_BREAK] = True
+        self.store.keep(keep)
+        number = np.cumsum(keep) - 1
+        for table in (self.first, self.rest):
+            kept = [(w, int(number[n])) for w, n in table.items() if keep[n]]
+            table.clear()
+            table.update(kept)
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, number of ids of each text)."""
         if self.mark is None:  # nothing to tell words apart by
@@ -99,29 +178,27 @@ class TokenEncoder:
                 texts, add_special_tokens=False)]
             return (np.concatenate(out) if out else np.zeros(0, np.uint32),
                     np.fromiter(map(len, out), np.int64, len(out)))
-        if len(self.first) + len(self.rest) > CACHE_WORDS:
-            self._reset()
+        store = self.store
+        if len(store.depth) > CACHE_WORDS:
+            self._make_room()
         parts = [t.split(" ") for t in texts]
         n_words = np.fromiter(map(len, parts), np.int64, len(parts))
-        heads = np.fromiter((self.first[p[0]] for p in parts), np.int64, len(parts))
-        tails = np.fromiter((self.rest[w] for p in parts for w in p[1:]), np.int64,
+        head, rest = self.first.__getitem__, self.rest.__getitem__
+        heads = np.fromiter((head(p[0]) for p in parts), np.int64, len(parts))
+        tails = np.fromiter((rest(w) for p in parts for w in p[1:]), np.int64,
                             int(n_words.sum()) - len(parts))
-        self.first.encode_new(self.tok, self.mark)
-        self.rest.encode_new(self.tok, self.mark)
-        ends = np.cumsum(n_words - 1)
-        odd = np.concatenate(([0], np.cumsum(tails < 0)))
-        odd = (heads < 0) | (odd[ends] > odd[ends - (n_words - 1)])
-        # Word numbers in text order: a head (numbered after all tails), then its tails.
+        store.fill(self.tok, self.mark)
         at_head = np.cumsum(n_words) - n_words
         word = np.empty(int(n_words.sum()), np.int64)
         is_head = np.zeros(len(word), bool)
         is_head[at_head] = True
-        word[~is_head], word[is_head] = tails, heads + len(self.rest.size)
+        word[~is_head], word[is_head] = tails, heads
+        odd = np.logical_or.reduceat(word < 0, at_head) if len(word) else np.zeros(0, bool)
         use = ~np.repeat(odd, n_words)
         word = word[use]
-        start = np.concatenate((self.rest.start, self.first.start + len(self.rest.ids)))
-        size = np.concatenate((self.rest.size, self.first.size))[word]
-        flat = np.concatenate((self.rest.ids, self.first.ids))[ranges(start[word], size)]
+        np.add.at(store.uses, word, 1)
+        size = store.size[word]
+        flat = store.ids[ranges(store.start[word], size)]
         if not odd.any():
             return flat, np.add.reduceat(size, at_head) if len(texts) else n_words
         cum = np.concatenate(([0], np.cumsum(size)))
@@ -197,7 +274,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, folder: str
     spark = docs.sparkSession
     folder = folder or scratch_path(spark, "token-files")
     _make_folder(spark, folder)
-    src = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
+    src = bound_batches(docs).select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     placed = src.repartitionByRange("doc").sortWithinPartitions("doc", "text")
     index = materialize(placed.mapInArrow(_write(tokenizer, folder, end_id), _INDEX), "token-index")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
