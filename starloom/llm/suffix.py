@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, mix64, prefix_hash, ranges, span_hash, text_chunks
+from .common import bound_batches, materialize, mix64, prefix_hash, ranges, span_hash, text_chunks
 
 _POS = np.uint64((1 << 31) - 1)  # a Spark string is shorter than this
 
@@ -47,8 +47,10 @@ class Repeats:
     length: int = 200
     gram: int = 32
     split: int = 64
-    shard_bytes: int = 4 << 20
+    shard_bytes: int = 2 << 20
     queue_bytes: int = 64 << 20
+    #: Groups in which windows of split anchors meet.
+    buckets: int = 256
 
 
 # --- sieve -------------------------------------------------------------------
@@ -228,9 +230,11 @@ def sorted_buckets(t: np.ndarray, symbols: int, depth: int, folder: str, budget:
 
 
 def _sort_shard(p: Repeats):
-    """Per shard: which windows of each run are repeated. A run of an anchor that
-    several shards share gives its windows' fingerprints instead."""
-    names = ["row", "first", "end", "mark"]
+    """Per shard: the repeated windows of its runs, as spans. Where several shards
+    share an anchor, every class of equal windows is also named by its fingerprint:
+    a lone window with its place and 1, a larger class without and with 2. Classes
+    go out packed, one blob for each bucket of fingerprints."""
+    names = ["row", "first", "end", "bucket", "classes"]
 
     def go(batches):
         with tempfile.TemporaryDirectory() as folder:
@@ -258,6 +262,7 @@ def _sort_shard(p: Repeats):
             fp = np.zeros(len(t), np.uint64)
             fp[at] = mix64(span_hash(prefix_hash(data), at, at + p.length))
             dup = np.zeros(len(t) + 1, bool)
+            classes = []
             for bucket in sorted_buckets(t, 257, p.length, folder, p.queue_bytes):
                 x = bucket[run_of[bucket] >= 0]
                 if not len(x):
@@ -266,29 +271,46 @@ def _sort_shard(p: Repeats):
                 edge = np.flatnonzero(np.concatenate(([True], f[1:] != f[:-1])))
                 total = np.add.reduceat(weight[run_of[x]], edge)
                 dup[x[np.repeat(total >= 2, np.diff(np.append(edge, len(x))))]] = True
-            local = np.flatnonzero(shared == 0)
-            own = dup.copy()
-            own[ranges(start[shared > 0], n_windows[shared > 0])] = False
-            own[start + n_windows] = False
-            flips = np.flatnonzero(own != np.concatenate(([False], own[:-1])))
+                split = np.maximum.reduceat(shared[run_of[x]], edge) > 0
+                classes.append((x[edge[split]], np.minimum(total[split], 2)))
+            dup[start + n_windows] = False  # a span ends with its run
+            flips = np.flatnonzero(dup != np.concatenate(([False], dup[:-1])))
             a, b = flips[::2], flips[1::2]
             r = run_of[a]
-            if len(local):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(row[r]), pa.array(a - start[r] + first[r]), pa.array(b - start[r] + first[r]),
-                     pa.nulls(len(r), pa.int64())], names=names)
-            for copy in (1, 2):  # a run that others equal counts twice
-                i = np.flatnonzero((shared > 0) & (weight >= copy))
-                n = n_windows[i]
-                w = ranges(np.zeros(len(i), np.int64), n)
-                owner = row[i] if copy == 1 else np.full(len(i), -1)
-                place = w + np.repeat(first[i], n)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(row[r]), pa.array(a - start[r] + first[r]), pa.array(b - start[r] + first[r]),
+                 pa.nulls(len(r), pa.int64()), pa.nulls(len(r), pa.binary())], names=names)
+            x = np.concatenate([c for c, _ in classes]) if classes else np.zeros(0, np.int64)
+            if len(x):
+                w, r = np.concatenate([c for _, c in classes]), run_of[x]
+                packed = np.zeros(len(x), _CLASS)
+                packed["mark"], packed["weight"] = fp[x], w
+                packed["row"], packed["place"] = np.where(w > 1, -1, row[r]), x - start[r] + first[r]
+                bucket = (packed["mark"] % np.uint64(p.buckets)).astype(np.int64)
+                order = np.argsort(bucket, kind="stable")
+                ends = np.searchsorted(bucket[order], np.arange(p.buckets + 1))
+                some = np.flatnonzero(np.diff(ends))
+                null = pa.nulls(len(some), pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(owner, n)), pa.array(place), pa.array(place + 1),
-                     pa.array(fp[w + np.repeat(start[i], n)].view(np.int64))], names=names)
+                    [null, null, null, pa.array(some),
+                     pa.array([packed[order[ends[b]:ends[b + 1]]].tobytes() for b in some], pa.binary())], names=names)
     return go
 
 
+_CLASS = np.dtype([("mark", "<u8"), ("row", "<i8"), ("place", "<i4"), ("weight", "u1")])
+
+
+def _meet(table: pa.Table) -> pa.Table:
+    """The lone windows of a bucket whose fingerprint another shard has too."""
+    c = np.concatenate([np.frombuffer(x.as_buffer(), _CLASS) for x in table.column("classes")])
+    c = c[np.argsort(c["mark"])]
+    edge = np.flatnonzero(np.concatenate(([True], c["mark"][1:] != c["mark"][:-1])))
+    total = np.add.reduceat(c["weight"].astype(np.int64), edge)
+    c = c[np.repeat(total >= 2, np.diff(np.append(edge, len(c)))) & (c["row"] >= 0)]
+    first = c["place"].astype(np.int64)
+    return pa.table({"row": c["row"].astype(np.int64), "first": first, "end": first + 1})
+
+
 # --- operator ----------------------------------------------------------------
 
 def _cut(p: Repeats):
@@ -313,7 +335,7 @@ _CUT = pa.schema([("row", pa.int64()), ("first", pa.int64()), ("weight", pa.int6
 def repeated_runs(src: DataFrame, p: Repeats) -> DataFrame:
     """(row, spans) of the rows of ``src`` (row, text) with repeated windows;
     a span [first, end) of window starts covers bytes first .. end + length - 2."""
-    runs = materialize(src.filter(F.octet_length("text") >= p.length).mapInArrow(
+    runs = materialize(bound_batches(src).filter(F.octet_length("text") >= p.length).mapInArrow(
         _runs(p), "row long, first int, end int, anchor long, run long"), "suffix-runs")
     seen = materialize(runs.groupBy("anchor").agg(
         F.count("*").alias("n"), F.min("run").alias("u"), F.max("run").alias("v")).filter("n > 1")
@@ -339,12 +361,11 @@ def repeated_runs(src: DataFrame, p: Repeats) -> DataFrame:
     pieces = src.join(by_row, "row").mapInArrow(
         _cut(p), "row long, first long, weight long, shared long, shard long, bytes binary")
     shards = pieces.repartition(max(1, -(-size // p.shard_bytes)), "shard")
-    found = materialize(shards.mapInArrow(_sort_shard(p), "row long, first long, end long, mark long"), "suffix-found")
-    spread = found.filter("mark is not null")
-    twice = materialize(spread.groupBy("mark").agg(F.count("*").alias("n")).filter("n > 1").select("mark"),
-                        "suffix-marks")
-    spans = whole.unionByName(found.filter("mark is null").select("row", "first", "end")).unionByName(
-        spread.filter("row >= 0").join(twice, "mark").select("row", "first", "end"))
+    found = materialize(shards.mapInArrow(_sort_shard(p), "row long, first long, end long, bucket long, classes binary"),
+                        "suffix-found")
+    met = found.filter("bucket is not null").select("bucket", "classes").groupBy("bucket").applyInArrow(
+        _meet, "row long, first long, end long")
+    spans = whole.unionByName(found.filter("bucket is null").select("row", "first", "end")).unionByName(met)
     return materialize(spans.groupBy("row").agg(F.collect_list(F.struct("first", "end")).alias("spans")),
                        "suffix-spans")
 
