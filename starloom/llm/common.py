@@ -7,6 +7,7 @@ per task is bounded by ``CHUNK_BYTES`` (or by one document, when that is larger)
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -27,6 +28,9 @@ NOT_SPACE[[0x20, *range(0x09, 0x0E)]] = False
 WORD_CHARS = np.zeros(256, bool)
 WORD_CHARS[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
+# glibc's malloc_trim, where there is one.
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -83,6 +87,15 @@ def text_chunks(batch: pa.RecordBatch, text_col: str,
         end = max(at + 1, int(np.searchsorted(offs, offs[at] + limit, "right")) - 1)
         yield at, end, data[offs[at]:offs[end]], offs[at:end + 1] - offs[at]
         at = end
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a reused Python worker otherwise keeps
+    the arrays of earlier tasks, next to other workers of its machine."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
 
 
 def lower_ascii(data: np.ndarray) -> np.ndarray:
