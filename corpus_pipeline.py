@@ -34,7 +34,7 @@ def cut_repeated_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which a twentieth or more is benchmark windows go."""
-    return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), null_ids_stay=False)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -60,6 +60,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with a number ``__row`` for each row, stored: every later reading
+    sees the same numbers, also where ids repeat or are null."""
+    return materialize(df.withColumn("__row", F.monotonically_increasing_id()), name)
+
+
+def without_rows(rows: DataFrame, gone: DataFrame, name: str) -> DataFrame:
+    """``rows`` of ``numbered`` but those whose ``__row`` is in ``gone``, unnumbered."""
+    gone = materialize(gone.select(F.col("__row").alias("__gone")), name)
+    return rows.join(gone, F.col("__row") == F.col("__gone"), "left_anti").drop("__row")
+
+
 # --- numpy on Arrow string columns -----------------------------------------
 
 def utf8(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:

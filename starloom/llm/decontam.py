@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_CHARS, bound_batches, materialize, ranges, text_chunks, word_hashes
+from .common import WORD_CHARS, bound_batches, numbered, ranges, text_chunks, without_rows, word_hashes
 
 #: Test-set text that one pass over the shards takes.
 BLOCK_BYTES = 8 << 20
@@ -189,8 +189,16 @@ def contamination(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", tex
     count once. An empty test set hits nothing. Repeated or null document ids
     are judged row by row.
     """
-    src = bound_batches(docs).select(F.monotonically_increasing_id().alias("row"),
+    src = docs.select(F.monotonically_increasing_id().alias("row"),
                       F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
+    out = _judged(src, bench, item_col, item_text_col, window, share, block_bytes)
+    return out.withColumnRenamed("doc", id_col).drop("row")
+
+
+def _judged(src: DataFrame, bench: DataFrame, item_col: str = "item_id", item_text_col: str = "text",
+            window: int = 13, share: int = 20, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``contamination`` of (row, doc, text), with the row."""
+    bound_batches(src)
     parts = [src.mapInArrow(_hits(block), _HITS)
              for block in _blocks(bench, item_col, item_text_col, window, block_bytes)]
     out = parts[0]
@@ -203,7 +211,7 @@ def contamination(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", tex
         out = out.mapInArrow(_merge_spans, _HITS)
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["first"])
     return out.select(
-        F.col("doc").alias(id_col), "n_words", n_hit.alias("n_hit"),
+        "row", "doc", "n_words", n_hit.alias("n_hit"),
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
         ((n_hit > 0) & (n_hit * share >= F.col("n_words"))).alias("contaminated"), "items", "spans")
@@ -263,10 +271,14 @@ def longest_matches(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", t
                     (-F.col("m.w")).alias("doc_word")))
 
 
-def drop_contaminated(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id",
-                      text_col: str = "text", **options) -> DataFrame:
-    """``docs``, all columns as they were, without the contaminated documents;
-    rows with a null id stay."""
-    found = contamination(docs, bench, id_col, text_col, **options)
-    gone = materialize(found.filter("contaminated").select(F.col(id_col).alias("__gone")).distinct(), "gone")
-    return docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+def drop_contaminated(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                      null_ids_stay: bool = True, **options) -> DataFrame:
+    """``docs``, all columns as they were, without the contaminated documents.
+    Repeated ids are judged row by row, and so are null ids unless
+    ``null_ids_stay``: then their rows stay whatever they hold."""
+    rows = numbered(docs, "decontam-rows")
+    found = _judged(rows.select(F.col("__row").alias("row"), F.col(id_col).cast("long").alias("doc"),
+                                F.col(text_col).alias("text")), bench, **options).filter("contaminated")
+    if null_ids_stay:
+        found = found.filter("doc is not null")
+    return without_rows(rows, found.select(F.col("row").alias("__row")), "gone")

@@ -18,10 +18,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_CHARS, bound_batches, lower_ascii, materialize, mix64, text_chunks, word_hashes
+from .common import (WORD_CHARS, bound_batches, lower_ascii, materialize, mix64, numbered, text_chunks,
+                     without_rows, word_hashes)
 
 TARGETS = ("quality", "toxic")
 _ALNUM = WORD_CHARS.copy()
@@ -275,10 +276,18 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     rate, an unseen host the global rate. Without labels all posteriors are one
     half or more for quality and under it for toxic: everything is kept.
     """
+    return _judged(docs, labels, F.lit(0).cast("long"), id_col, text_col, host_col, path_col, max_labels,
+                   max_features, min_g, l2, threshold).drop("row")
+
+
+def _judged(docs: DataFrame, labels: DataFrame, row: Column, id_col: str = "doc_id", text_col: str = "text",
+            host_col: str = "source", path_col: str = "lang", max_labels: int = 20_000,
+            max_features: int = 1_000, min_g: float = 12.0, l2: float = 1e-4, threshold: float = 0.5) -> DataFrame:
+    """``classify``, with ``row`` of each document."""
     model = fit(bound_batches(docs), labels, id_col, text_col, max_labels, max_features, min_g, l2)
-    site = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(host_col).cast("string").alias("host"),
+    site = docs.select(row.alias("row"), F.col(id_col).cast("long").alias("doc"), F.col(host_col).cast("string").alias("host"),
                        F.col(path_col).cast("string").alias("path"), F.col(text_col).alias("text"))
-    schema = "doc long, host string, path string, " + ", ".join(f"{t} double" for t in TARGETS)
+    schema = "row long, doc long, host string, path string, " + ", ".join(f"{t} double" for t in TARGETS)
     out = materialize(site.mapInArrow(_evidence(model), schema), "evidence")
     outcomes = materialize(
         out.select("doc", "host", "path").join(
@@ -298,13 +307,13 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
         odds = F.col(t) + shift
         out = out.withColumns({t: 1 / (1 + F.exp(-odds)), f"site_{t}": rate}).drop("h", "p", "hh", "rate", "of_host")
     kept = (F.col("quality") >= threshold) & (F.col("toxic") < threshold)
-    return out.select(F.col("doc").alias(id_col), *TARGETS, "site_quality", "site_toxic",
+    return out.select("row", F.col("doc").alias(id_col), *TARGETS, "site_quality", "site_toxic",
                       (kept if len(model.hashes) else F.lit(True)).alias("kept"))
 
 
 def drop_rejected(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """``docs``, all columns as they were, without the rejected documents; rows
-    with a null id stay."""
-    verdict = classify(docs, labels, id_col, **options)
-    gone = materialize(verdict.filter("not kept").select(F.col(id_col).alias("__gone")).distinct(), "rejected")
-    return docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+    """``docs``, all columns as they were, without the rejected documents.
+    Repeated and null ids are judged row by row; a null id has no label."""
+    rows = numbered(docs, "quality-rows")
+    verdict = _judged(rows, labels, F.col("__row"), id_col, **options)
+    return without_rows(rows, verdict.filter("not kept").select(F.col("row").alias("__row")), "rejected")

@@ -25,8 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (NOT_SPACE, bound_batches, connected_components, materialize, mix64, text_chunks,
-                     word_hashes)
+from .common import (NOT_SPACE, bound_batches, connected_components, materialize, mix64, numbered, text_chunks,
+                     without_rows, word_hashes)
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -333,8 +333,14 @@ def _link(pairs: DataFrame, sets: DataFrame, links: DataFrame | None, p: NearDup
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          params: NearDup = NearDup(shingle=5, num=80)) -> DataFrame:
-    """``docs`` without the documents whose component has a smaller id; rows
-    with a null id stay. All columns come back as they were."""
-    gone = materialize(near_duplicates(docs, id_col, text_col, params)
-                       .filter("not kept").select(F.col(id_col).alias("__gone")).distinct(), "smh-gone")
-    return docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+    """``docs`` with one row of each component: the one with the smallest id,
+    null ids last, and the first of those. Rows are linked by their own text,
+    so repeated and null ids are rows of their own; blank texts link with
+    nothing and stay. All columns come back as they were."""
+    rows = numbered(docs, "smh-rows")
+    found = near_duplicates(rows, "__row", text_col, params).select("__row", "component_id")
+    order = F.struct(F.col(id_col).cast("long").isNull(), F.col(id_col).cast("long"), F.col("__row").alias("row"))
+    first = (rows.select("__row", id_col).join(found, "__row").groupBy("component_id")
+             .agg(F.min(order).alias("first")).select(F.col("first.row").alias("__row")))
+    gone = rows.select("__row").join(materialize(first, "smh-first"), "__row", "left_anti")
+    return without_rows(rows, gone, "smh-gone")
