@@ -6,6 +6,10 @@ prior of the site. Site priors are smoothed along global -> domain -> host, each
 level counting as ``strength`` documents of its parent. Counts of declared
 languages, suffixes and sites are grouped sums of the text posteriors over all
 rows, and a row's own posterior is taken out of the counts that it meets.
+
+Any number of languages: texts are scored in blocks of languages, one pass for
+each, and a row's blocks are put together by grouped sums. With more than one
+block a row is one row per block until then.
 """
 
 from __future__ import annotations
@@ -15,9 +19,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, lower_ascii, materialize, text_chunks
+from .common import bound_batches, lower_ascii, materialize, numbered, text_chunks
 
-#: Hash buckets of trigrams; with the languages they bound the model's size.
+#: Hash buckets of trigrams; with a block's languages they bound a model's size.
 BUCKETS = 1 << 14
 
 
@@ -61,29 +65,86 @@ def _likelihood(log_p: np.ndarray, effective: int):
                 # Neighbouring trigrams repeat each other: a long text counts as
                 # no more than ``effective`` independent ones.
                 ll *= np.minimum(1.0, effective / np.maximum(n, 1))[:, None]
-                post = np.exp(ll - ll.max(axis=1, keepdims=True))
-                post /= post.sum(axis=1, keepdims=True)
+                top = ll.max(axis=1)
+                post = np.exp(ll - top[:, None])
+                mass = post.sum(axis=1)
+                post /= mass[:, None]
                 flat = np.arange(hi - lo + 1, dtype=np.int32) * n_lang
                 cols = [c.slice(lo, hi - lo) for c in batch.columns[:-1]]
                 yield pa.RecordBatch.from_arrays(
-                    [*cols, *(pa.ListArray.from_arrays(pa.array(flat), pa.array(x.ravel())) for x in (ll, post))],
-                    names=[*batch.schema.names[:-1], "ll", "post"])
+                    [*cols, *(pa.ListArray.from_arrays(pa.array(flat), pa.array(x.ravel())) for x in (ll, post)),
+                     pa.array(top), pa.array(mass)],
+                    names=[*batch.schema.names[:-1], "__ll", "__post", "__top", "__mass"])
     return run
 
 
-def train(labelled: DataFrame, text_col: str, lang_col: str, max_languages: int) -> tuple[list[str], np.ndarray]:
-    """Languages (at most ``max_languages``, the commonest) and log probabilities
-    of trigram buckets in each, from all labelled texts."""
-    top = (labelled.filter(F.col(lang_col).isNotNull()).groupBy(F.col(lang_col).alias("lang"))
-           .agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages).collect())
-    languages = sorted(r["lang"] for r in top)
+def _matrix(col: pa.Array, width: int) -> np.ndarray:
+    """The first ``width`` numbers of each row's list; zeros for a null list."""
+    out = np.zeros((len(col), width))
+    here = col.is_valid().to_numpy(zero_copy_only=False)
+    if here.any():
+        out[here] = col.flatten().to_numpy().reshape(here.sum(), -1)[:, :width]
+    return out
+
+
+def _fuse(blocks: list[list[str]], total: list[np.ndarray], kinds: dict, n_keep: int, strength: float,
+          smoothing: float):
+    """Per row and block: the best score, its language, the sum of all scores
+    relative to it, and the same best of the text alone."""
+    everyone, n_lang = sum(float(t.sum()) for t in total), sum(map(len, blocks))
+
+    def run(batches):
+        for batch in batches:
+            of = batch.column("__block").to_numpy()
+            for b in np.unique(of).tolist():
+                part = batch.filter(pa.array(of == b))
+                names, t = np.array(blocks[b], object), total[b]
+                ll, post = _matrix(part.column("__ll"), len(names)), _matrix(part.column("__post"), len(names))
+
+                def others(key):
+                    """Is there a value; counts at it without the row itself; rows of it without this one."""
+                    s = _matrix(part.column(f"{key}_s"), len(names))  # noqa: B023
+                    n = part.column(f"{key}_n").fill_null(1).to_numpy()  # noqa: B023
+                    has = part.column(key).is_valid().to_numpy(zero_copy_only=False)  # noqa: B023
+                    return has[:, None], np.maximum(s - post, 0.0), (n - 1.0)[:, None]  # noqa: B023
+
+                prior = np.broadcast_to((t + 1.0) / (everyone + n_lang), ll.shape)
+                for key in ("__domain", "__host"):
+                    has, o, n = others(key)
+                    prior = np.where(has, (o + strength * prior) / (n + strength), prior)
+                score = ll + np.log(prior)
+                for key, values in kinds.items():
+                    has, o, _ = others(key)
+                    score += np.where(has, np.log((o + smoothing) / (t + smoothing * values)), 0.0)
+                best, text = score.argmax(axis=1), ll.argmax(axis=1)
+                top = score.max(axis=1)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:n_keep], part.column("__row"), part.column("__block"),
+                     pa.array(top), pa.array(names[best], pa.string()),
+                     pa.array(np.exp(score - top[:, None]).sum(axis=1)),
+                     pa.array(ll.max(axis=1)), pa.array(names[text], pa.string())],
+                    names=[*part.schema.names[:n_keep], "__row", "__block", *_FUSED])
+    return run
+
+
+_FUSED = ("__best", "__lang", "__norm", "__text_best", "__text_lang")
+
+
+def label_names(labelled: DataFrame, lang_col: str) -> list[str]:
+    """All labelled languages, sorted."""
+    return sorted(r[0] for r in labelled.select(lang_col).filter(F.col(lang_col).isNotNull()).distinct().collect())
+
+
+def train(labelled: DataFrame, text_col: str, lang_col: str, languages: list[str]) -> np.ndarray:
+    """Log probabilities of trigram buckets in each of a block of languages, from
+    all their labelled texts."""
     counts = np.zeros((len(languages), BUCKETS))
-    if languages:
-        rows = (labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-                .mapInArrow(_count(languages), "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))).toArrow()
-        counts.ravel()[rows.column("at").to_numpy()] = rows.column("n").to_numpy()
+    rows = (labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+            .filter(F.col("lang").isin(languages))
+            .mapInArrow(_count(languages), "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))).toArrow()
+    counts.ravel()[rows.column("at").to_numpy()] = rows.column("n").to_numpy()
     p = (counts + 0.5) / (counts.sum(axis=1, keepdims=True) + 0.5 * BUCKETS)
-    return languages, np.log(p).T.copy()
+    return np.log(p).T.copy()
 
 
 def page_text(html):
@@ -106,7 +167,7 @@ def url_host(url):
 
 def identify(rows: DataFrame, labelled: DataFrame, text_col: str = "text", markup_col: str = "markup",
              host_col: str = "host", train_text_col: str = "text", train_lang_col: str = "lang",
-             max_languages: int = 64, effective: int = 60, strength: float = 5.0,
+             block_languages: int = 64, effective: int = 60, strength: float = 5.0,
              smoothing: float = 0.5) -> DataFrame:
     """``rows`` with all columns but ``text_col`` and ``markup_col``, plus
     ``lang_id`` (most probable language), ``confidence`` (its posterior) and
@@ -115,11 +176,12 @@ def identify(rows: DataFrame, labelled: DataFrame, text_col: str = "text", marku
     Null or short texts have no text evidence: the other evidence decides, and
     without any the commonest language. Ties take the alphabetically first
     language. Rows that repeat are judged one by one. Without labelled texts
-    the language is null and the confidence zero.
+    the language is null and the confidence zero. ``block_languages`` bounds the
+    languages of one pass, not those known.
     """
     keep = [c for c in rows.columns if c not in (text_col, markup_col)]
     bound_batches(rows)
-    languages, log_p = train(labelled, train_text_col, train_lang_col, max_languages)
+    languages = label_names(labelled, train_lang_col)
     if not languages:
         return rows.select(*keep, F.lit(None).cast("string").alias("lang_id"), F.lit(0.0).alias("confidence"),
                            F.lit(None).cast("string").alias("text_lang"))
@@ -128,45 +190,61 @@ def identify(rows: DataFrame, labelled: DataFrame, text_col: str = "text", marku
                       F.nullif(F.regexp_extract(host, r"\.([^.]+)$", 1), F.lit("")).alias("__suffix"),
                       F.coalesce(F.nullif(F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1), F.lit("")), host)
                       .alias("__domain"), F.col(text_col).alias("text"))
+    blocks = [languages[i:i + block_languages] for i in range(0, len(languages), block_languages)]
+    src = (numbered(src, "lang-rows") if len(blocks) > 1 else src.withColumn("__row", F.lit(0).cast("long")))
+    src = src.select(*keep, "__row", "__markup", "__host", "__suffix", "__domain", "text")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.drop("text").schema)
-    out = materialize(src.mapInArrow(_likelihood(log_p, effective),
-                                     schema + ", ll array<double>, post array<double>"), "lang-text")
-    k = range(len(languages))
+    out = None
+    for b, names in enumerate(blocks):
+        scored = src.mapInArrow(
+            _likelihood(train(labelled, train_text_col, train_lang_col, names), effective),
+            schema + ", __ll array<double>, __post array<double>, __top double, __mass double")
+        part = materialize(scored.withColumn("__block", F.lit(b)), "lang-text")
+        out = part if out is None else out.unionByName(part)
+    if len(blocks) > 1:  # a block's posteriors are of its own languages: scale them by its share
+        lists = out.groupBy(F.col("__row").alias("__of")).agg(F.collect_list(F.struct("__top", "__mass")).alias("of"))
+        z = lists.withColumn("m", F.array_max(F.transform("of", lambda x: x["__top"]))).select(
+            "__of", "m", F.aggregate("of", F.lit(0.0), lambda a, x: a + x["__mass"] * F.exp(x["__top"] - F.col("m")))
+            .alias("z"))
+        out = out.join(materialize(z, "lang-shares"), F.col("__row") == F.col("__of")).withColumn(
+            "share", F.col("__mass") * F.exp(F.col("__top") - F.col("m")) / F.col("z"))
+        out = materialize(out.withColumn("__post", F.transform("__post", lambda x: x * F.col("share")))
+                          .drop("__of", "m", "z", "share"), "lang-posts")
+    out = out.drop("__top", "__mass")
+    width = range(len(blocks[0]))
+    summed = [F.coalesce(F.sum(F.get("__post", F.lit(i))), F.lit(0.0)).alias(f"s{i}") for i in width]
 
     def sums(key: str) -> DataFrame:
-        """Summed posteriors of each value of a column, as an array."""
-        s = out.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias(f"{key}_k")).agg(
-            *(F.sum(F.element_at("post", i + 1)).alias(f"s{i}") for i in k))
-        return materialize(s.select(f"{key}_k", F.array(*(f"s{i}" for i in k)).alias(f"{key}_s")), "lang-counts")
-
+        """Summed posteriors of each value of a column and block, as an array, and its rows."""
+        s = out.filter(F.col(key).isNotNull()).groupBy(
+            F.col(key).alias(f"{key}_k"), F.col("__block").alias(f"{key}_b")).agg(
+            F.count("*").alias(f"{key}_n"), *summed)
+        return materialize(s.select(f"{key}_k", f"{key}_b", f"{key}_n", F.array(*(f"s{i}" for i in width))
+                                    .alias(f"{key}_s")), "lang-counts")
+
+    total = [np.zeros(len(names)) for names in blocks]
+    for r in out.groupBy("__block").agg(*summed).collect():
+        total[r["__block"]][:] = [r[f"s{i}"] for i in range(len(blocks[r["__block"]]))]
+    met, kinds = out, {}
     for key in ("__markup", "__suffix", "__domain", "__host"):
-        out = out.join(sums(key), F.col(key) == F.col(f"{key}_k"), "left").drop(f"{key}_k")
-    total = materialize(out.agg(*(F.coalesce(F.sum(F.element_at("post", i + 1)), F.lit(0.0)).alias(f"s{i}")
-                                  for i in k)), "lang-total").first()
-    total = [float(total[f"s{i}"]) for i in k]
-    kinds = {key: out.agg(F.approx_count_distinct(key)).first()[0] + 1 for key in ("__markup", "__suffix")}
-
-    def others(key: str, i: int):
-        """Count of the language at the key's value, without the row itself."""
-        return F.greatest(F.coalesce(F.element_at(f"{key}_s", i + 1), F.lit(0.0)) - F.element_at("post", i + 1),
-                          F.lit(0.0))
-
-    everyone = sum(total)
-    log_post = []
-    for i in k:
-        prior = F.lit((total[i] + 1.0) / (everyone + len(languages)))
-        for key in ("__domain", "__host"):
-            n = sum((others(key, j) for j in k), F.lit(0.0))
-            prior = F.when(F.col(key).isNull(), prior).otherwise(
-                (others(key, i) + strength * prior) / (n + strength))
-        score = F.element_at("ll", i + 1) + F.log(prior)
-        for key, values in kinds.items():
-            likelihood = (others(key, i) + smoothing) / (total[i] + smoothing * values)
-            score = score + F.when(F.col(key).isNull(), F.lit(0.0)).otherwise(F.log(likelihood))
-        log_post.append(score)
-    names = F.array(*(F.lit(x) for x in languages))
-    out = out.withColumn("__score", F.array(*log_post)).withColumn("__best", F.array_max("__score"))
-    norm = F.aggregate("__score", F.lit(0.0), lambda a, s: a + F.exp(s - F.col("__best")))
-    pick = lambda scores: F.element_at(names, F.array_position(scores, F.array_max(scores)).cast("int"))
-    return out.select(*keep, pick(F.col("__score")).alias("lang_id"), (1 / norm).alias("confidence"),
-                      F.when(F.size("ll") > 0, pick(F.col("ll"))).alias("text_lang"))
+        of = sums(key)
+        if key in ("__markup", "__suffix"):
+            kinds[key] = of.filter(F.col(f"{key}_b") == 0).count() + 1
+        met = met.join(of, (F.col(key) == F.col(f"{key}_k")) & (F.col("__block") == F.col(f"{key}_b")),
+                       "left").drop(f"{key}_k", f"{key}_b")
+    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in met.select(*keep, "__row", "__block").schema)
+    # The columns that are kept come first and in order.
+    met = met.select(*keep, *(c for c in met.columns if c not in keep))
+    found = met.mapInArrow(
+        _fuse(blocks, total, kinds, len(keep), strength, smoothing),
+        types + ", __best double, __lang string, __norm double, __text_best double, __text_lang string")
+    if len(blocks) > 1:
+        first = -F.col("__block")
+        found = found.groupBy("__row").agg(
+            *(F.any_value(c).alias(c) for c in keep), F.max("__best").alias("m"),
+            F.collect_list(F.struct("__best", "__norm")).alias("of"),
+            F.max_by("__lang", F.struct("__best", first)).alias("__lang"),
+            F.max_by("__text_lang", F.struct("__text_best", first)).alias("__text_lang")).withColumn(
+            "__norm", F.aggregate("of", F.lit(0.0), lambda a, x: a + x["__norm"] * F.exp(x["__best"] - F.col("m"))))
+    return found.select(*keep, F.col("__lang").alias("lang_id"), (1 / F.col("__norm")).alias("confidence"),
+                        F.col("__text_lang").alias("text_lang"))
