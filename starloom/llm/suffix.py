@@ -49,8 +49,6 @@ class Repeats:
     split: int = 64
     shard_bytes: int = 2 << 20
     queue_bytes: int = 64 << 20
-    #: Groups in which windows of split anchors meet.
-    buckets: int = 256
 
 
 # --- sieve -------------------------------------------------------------------
@@ -232,9 +230,8 @@ def sorted_buckets(t: np.ndarray, symbols: int, depth: int, folder: str, budget:
 def _sort_shard(p: Repeats):
     """Per shard: the repeated windows of its runs, as spans. Where several shards
     share an anchor, every class of equal windows is also named by its fingerprint:
-    a lone window with its place and 1, a larger class without and with 2. Classes
-    go out packed, one blob for each bucket of fingerprints."""
-    names = ["row", "first", "end", "bucket", "classes"]
+    a lone window with its place and 1, a larger class without and with 2."""
+    names = ["row", "first", "end", "mark", "weight"]
 
     def go(batches):
         with tempfile.TemporaryDirectory() as folder:
@@ -279,36 +276,30 @@ def _sort_shard(p: Repeats):
             r = run_of[a]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(row[r]), pa.array(a - start[r] + first[r]), pa.array(b - start[r] + first[r]),
-                 pa.nulls(len(r), pa.int64()), pa.nulls(len(r), pa.binary())], names=names)
+                 pa.nulls(len(r), pa.int64()), pa.nulls(len(r), pa.int64())], names=names)
             x = np.concatenate([c for c, _ in classes]) if classes else np.zeros(0, np.int64)
             if len(x):
                 w, r = np.concatenate([c for _, c in classes]), run_of[x]
-                packed = np.zeros(len(x), _CLASS)
-                packed["mark"], packed["weight"] = fp[x], w
-                packed["row"], packed["place"] = np.where(w > 1, -1, row[r]), x - start[r] + first[r]
-                bucket = (packed["mark"] % np.uint64(p.buckets)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                ends = np.searchsorted(bucket[order], np.arange(p.buckets + 1))
-                some = np.flatnonzero(np.diff(ends))
-                null = pa.nulls(len(some), pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [null, null, null, pa.array(some),
-                     pa.array([packed[order[ends[b]:ends[b + 1]]].tobytes() for b in some], pa.binary())], names=names)
+                lone, place = np.where(w > 1, -1, row[r]), x - start[r] + first[r]
+                for i in range(0, len(x), _SEND):
+                    k = slice(i, i + _SEND)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(lone[k]), pa.array(place[k]), pa.array(place[k] + 1),
+                         pa.array(fp[x[k]].view(np.int64)), pa.array(w[k])], names=names)
     return go
 
 
-_CLASS = np.dtype([("mark", "<u8"), ("row", "<i8"), ("place", "<i4"), ("weight", "u1")])
+#: Classes of a batch that a shard sends.
+_SEND = 50_000
 
 
-def _meet(table: pa.Table) -> pa.Table:
-    """The lone windows of a bucket whose fingerprint another shard has too."""
-    c = np.concatenate([np.frombuffer(x.as_buffer(), _CLASS) for x in table.column("classes")])
-    c = c[np.argsort(c["mark"])]
-    edge = np.flatnonzero(np.concatenate(([True], c["mark"][1:] != c["mark"][:-1])))
-    total = np.add.reduceat(c["weight"].astype(np.int64), edge)
-    c = c[np.repeat(total >= 2, np.diff(np.append(edge, len(c)))) & (c["row"] >= 0)]
-    first = c["place"].astype(np.int64)
-    return pa.table({"row": c["row"].astype(np.int64), "first": first, "end": first + 1})
+def meeting_windows(classes: DataFrame) -> DataFrame:
+    """(row, first, end) of the lone windows whose fingerprint another shard has
+    too. A shard names a fingerprint once, so a group has at most one row a shard."""
+    # collect_list skips the nulls of larger classes.
+    at = F.when(F.col("row") >= 0, F.struct("row", "first", "end"))
+    met = classes.groupBy("mark").agg(F.sum("weight").alias("n"), F.collect_list(at).alias("at"))
+    return met.filter("n > 1").select(F.inline("at"))
 
 
 # --- operator ----------------------------------------------------------------
@@ -361,11 +352,10 @@ def repeated_runs(src: DataFrame, p: Repeats) -> DataFrame:
     pieces = src.join(by_row, "row").mapInArrow(
         _cut(p), "row long, first long, weight long, shared long, shard long, bytes binary")
     shards = pieces.repartition(max(1, -(-size // p.shard_bytes)), "shard")
-    found = materialize(shards.mapInArrow(_sort_shard(p), "row long, first long, end long, bucket long, classes binary"),
+    found = materialize(shards.mapInArrow(_sort_shard(p), "row long, first long, end long, mark long, weight long"),
                         "suffix-found")
-    met = found.filter("bucket is not null").select("bucket", "classes").groupBy("bucket").applyInArrow(
-        _meet, "row long, first long, end long")
-    spans = whole.unionByName(found.filter("bucket is null").select("row", "first", "end")).unionByName(met)
+    met = meeting_windows(found.filter("mark is not null"))
+    spans = whole.unionByName(found.filter("mark is null").select("row", "first", "end")).unionByName(met)
     return materialize(spans.groupBy("row").agg(F.collect_list(F.struct("first", "end")).alias("spans")),
                        "suffix-spans")
 
