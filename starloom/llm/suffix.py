@@ -12,9 +12,11 @@ else. Strings are judged on the input.
 2. Sort. Where runs of one anchor differ, their bytes are sorted: a shard's
    suffixes by induced sorting. The types of all suffixes are found, the
    leftmost S suffixes are ranked, and the order of all others is induced from
-   them bucket by bucket through first-in-first-out queues on disk, so a
-   shard's queues may be far larger than memory. Windows that share their first
-   ``length`` bytes stand side by side in the sorted order.
+   them bucket by bucket through first-in-first-out queues. A shard is sorted in
+   memory: its text, types and fingerprints are held whole, and its queues of
+   positions go to disk only beyond ``queue_bytes``, which shards of
+   ``shard_bytes`` do not reach. Windows that share their first ``length`` bytes
+   stand side by side in the sorted order.
 3. Shards hold whole anchors. An anchor with very many different runs is split
    over shards, and its windows meet again by a fingerprint count.
 """
