@@ -6,6 +6,8 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from texts import prose  # noqa: E402
+
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, doc string, row string, n string, label string, lang string, source string"
 
@@ -24,10 +26,6 @@ def make_docs(spark):
     return make
 
 
-def prose(rng, n, size=200):
-    return " ".join(f"w{rng.randrange(size)}" for _ in range(n))
-
-
 @pytest.fixture()
 def edge_texts():
     """Nulls, empty and blank texts, one word, repeats, a long text, non-ASCII, odd white space."""

@@ -3,7 +3,7 @@
 import random
 
 import brute
-from conftest import prose
+from texts import prose
 
 from starloom.llm.suffix import Repeats, meeting_windows, repeat_digest
 

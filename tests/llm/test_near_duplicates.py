@@ -1,7 +1,7 @@
 import random
 
 import brute
-from conftest import prose
+from texts import prose
 
 from starloom.llm.superminhash import NearDup, drop_near_duplicates, near_duplicates, superminhash
 

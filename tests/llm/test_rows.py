@@ -2,7 +2,7 @@
 
 import random
 
-from conftest import prose
+from texts import prose
 
 import corpus_pipeline
 from starloom.llm.decontam import drop_contaminated
