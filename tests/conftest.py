@@ -8,8 +8,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from starloom.session import build_session, checkpoint_dir  # noqa: E402
 
-RUN_TS = "2024-06-01 00:00:00"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -22,10 +20,3 @@ def spark():
 @pytest.fixture()
 def scratch(spark):
     return tempfile.mkdtemp(prefix="case-", dir=checkpoint_dir(spark))
-
-
-def rows(df, *cols):
-    """Collect sorted tuples of the given columns (small test frames only)."""
-    cols = cols or tuple(df.columns)
-    return sorted((tuple(r[c] for c in cols) for r in df.select(*cols).collect()),
-                  key=lambda t: tuple((x is None, str(x)) for x in t))

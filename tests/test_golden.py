@@ -4,7 +4,7 @@ from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
-from conftest import RUN_TS, rows
+from helpers import RUN_TS, rows
 from starloom.functions import exprs as X
 from starloom.functions.calendar import build_dim_date
 from starloom.operators.aggregates import order_sellers

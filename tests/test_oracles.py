@@ -11,12 +11,15 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 import __spark_entry__ as E  # noqa: E402
 from compare import _rows, compare, duck_connect  # noqa: E402
+from starloom.plans.oracles import ORACLES  # noqa: E402
+from starloom.plans.registry import QUERIES  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLES) <= set(E.oracle_sql())
 
 
 def test_entry_smoke(spark):
@@ -32,7 +35,7 @@ SUBSET = ["scan_table", "csv_roundtrip", "role_playing_dates", "dim_date", "days
           "dim_product_scd1", "dim_customer_scd2", "dim_customer_scd2_any", "dim_seller_scd2",
           "fct_order_payments", "fct_order_delivery", "fct_order_reviews_merge",
           "dq_single_current", "fct_items_as_of", "segment_transitions", "on_time_by_state"]
-NAMES = sorted(E.queries()) if os.environ.get("STARLOOM_FULL_ORACLE") else SUBSET
+NAMES = sorted(QUERIES) if os.environ.get("STARLOOM_FULL_ORACLE") else SUBSET
 
 
 @pytest.mark.parametrize("name", NAMES)

@@ -1,6 +1,7 @@
 """Physical-plan shape: the properties that matter at scale."""
 
 import __spark_entry__ as E
+from starloom.plans.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -14,9 +15,9 @@ def _optimized(df) -> str:
 
 
 def test_no_python_in_any_plan(spark):
-    for name, q in E.queries().items():
+    for name, q in QUERIES.items():
         plan = _optimized(q(spark, SF))
-        for op in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
+        for op in ("EvalPython", "InPandas", "InArrow", "PythonUDF"):
             assert op not in plan, (name, op)
 
 

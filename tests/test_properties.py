@@ -5,7 +5,7 @@ from datetime import datetime
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from conftest import RUN_TS, rows
+from helpers import RUN_TS, rows
 from starloom.operators.merge import latest_per_key, upsert_changed, upsert_overwrite
 from starloom.operators.quality import check_single_current
 from starloom.plans import dims

@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import rows
+from helpers import rows
 from starloom.functions.exprs import parse_ts
 from starloom.operators.quality import (QualityError, assert_quality, check_domain,
                                         check_foreign_key, check_not_null, check_parse_failures,
