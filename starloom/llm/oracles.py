@@ -59,4 +59,43 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
        sha256(coalesce(names, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)""",
+    "op12_source_mixing": f"""
+WITH sized AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size
+               FROM documents),
+per_source AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
+weighed AS (SELECT source, source_size, 3 * source_size AS most,
+                   1 + (row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 AS weight FROM per_source),
+-- sources by how soon they reach their cap; the first whose share fits sets everyone's
+step AS (SELECT *, most::DOUBLE / weight AS ratio,
+                (SELECT sum(source_size) FROM weighed)
+                  - coalesce(sum(most) OVER (ORDER BY most::DOUBLE / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+                sum(weight) OVER (ORDER BY most::DOUBLE / weight, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weights
+         FROM weighed),
+level AS (SELECT rest::DOUBLE AS rest, weights::DOUBLE AS weights FROM step
+          WHERE rest::DOUBLE * weight / weights <= most ORDER BY ratio, source LIMIT 1),
+targeted AS (SELECT source, source_size, least(most::DOUBLE, rest * weight / weights) AS target FROM weighed, level),
+rated AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate FROM targeted),
+tried AS (SELECT doc_id, size, r.source, source_size, target, seed,
+                 floor(rate)::BIGINT + (('0x' || md5(seed || ':' || doc_id)[1:13])::BIGINT::DOUBLE / 4503599627370496
+                                        < rate - floor(rate))::BIGINT AS copies
+          FROM sized s JOIN rated r ON s.source IS NOT DISTINCT FROM r.source, range(16) AS k(seed)),
+best AS (SELECT source, arg_min(seed, (miss, seed)) AS seed
+         FROM (SELECT source, seed, abs(sum(size * copies) - any_value(target)) AS miss FROM tried GROUP BY source, seed)
+         GROUP BY source)
+SELECT doc_id, size, source_size, target, copies, size * copies AS taken
+FROM tried t JOIN best b ON t.source IS NOT DISTINCT FROM b.source AND t.seed = b.seed""",
+    "op13_ranked_search": f"""
+WITH doc AS (SELECT doc_id, {_LETTERS} AS w FROM documents),
+size AS (SELECT doc_id, len(w)::BIGINT AS n FROM doc WHERE len(w) > 0),
+total AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS words FROM size),
+posting AS (SELECT doc_id, term, count(*)::BIGINT AS tf FROM (SELECT doc_id, unnest(w) AS term FROM doc) GROUP BY ALL),
+weight AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+           FROM posting, total GROUP BY term, docs),
+asked AS (SELECT DISTINCT item_id, unnest({_LETTERS}) AS term FROM benchmark),
+scored AS (SELECT item_id, doc_id,
+                  sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // words))))::BIGINT AS score
+           FROM asked JOIN posting USING (term) JOIN weight USING (term) JOIN size USING (doc_id), total GROUP BY ALL),
+ranked AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+           FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50""",
 }

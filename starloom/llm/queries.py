@@ -10,7 +10,9 @@ from .ctw import score_texts
 from .decontam import contamination
 from .embeddings import similar_vectors
 from .langid import declared_language, identify, page_text, url_host
+from .lexical import rank_documents
 from .licenses import scan_licenses
+from .mixing import mix_sources
 from .oracles import ORACLES
 from .packing import pack_documents
 from .quality import classify
@@ -79,9 +81,18 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op12_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(_table(spark, sf_dir, "documents"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (op1_superminhash, op2_harmonic_packing, op3_language_id, op4_pca_tiles, op5_context_tree,
                                    op6_suffix_dedup, op7_token_files,
                                    op8_decontamination, op9_license_scan,
-                                   op10_quality_classifier)}
+                                   op10_quality_classifier, op12_source_mixing,
+                                   op13_ranked_search)}
 
 __all__ = ["QUERIES", "ORACLES"]
