@@ -19,6 +19,7 @@ from .quality import classify
 from .suffix import repeat_digest
 from .superminhash import NearDup, near_duplicates
 from .tokens import read_token_files, write_token_files
+from .trie import conversation_trie
 
 
 def _vocabulary(name: str) -> str:
@@ -81,6 +82,10 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(_table(spark, sf_dir, "conversations"))
+
+
 def op12_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents"))
 
@@ -92,7 +97,7 @@ def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_superminhash, op2_harmonic_packing, op3_language_id, op4_pca_tiles, op5_context_tree,
                                    op6_suffix_dedup, op7_token_files,
                                    op8_decontamination, op9_license_scan,
-                                   op10_quality_classifier, op12_source_mixing,
-                                   op13_ranked_search)}
+                                   op10_quality_classifier, op11_conversation_trie,
+                                   op12_source_mixing, op13_ranked_search)}
 
 __all__ = ["QUERIES", "ORACLES"]
