@@ -117,6 +117,17 @@ def append_rows(current: DataFrame, incoming: DataFrame) -> DataFrame:
     return current.unionByName(incoming.select(*current.columns))
 
 
+# Hexadecimal digits and their complements (fixed values).
+_HEX, _HEX_REVERSED = "0123456789ABCDEF", "FEDCBA9876543210"
+
+
+def _reversed_text(x: Column) -> Column:
+    """A text that sorts the other way round than ``x`` does (by bytes, as texts sort): the
+    complements of its hexadecimal digits, and an end mark above all digits, because the
+    longer of two texts that begin alike comes first."""
+    return F.concat(F.translate(F.hex(x), _HEX, _HEX_REVERSED), F.lit("G"))
+
+
 def _order_value(c: str, descending: bool, dtype: str) -> list[Column]:
     """Sort-key fields such that the smallest struct is the wanted row.
 
@@ -132,7 +143,7 @@ def _order_value(c: str, descending: bool, dtype: str) -> list[Column]:
     elif dtype == "date":
         v = -F.unix_date(x)
     elif dtype in ("string", "binary"):
-        raise ValueError(f"descending order on text column {c!r} is not supported")
+        v = _reversed_text(x)
     else:
         v = -x
     return [x.isNotNull(), v]
@@ -169,8 +180,9 @@ def merge_audit(merged: dict[str, DataFrame]) -> DataFrame:
 
 
 def upsert_delta(current: DataFrame, incoming: DataFrame, key, run_ts, id_col: str,
-                 created_col: str = "created_at", updated_col: str = "updated_at") -> DataFrame:
-    """Same rows as ``upsert_overwrite`` (minus the action column), written for an
+                 created_col: str = "created_at", updated_col: str = "updated_at",
+                 with_action: bool = False) -> DataFrame:
+    """Same rows as ``upsert_overwrite``, written for an
     ``incoming`` that touches few stored rows: untouched rows pass an anti-join on
     the delta's keys, touched ones are rebuilt from the delta. No join is hinted;
     adaptive execution broadcasts the delta when its measured size allows."""
@@ -185,5 +197,9 @@ def upsert_delta(current: DataFrame, incoming: DataFrame, key, run_ts, id_col: s
           else F.coalesce(F.col("__old_" + c), ts).alias(c) if c == created_col
           else ts.alias(c) if c == updated_col
           else F.col(c) if c in keys or c in given
-          else F.col("__old_" + c).alias(c) for c in current.columns])
+          else F.col("__old_" + c).alias(c) for c in current.columns],
+        *([F.when(F.col("__old_" + id_col).isNull(), F.lit(INSERTED)).otherwise(F.lit(UPDATED)).alias("merge_action")]
+          if with_action else []))
+    if with_action:
+        untouched = untouched.withColumn("merge_action", F.lit(KEPT))
     return untouched.unionByName(restated)

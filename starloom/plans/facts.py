@@ -23,7 +23,10 @@ from ..schemas import ORDER_TIMESTAMPS
 def order_customer_keys(stg_orders: DataFrame, stg_customers: DataFrame,
                         dim_customer: DataFrame) -> DataFrame:
     """Per order: status, text timestamps and the Current customer surrogate.
-    Orders whose customer has no Current version are dropped (inner joins)."""
+    Orders whose customer has no Current version are dropped (inner joins).
+
+    All four facts need it: a run stores it once (bucketed like the orders'
+    children, if those are) and hands it to the builders as ``order_keys``."""
     c = stg_customers.select("customer_id", "customer_unique_id")
     dc = current_key_map(dim_customer, "customer_nk", "customer_id", "customer_unique_id",
                          "customer_sk")
@@ -33,22 +36,31 @@ def order_customer_keys(stg_orders: DataFrame, stg_customers: DataFrame,
             .drop("customer_id", "customer_unique_id"))
 
 
-def seller_key_map(dim_seller: DataFrame, stg_sellers: DataFrame, key: str = "seller_id") -> DataFrame:
-    """staging seller id -> Current seller surrogate (existence-checked against staging)."""
-    return (current_key_map(dim_seller, "seller_nk", "seller_id", key, "seller_sk")
-            .join(stg_sellers.select(F.col("seller_id").alias(key)), on=key, how="left_semi"))
+def seller_key_map(dim_seller: DataFrame, stg_sellers: DataFrame | None, key: str = "seller_id") -> DataFrame:
+    """staging seller id -> Current seller surrogate, existence-checked against staging
+    unless that is None: a run that has checked the foreign keys need not do it again."""
+    keys = current_key_map(dim_seller, "seller_nk", "seller_id", key, "seller_sk")
+    if stg_sellers is None:
+        return keys
+    return keys.join(stg_sellers.select(F.col("seller_id").alias(key)), on=key, how="left_semi")
+
+
+def product_key_map(dim_product: DataFrame, stg_products: DataFrame | None) -> DataFrame:
+    keys = dim_product.select(F.col("product_nk").alias("product_id"), F.col("product_id").alias("product_sk"))
+    if stg_products is None:
+        return keys
+    return keys.join(stg_products.select("product_id"), on="product_id", how="left_semi")
 
 
-def product_key_map(dim_product: DataFrame, stg_products: DataFrame) -> DataFrame:
-    return (dim_product.select(F.col("product_nk").alias("product_id"),
-                               F.col("product_id").alias("product_sk"))
-            .join(stg_products.select("product_id"), on="product_id", how="left_semi"))
+def _keys_of(order_keys: DataFrame | None, stg_orders, stg_customers, dim_customer) -> DataFrame:
+    return order_keys if order_keys is not None else order_customer_keys(stg_orders, stg_customers, dim_customer)
 
 
 def build_fct_order_items(stg_order_items, stg_orders, stg_customers, dim_customer, stg_sellers,
-                          dim_seller, stg_products, dim_product, dim_date) -> DataFrame:
+                          dim_seller, stg_products, dim_product, dim_date,
+                          order_keys: DataFrame | None = None) -> DataFrame:
     """One row per order item with Current customer/seller, product and purchase date."""
-    orders = order_customer_keys(stg_orders, stg_customers, dim_customer) \
+    orders = _keys_of(order_keys, stg_orders, stg_customers, dim_customer) \
         .select("order_id", "order_status", "order_purchase_timestamp", "customer_sk")
     f = (stg_order_items.select("order_id", "order_item_id", "product_id", "seller_id", "price",
                                 "freight_value")
@@ -68,10 +80,10 @@ def build_fct_order_items(stg_order_items, stg_orders, stg_customers, dim_custom
 
 
 def build_fct_order_payments(stg_order_payments, stg_orders, stg_customers, dim_customer,
-                             dim_date) -> DataFrame:
+                             dim_date, order_keys: DataFrame | None = None) -> DataFrame:
     """One row per payment; ``expected_order_value`` is the order's payment
     total and ``discount_amount`` that total minus this payment."""
-    orders = order_customer_keys(stg_orders, stg_customers, dim_customer) \
+    orders = _keys_of(order_keys, stg_orders, stg_customers, dim_customer) \
         .select("order_id", "order_approved_at", "customer_sk")
     p = stg_order_payments.select("order_id", "payment_sequential", "payment_type",
                                   "payment_installments", "payment_value")
@@ -90,7 +102,8 @@ def build_fct_order_payments(stg_order_payments, stg_orders, stg_customers, dim_
 
 
 def build_fct_order_reviews(stg_order_reviews, stg_orders, stg_customers, dim_customer,
-                            dim_date, dedupe: bool = True) -> DataFrame:
+                            dim_date, dedupe: bool = True,
+                            order_keys: DataFrame | None = None) -> DataFrame:
     """One row per (review, order): the latest by ``updated_at``, or with
     ``dedupe=False`` the rows as they are, for a table whose key is already
     unique (a staging table after its merge). Text measures are computed before any
@@ -102,7 +115,7 @@ def build_fct_order_reviews(stg_order_reviews, stg_orders, stg_customers, dim_cu
         *(["updated_at"] if dedupe else []))
     if dedupe:
         r = latest_per_key(r, ["review_id", "order_id"], [("updated_at", "desc")])
-    orders = order_customer_keys(stg_orders, stg_customers, dim_customer) \
+    orders = _keys_of(order_keys, stg_orders, stg_customers, dim_customer) \
         .select("order_id", "order_status", "order_purchase_timestamp", "customer_sk")
     f = r.join(orders, on="order_id", how="inner")
     f = lookup_date(f, X.parse_ts("review_creation_date"), "review_date_id", dim_date)
@@ -131,11 +144,12 @@ DATE_ROLES = {
 
 
 def build_fct_order_delivery(stg_orders, stg_customers, dim_customer, stg_order_items,
-                             stg_sellers, dim_seller, dim_date) -> DataFrame:
+                             stg_sellers, dim_seller, dim_date,
+                             order_keys: DataFrame | None = None) -> DataFrame:
     """Accumulating snapshot, one row per order that has items: five
     role-playing dates, first (lexically smallest) seller, multi-seller flag,
     whole-day durations between milestones, on-time status and lateness."""
-    orders = order_customer_keys(stg_orders, stg_customers, dim_customer)
+    orders = _keys_of(order_keys, stg_orders, stg_customers, dim_customer)
     ts = {c: X.parse_ts(c) for c in ORDER_TIMESTAMPS}
     f = (orders.join(order_sellers(stg_order_items), on="order_id", how="inner")
          .join(seller_key_map(dim_seller, stg_sellers, "first_seller_id"),

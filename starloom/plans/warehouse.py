@@ -6,10 +6,11 @@ Storage layout under a shared warehouse root::
     <root>/_manifests/<sequence>/                (layer, table, path) rows of a run
 
 Every attempt of a run writes folders of its own, so nothing that a published
-run names is ever overwritten. The manifest is written last, under the next
-sequence number; readers take the complete manifest with the highest number. A
-published run id and a run timestamp that is not later than the published one
-are refused. A type 2 dimension is stored as its Current rows plus one
+run names is ever overwritten. The manifest is written last, aside, and renamed to
+the sequence number after the one the run started from: of two runs that started
+from the same state one publishes, and the other raises. Readers take the
+complete manifest with the highest number. A published run id and a run timestamp
+that is not later than the published one are refused. A type 2 dimension is stored as its Current rows plus one
 increment of Expired rows per run; the manifest names all of them, and they are
 folded into one when there are many. Writing each layer and reading it back
 also cuts the lineage between layers, so a lost executor is recomputed from
@@ -18,20 +19,25 @@ stored data.
 
 from __future__ import annotations
 
+import re
+import time
+import uuid
 from collections.abc import Callable
+from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
-from ..operators.merge import upsert_changed, upsert_delta, upsert_overwrite
+from ..operators.merge import insert_if_absent, upsert_changed, upsert_delta, upsert_overwrite
 from ..operators.scd import current_rows
+from ..operators.steplog import StepLog, counted, counted_by, stamp_action
 from ..operators.quality import (QualityError, check_domain, check_foreign_key, check_not_null,
                                  check_parse_failures, check_range, check_single_current, check_unique)
-from ..schemas import (DIM_KEYS, FACT_DOMAINS, NOT_NULL, REVIEW_SCORE_RANGE, SOURCE_TABLES, STAGING_AUDIT,
+from ..schemas import (DIM_KEYS, FACT_DOMAINS, NOT_NULL, ORDER_TIMESTAMPS, REVIEW_SCORE_RANGE, SOURCE_TABLES, STAGING_AUDIT,
                        TIMESTAMP_TEXTS)
 from ..sources.tables import land_table, scan_sources
-from . import dims, facts
+from . import dims, fact_store, facts
 from ..functions.calendar import build_dim_date
 
 MANIFEST_DDL = ("run_id string, run_ts string, layer string, table_name string, path string, "
@@ -65,24 +71,31 @@ def version_path(root: str, layer: str, table: str, attempt: str) -> str:
 def _catalog_name(path: str) -> str:
     """Session-catalog name of a bucketed version (derived from its path)."""
     import hashlib
-    import re
     tail = re.sub(r"\W", "_", "_".join(path.rstrip("/").split("/")[-3:-1]))
     return f"stl_{tail}_{hashlib.md5(path.encode()).hexdigest()[:10]}"
 
 
+def bucket_prefix(cols: tuple[str, ...]) -> tuple[str, ...]:
+    """The columns a version sorted on ``cols`` is hashed by. An order and its
+    items, payments and reviews are hashed by the order alone, so that joins
+    and totals per order, as well as merges on the whole key, find them in one place."""
+    return ("order_id",) if "order_id" in cols else cols
+
+
 def write_version(df: DataFrame, root: str, layer: str, table: str, attempt: str,
                   bucket: Bucketing = None) -> str:
     """Write one table version to a folder that must not exist; returns its path.
 
-    With ``bucket = (n, cols)`` the version is stored hash-bucketed and sorted
-    on ``cols`` (an external table in the session catalog), so a later merge or
-    join on those columns with an equally bucketed side needs no shuffle.
+    With ``bucket = (n, cols)`` the version is stored hash-bucketed on the
+    ``bucket_prefix`` of ``cols`` and sorted on all of them (an external table in
+    the session catalog), so a later merge or join on those columns, or on
+    the prefix, with an equally bucketed side needs no shuffle.
     """
     path = version_path(root, layer, table, attempt)
     w = df.write.format("parquet")
     if bucket:
         n, cols = bucket
-        w.bucketBy(n, *cols).sortBy(*cols).option("path", path).saveAsTable(_catalog_name(path))
+        w.bucketBy(n, *bucket_prefix(cols)).sortBy(*cols).option("path", path).saveAsTable(_catalog_name(path))
     else:
         w.save(path)
     return path
@@ -97,9 +110,9 @@ def read_version(spark: SparkSession, path: str, bucket: Bucketing = None,
     n, cols = bucket
     name = _catalog_name(path)
     if not spark.catalog.tableExists(name):
-        keys = ", ".join(cols)
         spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet "
-                  f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {n} BUCKETS LOCATION '{path}'")
+                  f"CLUSTERED BY ({', '.join(bucket_prefix(cols))}) SORTED BY ({', '.join(cols)}) "
+                  f"INTO {n} BUCKETS LOCATION '{path}'")
     return spark.table(name)
 
 
@@ -123,9 +136,16 @@ def _sequences(spark: SparkSession, root: str) -> list[int]:
 
 def publish_manifest(spark: SparkSession, root: str, run_id: str, run_ts: str,
                      paths: dict[tuple[str, str], str | list[str]],
-                     buckets: dict[tuple[str, str], Bucketing] | None = None) -> None:
-    """Name the tables of a run, under the next sequence number. Two runs that
-    publish at once claim the same folder, and the second fails."""
+                     buckets: dict[tuple[str, str], Bucketing] | None = None,
+                     after: int | None = None) -> int:
+    """Name the tables of a run, under the number after ``after`` (the number of the
+    manifest the run started from; by default the latest). Returns the number.
+
+    The manifest is written to a hidden folder and renamed, which the file system does
+    at once and only if the number is free (HDFS and local disks; an object store needs
+    a committer of its own). When another run has published in between, the number
+    is taken and this one raises ``ManifestError``; nothing is damaged.
+    """
     buckets = buckets or {}
     rows = []
     for (layer, table), found in sorted(paths.items()):
@@ -133,10 +153,26 @@ def publish_manifest(spark: SparkSession, root: str, run_id: str, run_ts: str,
         for path in [found] if isinstance(found, str) else found:
             rows.append((run_id, run_ts, layer, table, path, b[0] if b else None,
                          ",".join(b[1]) if b else None))
-    done = _sequences(spark, root)
-    number = done[-1] + 1 if done else 1
-    spark.createDataFrame([(*r, len(rows)) for r in rows], MANIFEST_DDL).coalesce(1).write \
-        .json(f"{root}/_manifests/{number:09d}")
+    if after is None:
+        done = _sequences(spark, root)
+        after = done[-1] if done else 0
+    aside, number = f"{root}/_manifests/.{uuid.uuid4().hex}", after + 1
+    spark.createDataFrame([(*r, len(rows)) for r in rows], MANIFEST_DDL).coalesce(1).write.json(aside)
+    jvm = spark._jvm
+    source, target = (jvm.org.apache.hadoop.fs.Path(p) for p in (aside, f"{root}/_manifests/{number:09d}"))
+    taken = f"manifest {number} under {root} was published by another run"
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(source.toUri(), spark._jsc.hadoopConfiguration())
+    try:
+        files.rename(source, target, spark.sparkContext._gateway.new_array(
+            getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0))
+    except Exception as e:
+        if files.util().exists(target):
+            raise ManifestError(taken) from e
+        raise
+    # A file system that moves into an existing folder instead of refusing is found out here.
+    if {r["path"] for r in _read_manifest(spark, root, number)} != {r[4] for r in rows}:
+        raise ManifestError(taken)
+    return number
 
 
 def _read_manifest(spark: SparkSession, root: str, number: int) -> list:
@@ -155,11 +191,12 @@ def _latest_rows(spark: SparkSession, root: str) -> list:
 
 def latest_manifest(spark: SparkSession, root: str) -> dict[tuple[str, str], str | list[str]]:
     """(layer, table) -> path of the latest published run, or the list of paths
-    that together hold a type 2 dimension (empty if nothing was published)."""
+    that together hold a type 2 dimension or a fact stored by partition (empty if
+    nothing was published)."""
     out: dict[tuple[str, str], str | list[str]] = {}
     for r in _latest_rows(spark, root):
         key = (r["layer"], r["table_name"])
-        if key[1] in SCD2_DIMS:
+        if key[1] in SCD2_DIMS or key == ("final", "cluster_assignment") or (key[0] == "final" and r["num_buckets"]):
             out.setdefault(key, []).append(r["path"])
         else:
             out[key] = r["path"]
@@ -174,6 +211,12 @@ def read_dimension(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(*latest_manifest(spark, root)[("final", name)])
 
 
+def read_fact(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A stored fact, whether one folder or one per partition holds it."""
+    found = latest_manifest(spark, root)[("final", name)]
+    return spark.read.parquet(*([found] if isinstance(found, str) else found))
+
+
 def latest_buckets(spark: SparkSession, root: str) -> dict[tuple[str, str], Bucketing]:
     return {(r["layer"], r["table_name"]): (r["num_buckets"], tuple(r["bucket_cols"].split(",")))
             for r in _latest_rows(spark, root) if r["num_buckets"]}
@@ -256,29 +299,32 @@ def restrict_to_orders(stg: dict[str, DataFrame], orders: DataFrame) -> dict[str
     return out
 
 
-def build_facts(stg: dict[str, DataFrame], star: dict[str, DataFrame],
-                unique_reviews: bool = False) -> dict[str, DataFrame]:
-    """``unique_reviews``: the staged reviews' key is known to be unique (a run
-    checks it), so that they need not be reduced to the latest row per key."""
-    d = star
+def build_facts(stg: dict[str, DataFrame], star: dict[str, DataFrame], checked: bool = False,
+                order_keys: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The four facts. ``checked``: the run has checked staging's keys and foreign keys,
+    so reviews need not be reduced to the latest row per key, nor sellers and products
+    looked up in staging. ``order_keys``: ``order_customer_keys``, if stored already."""
+    d, sellers, products = star, stg["sellers"], stg["products"]
+    if checked:
+        sellers = products = None
     return {
         "fct_order_items": facts.build_fct_order_items(
             stg["order_items"], stg["orders"], stg["customers"], d["dim_customer"],
-            stg["sellers"], d["dim_seller"], stg["products"], d["dim_product"], d["dim_date"]),
+            sellers, d["dim_seller"], products, d["dim_product"], d["dim_date"], order_keys),
         "fct_order_payments": facts.build_fct_order_payments(
             stg["order_payments"], stg["orders"], stg["customers"], d["dim_customer"],
-            d["dim_date"]),
+            d["dim_date"], order_keys),
         "fct_order_reviews": facts.build_fct_order_reviews(
             stg["order_reviews"], stg["orders"], stg["customers"], d["dim_customer"],
-            d["dim_date"], dedupe=not unique_reviews),
+            d["dim_date"], dedupe=not checked, order_keys=order_keys),
         "fct_order_delivery": facts.build_fct_order_delivery(
             stg["orders"], stg["customers"], d["dim_customer"], stg["order_items"],
-            stg["sellers"], d["dim_seller"], d["dim_date"]),
+            sellers, d["dim_seller"], d["dim_date"], order_keys),
     }
 
 
 def merge_facts(new_facts: dict[str, DataFrame], current: dict[str, DataFrame],
-                run_ts, rebuild: bool = False, delta: bool = False) -> dict[str, DataFrame]:
+                run_ts, rebuild: bool = False, delta: bool = False, with_action: bool = False) -> dict[str, DataFrame]:
     """Upsert each restated fact into its stored state (incoming wins).
     ``rebuild`` starts from empty facts (the truncate-and-reload variant);
     ``delta`` uses the small-delta plan (``upsert_delta``)."""
@@ -287,12 +333,11 @@ def merge_facts(new_facts: dict[str, DataFrame], current: dict[str, DataFrame],
         key, sk = facts.FACT_KEYS[name]
         cur = None if rebuild else current.get(name)
         if delta and cur is not None:
-            out[name] = upsert_delta(cur, df, list(key), run_ts, id_col=sk)
+            out[name] = upsert_delta(cur, df, list(key), run_ts, id_col=sk, with_action=with_action)
             continue
         if cur is None:
-            cur = df.limit(0).withColumn("created_at", F.lit(None).cast("timestamp_ntz")) \
-                .withColumn("updated_at", F.lit(None).cast("timestamp_ntz"))
-        out[name] = upsert_overwrite(cur, df, list(key), run_ts, id_col=sk)
+            cur = fact_store.with_audit(df.limit(0))
+        out[name] = upsert_overwrite(cur, df, list(key), run_ts, id_col=sk, with_action=with_action)
     return out
 
 
@@ -333,26 +378,20 @@ def dimension_checks(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def fact_checks(stored: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Constraints of the facts in ``stored``. A partition's orders are in no other, so the
+    partitions that a run wrote can be checked by themselves."""
     out = {f"unique key of {n}": check_unique(df, facts.FACT_KEYS[n][0]) for n, df in stored.items()}
     for n, column, allowed in FACT_DOMAINS:
-        out[f"allowed values of {n}.{column}"] = check_domain(stored[n], column, allowed)
-    out["range of fct_order_reviews.review_score"] = check_range(
-        stored["fct_order_reviews"], "review_score", *REVIEW_SCORE_RANGE)
+        if n in stored:
+            out[f"allowed values of {n}.{column}"] = check_domain(stored[n], column, allowed)
+    if "fct_order_reviews" in stored:
+        out["range of fct_order_reviews.review_score"] = check_range(
+            stored["fct_order_reviews"], "review_score", *REVIEW_SCORE_RANGE)
     return out
 
 
-def run_audit(stg: dict[str, DataFrame], run_ts) -> DataFrame:
-    """Rows per staging table and what the run did to them, from their stamps."""
-    ts = X.ts_literal(run_ts)
-    action = (F.when(F.col("created_at") == ts, F.lit("inserted"))
-              .when(F.col("updated_at") == ts, F.lit("updated")).otherwise(F.lit("unchanged or kept")))
-    parts = [df.groupBy(action.alias("action")).agg(F.count(F.lit(1)).alias("row_count"))
-             .select(F.lit(n).alias("table_name"), "action", "row_count", ts.alias("run_ts"))
-             for n, df in stg.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.coalesce(1)
+ORDER_KEYS_DDL = ("order_id string, order_status string, "
+                  + ", ".join(f"{c} string" for c in ORDER_TIMESTAMPS) + ", customer_sk string")
 
 
 def source_ddl(name: str) -> str:
@@ -360,39 +399,101 @@ def source_ddl(name: str) -> str:
                      for f in SOURCE_TABLES[name].schema.fields)
 
 
+def _moment(ts) -> datetime:
+    """A run timestamp (datetime or text, fields of any width) to compare with others."""
+    if isinstance(ts, datetime):
+        return ts.replace(tzinfo=None)
+    parts = re.fullmatch(r"\s*(\d+)-(\d+)-(\d+)(?:[ T](\d+):(\d+)(?::(\d+)(?:\.(\d{1,6})\d*)?)?)?\s*", str(ts))
+    if not parts:
+        raise ValueError(f"run_ts {ts!r} is not a timestamp")
+    *fields, fraction = parts.groups()
+    return datetime(*(int(x or 0) for x in fields), int((fraction or "0").ljust(6, "0")))
+
+
+def _is_published(spark: SparkSession, root: str, run_id: str) -> bool:
+    """Does a complete manifest name the run? Its marker folder, made before the run
+    publishes, holds the numbers that it tried to publish under."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/_published/{run_id}")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    tried = [int(s.getPath().getName()) for s in fs.listStatus(folder)] if fs.exists(folder) else []
+    done = set(_sequences(spark, root))
+    return any(_read_manifest(spark, root, n)[0]["run_id"] == run_id for n in tried if n in done)
+
+
 def run_elt(spark: SparkSession, source_root: str, warehouse_root: str, run_ts, run_id: str,
             source_format: str = "parquet", match: str = "latest",
             timings: dict[str, float] | None = None, max_parallel: int = 4,
             rebuild_facts: bool = False, num_buckets: int | None = None,
-            validate: bool = True, incremental_facts: bool = False
-            ) -> dict[tuple[str, str], str]:
+            validate: bool = True, incremental_facts: bool = False, fact_parts: int | None = None,
+            clusters: DataFrame | None = None) -> dict[tuple[str, str], str | list[str]]:
     """Extract -> land -> staging upserts -> dimensions -> facts -> manifest.
 
     Each layer is written, then read back by the next, so stages share one
     consistent snapshot and lineage stays short. ``timings`` (optional)
     receives wall-clock seconds per phase.
 
-    ``num_buckets`` stores landing and staging versions bucketed (and sorted)
-    on each table's primary key. The extract is then shuffled once, when it
-    lands, and the merge of the (ever larger) staging table with it reads
-    co-bucketed inputs: no exchange on either side.
+    ``num_buckets`` stores landing, staging and the orders' resolved keys bucketed, the
+    order tables on the order alone (and sorted on their whole key). The extract is
+    then shuffled once, when it lands; the merge of the (ever larger) staging table
+    with it, and the facts' joins and totals per order, read co-bucketed inputs: no
+    exchange on either side.
 
     ``validate`` enforces the model's constraints: keys, foreign keys, NOT NULL
-    columns and timestamp texts of the extract before the merges; surrogates and
-    one Current version per key of the dimensions before the facts read them;
-    keys, allowed values and the score range of the facts. Nothing is published
-    when a check fails.
+    columns and timestamp texts of the extract before the merges; surrogates,
+    one Current version per key and whole version histories of the dimensions before
+    the facts read them; keys, allowed values and the score range of the facts (of the
+    partitions written). Nothing is published when a check fails.
 
     A run id that is already published, or a ``run_ts`` that is not later than the
     published one, is refused; a failed run may be repeated under its id.
 
     ``incremental_facts`` restates only ``affected_orders`` and merges them
     with ``upsert_delta``: same fact values as a full restatement, but rows of
-    untouched orders keep their previous ``updated_at`` and the stored facts
-    are streamed through instead of shuffled.
+    untouched orders keep their previous ``updated_at``. ``fact_parts`` stores facts by
+    hash partition of the order (``fact_store``); an incremental run then reads, checks and
+    writes only the partitions its orders hash to. Keep the number from run to run:
+    another one rewrites all.
+
+    ``clusters`` (``customer_id, cluster_label, model_version, assigned_date``) are a model
+    run's assignments: new labels go to ``dim_cluster``, the rows are appended to
+    ``cluster_assignment`` as an increment.
+
+    What each step did, and how long it took, is appended to ``<root>/_steps``, also
+    when the run fails (``read_step_log``).
     """
-    import time
-    import uuid
+    started = _moment(run_ts)
+    stamp = started.strftime("%Y-%m-%d %H:%M:%S") + (f".{started.microsecond:06d}" if started.microsecond else "")
+    done = _sequences(spark, warehouse_root)
+    base = done[-1] if done else 0
+    for r in (_read_manifest(spark, warehouse_root, base) if done else [])[:1]:
+        if r["run_id"] == run_id or started <= _moment(r["run_ts"]):
+            raise ValueError(f"run {run_id} at {stamp} does not follow the published run "
+                             f"{r['run_id']} at {r['run_ts']}")
+    if _is_published(spark, warehouse_root, run_id):
+        raise ValueError(f"run {run_id} is already published")
+    attempt = f"{run_id}-{uuid.uuid4().hex[:12]}"
+    log = StepLog(run_id, stamp)
+    conf = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(conf)
+    try:
+        if num_buckets:  # a side that isn't bucketed yet may be shuffled to fit one bucketed on a key's prefix
+            spark.conf.set(conf, "false")
+        paths, buckets = _build_run(spark, source_root, warehouse_root, stamp, attempt, log, source_format, match, timings,
+                                    max_parallel, rebuild_facts, num_buckets, validate, incremental_facts, fact_parts, clusters)
+        marker = spark._jvm.org.apache.hadoop.fs.Path(f"{warehouse_root}/_published/{run_id}/{base + 1}")
+        marker.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(marker)
+        log.step("publish", "manifest", lambda: publish_manifest(spark, warehouse_root, run_id, stamp, paths, buckets,
+                                                                after=base))()
+    finally:
+        spark.conf.set(conf, before)
+        if log.rows:
+            log.frame(spark).write.parquet(f"{warehouse_root}/_steps/{attempt}")
+    return paths
+
+
+def _build_run(spark, source_root, warehouse_root, run_ts, attempt, log, source_format, match, timings, max_parallel,
+               rebuild_facts, num_buckets, validate, incremental_facts, fact_parts, clusters):
+    """Writes the tables of a run; returns their paths and bucketing."""
     clock = [time.perf_counter()]
 
     def lap(phase: str) -> None:
@@ -401,28 +502,25 @@ def run_elt(spark: SparkSession, source_root: str, warehouse_root: str, run_ts,
             timings[phase] = round(now - clock[0], 3)
         clock[0] = now
 
-    stamp = str(run_ts)
-    for r in _latest_rows(spark, warehouse_root)[:1]:
-        if r["run_id"] == run_id or stamp <= r["run_ts"]:
-            raise ValueError(f"run {run_id} at {stamp} does not follow the published run "
-                             f"{r['run_id']} at {r['run_ts']}")
-    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{warehouse_root}/_published/{run_id}")
-    fs = marker.getFileSystem(spark._jsc.hadoopConfiguration())
-    if fs.exists(marker):
-        raise ValueError(f"run {run_id} is already published")
-    attempt = f"{run_id}-{uuid.uuid4().hex[:12]}"
     prev = latest_manifest(spark, warehouse_root)
     prev_buckets = latest_buckets(spark, warehouse_root)
     read = spark.read.parquet
-    paths: dict[tuple[str, str], str] = {}
+    paths: dict[tuple[str, str], str | list[str]] = {}
     buckets: dict[tuple[str, str], Bucketing] = {}
     table_bucket = {n: (num_buckets, tuple(spec.key)) if num_buckets else None
                     for n, spec in SOURCE_TABLES.items()}
 
-    def write(layer: str, name: str, df: DataFrame, bucket: Bucketing = None):
+    def write(layer: str, name: str, df: DataFrame, bucket: Bucketing = None, action=None):
+        seen = None
         if bucket:
             buckets[(layer, name)] = bucket
-        return lambda: write_version(df, warehouse_root, layer, name, attempt, bucket)
+        if action is not None:
+            df, seen = counted(df, action)
+        return log.step(layer, name, lambda: write_version(df, warehouse_root, layer, name, attempt, bucket), seen)
+
+    def check(step: str, checks: dict[str, DataFrame]) -> None:
+        if validate:
+            log.step(step, "constraints", lambda: _assert_all(checks, max_parallel))()
 
     # Extract + land: the landing copy is replaced every run.
     sources = scan_sources(spark, source_root, source_format)
@@ -430,16 +528,15 @@ def run_elt(spark: SparkSession, source_root: str, warehouse_root: str, run_ts,
     for name, df in sources.items():
         b = table_bucket[name]
         if b:
-            jobs[name] = write("landing", name, df.repartition(b[0], *b[1]), b)
+            jobs[name] = write("landing", name, df.repartition(b[0], *bucket_prefix(b[1])), b)
         else:
             p = version_path(warehouse_root, "landing", name, attempt)
-            jobs[name] = (lambda d, q: lambda: (land_table(d, q), q)[1])(df, p)
+            jobs[name] = log.step("landing", name, (lambda d, q: lambda: (land_table(d, q), q)[1])(df, p))
     for name, p in write_all(jobs, max_parallel).items():
         paths[("landing", name)] = p
     landed = {n: read_version(spark, paths[("landing", n)], table_bucket[n], source_ddl(n))
               for n in sources}
-    if validate:
-        _assert_all(landing_checks(landed), max_parallel)
+    check("landing checks", landing_checks(landed) if validate else {})
     lap("extract_land")
 
     # Staging upserts against the previous staging version.
@@ -447,8 +544,8 @@ def run_elt(spark: SparkSession, source_root: str, warehouse_root: str, run_ts,
                                      staging_schema_ddl(n)) if ("stg", n) in prev
                         else spark.createDataFrame([], staging_schema_ddl(n)))
                     for n in SOURCE_TABLES}
-    merged = load_staging(landed, staging_prev, run_ts)
-    for name, p in write_all({n: write("stg", n, df, table_bucket[n])
+    merged = load_staging(landed, staging_prev, run_ts, with_action=True)
+    for name, p in write_all({n: write("stg", n, df, table_bucket[n], "merge_action")
                               for n, df in merged.items()}, max_parallel).items():
         paths[("stg", name)] = p
     stg = {n: read_version(spark, paths[("stg", n)], table_bucket[n], staging_schema_ddl(n))
@@ -470,7 +567,8 @@ def run_elt(spark: SparkSession, source_root: str, warehouse_root: str, run_ts,
         final_prev["dim_date"] = read(prev[("final", "dim_date")])
     star = build_star(spark, stg, final_prev, run_ts, match)
     star["dim_date"] = star["dim_date"].sortWithinPartitions("date_id")  # file layout only
-    written = write_all({n: write("work" if n in SCD2_DIMS else "final", n, df) for n, df in star.items()},
+    written = write_all({n: write("work" if n in SCD2_DIMS else "final", n, df,
+                                  action=None if n == "dim_date" else stamp_action(run_ts)) for n, df in star.items()},
                         max_parallel)
     star = {n: read(p) for n, p in written.items()}
     increments, jobs = {}, {}
@@ -488,34 +586,75 @@ def run_elt(spark: SparkSession, source_root: str, warehouse_root: str, run_ts,
         paths[("final", n)] = [parts[n], *increments[n], parts[f"{n}_expired"]] if n in SCD2_DIMS else p
     star = {n: read(*p) if n in SCD2_DIMS else read(p) for n, p in
             ((n, paths[("final", n)]) for n in star)}
-    if validate:
-        _assert_all(dimension_checks(star), max_parallel)
+    check("dimension checks", dimension_checks(star) if validate else {})
+    _store_clusters(spark, clusters, prev, paths, write, run_ts)
     lap("dimensions")
 
     # Facts restated against the new Current versions, then merged.
-    fact_prev = {n: read(prev[("final", n)]) for n in facts.FACT_KEYS if ("final", n) in prev}
-    delta = incremental_facts and not rebuild_facts and len(fact_prev) == len(facts.FACT_KEYS)
+    stored = {n: prev[("final", n)] for n in facts.FACT_KEYS if ("final", n) in prev}
+    delta = incremental_facts and not rebuild_facts and len(stored) == len(facts.FACT_KEYS)
+    fact_stg = stg
     if delta:
         # Affected orders and the restated rows are written once to the work
         # area and read back: computed a single time, sized from stored data.
-        work = lambda name: version_path(warehouse_root, "work", name, attempt)
-        affected_orders(stg, star, run_ts).write.parquet(work("affected_orders"))
-        fact_stg = restrict_to_orders(stg, read(work("affected_orders")))
-        restated = build_facts(fact_stg, star, validate)
-        write_all({n: (lambda d, q: lambda: d.write.parquet(q))(df, work(n))
-                   for n, df in restated.items()}, max_parallel)
-        new_rows = {n: read(work(n)) for n in restated}
+        fact_stg = restrict_to_orders(stg, read(write("work", "affected_orders", affected_orders(stg, star, run_ts))()))
+    bucket = (num_buckets, ("order_id",)) if num_buckets and not delta else None
+    keys = facts.order_customer_keys(fact_stg["orders"], fact_stg["customers"], star["dim_customer"])
+    if bucket:
+        keys = keys.repartition(num_buckets, "order_id")
+    keys = read_version(spark, write("work", "order_keys", keys, bucket)(), bucket, ORDER_KEYS_DDL)
+    restated = build_facts(fact_stg, star, validate, keys)
+    if delta:
+        written = write_all({n: write("work", n, df) for n, df in restated.items()}, max_parallel)
+        restated = {n: read(p) for n, p in written.items()}
+    folders = {n: [p] if isinstance(p, str) else p for n, p in stored.items()}
+    if fact_parts:
+        same = {n: prev_buckets.get(("final", n)) == (fact_parts, (fact_store.ORDER_KEY,)) for n in stored}
+
+        def merge(n: str):
+            seen = Observation()
+            old = {fact_store.part_number(p): p for p in folders.get(n, []) if same[n]} if not rebuild_facts else {}
+            if n in stored and not rebuild_facts and not same[n]:  # another number of partitions: all rows are dealt anew
+                rows = read(*folders[n])
+                whole = merge_facts({n: restated[n]}, {n: rows}, run_ts, delta=delta, with_action=True)[n]
+                return log.step("final", n, lambda: (found := fact_store.write_parts(
+                    counted_by(whole, seen), version_path(warehouse_root, "final", n, attempt), fact_parts), found), seen)
+            return log.step("final", n, lambda: fact_store.merge_parts(
+                restated[n], old, n, version_path(warehouse_root, "final", n, attempt), fact_parts, run_ts,
+                delta, lambda df: counted_by(df, seen)), None if delta else seen)
+        results = write_all({n: merge(n) for n in facts.FACT_KEYS}, max_parallel)
+        for n, (all_parts, new) in results.items():
+            buckets[("final", n)] = (fact_parts, (fact_store.ORDER_KEY,))
+            paths[("final", n)] = [all_parts[k] for k in sorted(all_parts)]
+        to_check = {n: read(*new.values()) for n, (_, new) in results.items() if new}
     else:
-        new_rows = build_facts(stg, star, validate)
-    new_facts = merge_facts(new_rows, fact_prev, run_ts, rebuild_facts, delta)
-    for name, p in write_all({n: write("final", n, df) for n, df in new_facts.items()},
-                             max_parallel).items():
-        paths[("final", name)] = p
-    if validate:
-        _assert_all(fact_checks({n: read(paths[("final", n)]) for n in facts.FACT_KEYS}), max_parallel)
+        current = {n: read(*f) for n, f in folders.items()}
+        new_facts = merge_facts(restated, current, run_ts, rebuild_facts, delta, with_action=True)
+        paths |= {("final", n): p for n, p in write_all({n: write("final", n, df, action="merge_action")
+                                                         for n, df in new_facts.items()}, max_parallel).items()}
+        to_check = {n: read(paths[("final", n)]) for n in facts.FACT_KEYS}
+    check("fact checks", fact_checks(to_check) if validate else {})
     lap("facts")
-    audit = run_audit({n: stg[n] for n in SOURCE_TABLES}, run_ts)
+    audit = log.audit(spark, "stg")
     paths[("audit", "merge_audit")] = write_version(audit, warehouse_root, "audit", "merge_audit", attempt)
-    publish_manifest(spark, warehouse_root, run_id, stamp, paths, buckets)
-    fs.mkdirs(marker)
-    return paths
+    return paths, buckets
+
+
+def _store_clusters(spark, clusters, prev, paths, write, run_ts) -> None:
+    """A model run's labels and assignments; without one, what is stored stays as it is."""
+    labels, rows = ("final", "dim_cluster"), ("final", "cluster_assignment")
+    if clusters is None:
+        paths |= {k: prev[k] for k in (labels, rows) if k in prev}
+        return
+    ts, old = X.ts_literal(run_ts), prev.get(rows, [])
+    known = spark.read.parquet(prev[labels]) if labels in prev else dims.empty(spark, dims.DIM_CLUSTER_DDL)
+    new = clusters.groupBy("cluster_label", "model_version").agg(F.min("assigned_date").alias("assigned_date"))
+    new = new.withColumns({"cluster_id": X.surrogate_key("cluster_label", "model_version"), "created_at": ts, "updated_at": ts})
+    paths[labels] = write("final", "dim_cluster", insert_if_absent(known, new, ["cluster_label", "model_version"]),
+                          action=stamp_action(run_ts))()
+    given = clusters.select(X.surrogate_key("customer_id", "model_version").alias("assignment_id"), "customer_id",
+                            X.surrogate_key("cluster_label", "model_version").alias("cluster_id"), "model_version",
+                            "assigned_date", ts.alias("created_at"), ts.alias("updated_at"))
+    if len(old) >= MAX_INCREMENTS:
+        given, old = given.unionByName(spark.read.parquet(*old)), []
+    paths[rows] = [*old, write("final", "cluster_assignment", given, action=stamp_action(run_ts))()]
