@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import CURRENT
@@ -68,6 +68,47 @@ def check_single_current(dim: DataFrame, nk: str, flag_col: str = "current_flag"
             .filter(F.col("current_count") > 1))
 
 
+def check_version_intervals(dim: DataFrame, nk: str, valid_from: str = "valid_from", valid_to: str = "valid_to",
+                            flag_col: str = "current_flag") -> DataFrame:
+    """Versions that do not fit their key's history: ``nk, valid_from, valid_to, problem``.
+
+    A sweep over each key's half-open intervals in order. ``reversed``: it ends before it
+    begins; ``overlap``: it begins before all earlier ones have ended; ``gap``: it begins
+    after that; ``empty``: it ends on the day it begins. An Expired version replaced on its
+    first day, by one that begins on that day, is accepted.
+    """
+    start, end = F.col(valid_from), F.col(valid_to)
+    by_time = Window.partitionBy(nk).orderBy(valid_from, valid_to)
+    swept = dim.select(nk, valid_from, valid_to, flag_col,
+                       F.max(end).over(by_time.rowsBetween(Window.unboundedPreceding, -1)).alias("__reached"),
+                       F.lead(start).over(by_time).alias("__next"))
+    replaced = (F.col(flag_col) != F.lit(CURRENT)) & F.coalesce(F.col("__next") == start, F.lit(False))
+    problem = (F.when(end < start, F.lit("reversed")).when(start < F.col("__reached"), F.lit("overlap"))
+               .when(start > F.col("__reached"), F.lit("gap")).when((start == end) & ~replaced, F.lit("empty")))
+    return swept.select(nk, valid_from, valid_to, problem.alias("problem")).filter("problem IS NOT NULL")
+
+
+def check_foreign_key_changed(staged: DataFrame, changed: Column, key, fk, landed: DataFrame, landed_parent: DataFrame,
+                              staged_parent: DataFrame, pk) -> DataFrame:
+    """Orphans of an extract whose predecessors were checked: the rows that
+    ``check_foreign_key(landed, fk, landed_parent, pk)`` gives, as ``key`` and ``fk`` columns.
+
+    ``staged`` and ``staged_parent`` are the tables after the extract was merged into them,
+    ``changed`` tells the rows that the merge inserted or updated. Those are held against the
+    parents that landed. A row that did not change had its parent when it was checked, so
+    the parent is staged, and it is an orphan only if that parent did not land: the few
+    parents that did not land are looked up in the children, which are not shuffled for it as
+    long as adaptive execution can send those parents to them.
+    """
+    keys, fks, pks = _keys(key), _keys(fk), _keys(pk)
+    out = list(dict.fromkeys([*keys, *fks]))
+    parents = landed_parent.select(*(F.col(p).alias(f) for p, f in zip(pks, fks)))
+    fresh = check_foreign_key(staged.filter(changed), fks, landed_parent, pks).select(*out)
+    absent = staged_parent.select(*(F.col(p).alias(f) for p, f in zip(pks, fks))).join(parents, fks, "left_anti")
+    left = staged.filter(~changed).select(*out).join(absent, fks, "left_semi")
+    return fresh.unionByName(left.join(landed.select(*keys), keys, "left_semi").select(*out))
+
+
 def check_parse_failures(df: DataFrame, text_col: str, parsed) -> DataFrame:
     """Rows whose non-NULL timestamp text did not parse."""
     return df.filter(F.col(text_col).isNotNull() & parsed.isNull())

@@ -21,11 +21,11 @@ from ..operators import quality as Q
 from ..operators.lookup import lookup_as_of, lookup_current, lookup_date, lookup_dates
 from ..operators.merge import (append_rows, insert_if_absent, latest_per_key, merge_audit,
                                upsert_overwrite)
-from ..operators.scd import current_rows
-from ..schemas import FACT_DOMAINS, ORDER_TIMESTAMPS, SOURCE_TABLES
+from ..operators.scd import current_rows, scd2_replay
+from ..schemas import FACT_DOMAINS, ORDER_TIMESTAMPS, SCD2_CUSTOMER_TRACKED, SOURCE_TABLES
 from ..session import checkpoint_dir, ensure_utc
 from ..sources import adapters
-from ..sources.tables import land_table, read_csv_table, scan_table, write_csv_table
+from ..sources.tables import land_table, read_csv_table, scan_partitioned, scan_table, write_csv_table
 from . import dims, facts
 from .analytics import on_time_by_state, sales_by_current_attribute, segment_transitions
 from .warehouse import build_facts, load_staging, write_all, write_version
@@ -102,7 +102,8 @@ class Run:
             done = write_all({n: (lambda n, df: lambda: self._stored(n, df))(n, df) for n, df in tables.items()})
             stg = {n: done[f"stg_{n}"] for n in self.stg}
             star = {n: done.get(n, df) for n, df in self.star().items()}
-            self._memo["facts"] = build_facts(stg, star)
+            keys = facts.order_customer_keys(stg["orders"], stg["customers"], star["dim_customer"])
+            self._memo["facts"] = build_facts(stg, star, order_keys=self._stored("order_keys", keys))
         return self._memo["facts"]
 
     def stored_fact(self, name: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -159,6 +160,14 @@ def _csv_roundtrip(r: Run) -> DataFrame:
     return read_csv_table(r.spark, path, spec.schema)
 
 
+@query("scan_partitioned")
+def _scan_partitioned(r: Run) -> DataFrame:
+    """Orders read as eight ranges of their text key and the rows without one."""
+    path = f"{checkpoint_dir(r.spark)}/ranges-{uuid.uuid4().hex}"
+    land_table(r.src["orders"], path)
+    return scan_partitioned(r.spark.read.parquet(path), "order_id", 8)
+
+
 @query("land_table")
 def _land_table(r: Run) -> DataFrame:
     path = f"{checkpoint_dir(r.spark)}/landing-{uuid.uuid4().hex}"
@@ -368,6 +377,13 @@ def _latest_per_key(r: Run) -> DataFrame:
     return latest_per_key(src, "customer_nk", [("updated_at", "desc"), ("staging_key", "asc")])
 
 
+@query("latest_per_key_text_desc")
+def _latest_per_key_text_desc(r: Run) -> DataFrame:
+    """The customer of each natural key whose city, then staging key, comes last as text."""
+    src = dims.customer_source(r.stg["customers"], r.stg["geolocation"])
+    return latest_per_key(src, "customer_nk", [("customer_city", "desc"), ("staging_key", "desc")])
+
+
 # ---------------------------------------------------------------- staging merges
 for _name, _q_name in STG_QUERY.items():
     def _make(n):
@@ -404,6 +420,13 @@ def _dim_customer_any(r: Run) -> DataFrame:
     return r.dim_customer("any")
 
 
+@query("dim_customer_replay")
+def _dim_customer_replay(r: Run) -> DataFrame:
+    """Four source days of customers turned into version intervals in one pass."""
+    return scd2_replay(r.t("prev_dim_customer"), r.t("customer_days"), "customer_nk", SCD2_CUSTOMER_TRACKED,
+                       "customer_id", order=[("staging_key", "asc")])
+
+
 @query("dim_seller_scd2")
 def _dim_seller(r: Run) -> DataFrame:
     return r.dim_seller()
@@ -532,12 +555,42 @@ def _dq_single_current(r: Run) -> DataFrame:
     return Q.check_single_current(d.unionByName(dup), "customer_nk")
 
 
+@query("dq_version_intervals")
+def _dq_version_intervals(r: Run) -> DataFrame:
+    """Versions whose ends were moved: gaps, overlaps, empty and reversed intervals."""
+    return Q.check_version_intervals(r.t("broken_versions"), "customer_nk")
+
+
+# Foreign keys whose children have a parent in the given tables, every one of them.
+WHOLE_FOREIGN_KEYS = [(n, spec, fk) for n, spec in SOURCE_TABLES.items() for fk in spec.foreign_keys
+                      if n in ("orders", "order_items", "order_payments", "order_reviews")]
+
+
+@query("dq_fk_changed")
+def _dq_fk_changed(r: Run) -> DataFrame:
+    """Orphans of an extract whose parents lost the keys ending in 3, from what changed since
+    the earlier state; the same as full checks find."""
+    out = None
+    for n, spec, (fk, parent, pk) in WHOLE_FOREIGN_KEYS:
+        landed = _without_threes(r.src[parent], pk)
+        merged = load_staging({**r.src, parent: landed}, r.prev_stg, RUN_TS)
+        changed = F.col("updated_at") == X.ts_literal(RUN_TS)
+        found = Q.check_foreign_key_changed(r.stg[n], changed, spec.key, fk, r.src[n], landed, merged[parent], pk)
+        found = found.select(F.lit(n).alias("child"), F.lit(fk[0]).alias("foreign_key"),
+                             F.concat_ws("|", *spec.key).alias("row_key"), F.col(fk[0]).cast("string").alias("value"))
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
 # ---------------------------------------------------------------- requirements
-def _items_as_of(r: Run) -> DataFrame:
+def _buyers(r: Run) -> DataFrame:
     o = r.stg["orders"].select("order_id", "customer_id",
                                X.parse_ts("order_purchase_timestamp").alias("purchased"))
-    o = o.join(r.stg["customers"].select("customer_id", "customer_unique_id"), "customer_id")
-    i = r.stg["order_items"].select("order_id", "order_item_id", "price").join(o, "order_id")
+    return o.join(r.stg["customers"].select("customer_id", "customer_unique_id"), "customer_id")
+
+
+def _items_as_of(r: Run) -> DataFrame:
+    i = r.stg["order_items"].select("order_id", "order_item_id", "price").join(_buyers(r), "order_id")
     return lookup_as_of(i, "customer_unique_id", "purchased", r.t("hist_dim_customer"),
                         "customer_nk", "customer_id", "customer_version_id", how="left")
 
@@ -614,7 +667,11 @@ def _segment_transitions(r: Run) -> DataFrame:
 
 @query("sales_by_current_state")
 def _sales_by_current_state(r: Run) -> DataFrame:
-    return sales_by_current_attribute(_items_as_of(r), "customer_version_id", "price",
+    """Prices are summed by order first: versions are looked up for orders, not for items."""
+    per_order = r.stg["order_items"].groupBy("order_id").agg(F.sum(F.col("price").cast(A.MONEY)).alias("price"))
+    sold = lookup_as_of(per_order.join(_buyers(r), "order_id"), "customer_unique_id", "purchased",
+                        r.t("hist_dim_customer"), "customer_nk", "customer_id", "customer_version_id", how="left")
+    return sales_by_current_attribute(sold, "customer_version_id", "price",
                                       r.t("hist_dim_customer"), "customer_id", "customer_nk",
                                       "customer_state")
 

@@ -33,7 +33,8 @@ from ..operators.merge import insert_if_absent, upsert_changed, upsert_delta, up
 from ..operators.scd import current_rows
 from ..operators.steplog import StepLog, counted, counted_by, stamp_action
 from ..operators.quality import (QualityError, check_domain, check_foreign_key, check_not_null,
-                                 check_parse_failures, check_range, check_single_current, check_unique)
+                                 check_foreign_key_changed, check_parse_failures, check_range,
+                                 check_single_current, check_unique, check_version_intervals)
 from ..schemas import (DIM_KEYS, FACT_DOMAINS, NOT_NULL, ORDER_TIMESTAMPS, REVIEW_SCORE_RANGE, SOURCE_TABLES, STAGING_AUDIT,
                        TIMESTAMP_TEXTS)
 from ..sources.tables import land_table, scan_sources
@@ -212,9 +213,9 @@ def read_dimension(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def read_fact(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A stored fact, whether one folder or one per partition holds it."""
+    """A stored fact, whether one folder or one per partition (and their changes) hold it."""
     found = latest_manifest(spark, root)[("final", name)]
-    return spark.read.parquet(*([found] if isinstance(found, str) else found))
+    return spark.read.parquet(found) if isinstance(found, str) else fact_store.read_stored(spark, name, found)
 
 
 def latest_buckets(spark: SparkSession, root: str) -> dict[tuple[str, str], Bucketing]:
@@ -350,7 +351,15 @@ def _assert_all(checks: dict[str, DataFrame], max_parallel: int) -> None:
         raise QualityError("data-quality checks failed: " + ", ".join(failed))
 
 
-def landing_checks(landed: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def changed_key_checks(landed: dict[str, DataFrame], stg: dict[str, DataFrame], run_ts) -> dict[str, DataFrame]:
+    """The foreign keys of an extract merged into a checked staging, by what changed."""
+    changed = F.col("updated_at") == X.ts_literal(run_ts)
+    return {f"foreign key {n}({', '.join(fk)}) to {parent}": check_foreign_key_changed(
+                stg[n], changed, spec.key, fk, landed[n], landed[parent], stg[parent], pk)
+            for n, spec in SOURCE_TABLES.items() for fk, parent, pk in spec.foreign_keys}
+
+
+def landing_checks(landed: dict[str, DataFrame], foreign_keys: bool = True) -> dict[str, DataFrame]:
     """Constraints of the nine source tables: violating rows by check name."""
     out = {}
     for n, spec in SOURCE_TABLES.items():
@@ -358,7 +367,7 @@ def landing_checks(landed: dict[str, DataFrame]) -> dict[str, DataFrame]:
         out[f"unique key of {n}"] = check_unique(df, spec.key)
         needed = [f.name for f in spec.schema.fields if not f.nullable or f.name in NOT_NULL.get(n, ())]
         out[f"not null in {n}"] = check_not_null(df, needed, list(spec.key))
-        for fk, parent, pk in spec.foreign_keys:
+        for fk, parent, pk in spec.foreign_keys if foreign_keys else ():
             out[f"foreign key {n}({', '.join(fk)}) to {parent}"] = check_foreign_key(df, fk, landed[parent], pk)
         for c in TIMESTAMP_TEXTS.get(n, ()):
             out[f"timestamp text {n}.{c}"] = check_parse_failures(df, c, X.parse_ts(c))
@@ -372,14 +381,15 @@ def dimension_checks(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
         out[f"not null in {n}"] = check_not_null(star[n], [nk], [sk])
         if n in SCD2_DIMS:
             out[f"one Current version in {n}"] = check_single_current(star[n], nk)
+            out[f"version history of {n}"] = check_version_intervals(star[n], nk)
         else:
             out[f"unique key of {n}"] = check_unique(star[n], nk)
     return out
 
 
 def fact_checks(stored: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Constraints of the facts in ``stored``. A partition's orders are in no other, so the
-    partitions that a run wrote can be checked by themselves."""
+    """Constraints of the facts in ``stored``. A run restates an order's rows whole, and changes
+    replace stored rows by key, so the rows that a run wrote can be checked by themselves."""
     out = {f"unique key of {n}": check_unique(df, facts.FACT_KEYS[n][0]) for n, df in stored.items()}
     for n, column, allowed in FACT_DOMAINS:
         if n in stored:
@@ -424,7 +434,7 @@ def run_elt(spark: SparkSession, source_root: str, warehouse_root: str, run_ts,
             source_format: str = "parquet", match: str = "latest",
             timings: dict[str, float] | None = None, max_parallel: int = 4,
             rebuild_facts: bool = False, num_buckets: int | None = None,
-            validate: bool = True, incremental_facts: bool = False, fact_parts: int | None = None,
+            validate: bool | str = True, incremental_facts: bool = False, fact_parts: int | None = None,
             clusters: DataFrame | None = None) -> dict[tuple[str, str], str | list[str]]:
     """Extract -> land -> staging upserts -> dimensions -> facts -> manifest.
 
@@ -442,7 +452,9 @@ def run_elt(spark: SparkSession, source_root: str, warehouse_root: str, run_ts,
     columns and timestamp texts of the extract before the merges; surrogates,
     one Current version per key and whole version histories of the dimensions before
     the facts read them; keys, allowed values and the score range of the facts (of the
-    partitions written). Nothing is published when a check fails.
+    rows written). Nothing is published when a check fails. ``validate="changed"`` holds
+    only the rows that changed, and those whose parents did not land, against the foreign
+    keys; use it when the runs before were validated.
 
     A run id that is already published, or a ``run_ts`` that is not later than the
     published one, is refused; a failed run may be repeated under its id.
@@ -450,9 +462,9 @@ def run_elt(spark: SparkSession, source_root: str, warehouse_root: str, run_ts,
     ``incremental_facts`` restates only ``affected_orders`` and merges them
     with ``upsert_delta``: same fact values as a full restatement, but rows of
     untouched orders keep their previous ``updated_at``. ``fact_parts`` stores facts by
-    hash partition of the order (``fact_store``); an incremental run then reads, checks and
-    writes only the partitions its orders hash to. Keep the number from run to run:
-    another one rewrites all.
+    hash partition of the order, with changes beside them (``fact_store``); an incremental
+    run then writes and checks the restated rows only, and ``read_fact`` reads them in
+    place of those they replace. Keep the number from run to run: another one rewrites all.
 
     ``clusters`` (``customer_id, cluster_label, model_version, assigned_date``) are a model
     run's assignments: new labels go to ``dim_cluster``, the rows are appended to
@@ -536,7 +548,8 @@ def _build_run(spark, source_root, warehouse_root, run_ts, attempt, log, source_
         paths[("landing", name)] = p
     landed = {n: read_version(spark, paths[("landing", n)], table_bucket[n], source_ddl(n))
               for n in sources}
-    check("landing checks", landing_checks(landed) if validate else {})
+    only_changed = validate == "changed" and bool(prev)
+    check("landing checks", landing_checks(landed, not only_changed) if validate else {})
     lap("extract_land")
 
     # Staging upserts against the previous staging version.
@@ -550,6 +563,8 @@ def _build_run(spark, source_root, warehouse_root, run_ts, attempt, log, source_
         paths[("stg", name)] = p
     stg = {n: read_version(spark, paths[("stg", n)], table_bucket[n], staging_schema_ddl(n))
            for n in SOURCE_TABLES}
+    if only_changed:
+        check("changed foreign keys", changed_key_checks(landed, stg, run_ts))
     lap("staging")
 
     # Dimensions. Only Current rows take part in the type 2 merge. What a run
@@ -566,7 +581,7 @@ def _build_run(spark, source_root, warehouse_root, run_ts, attempt, log, source_
     if ("final", "dim_date") in prev:
         final_prev["dim_date"] = read(prev[("final", "dim_date")])
     star = build_star(spark, stg, final_prev, run_ts, match)
-    star["dim_date"] = star["dim_date"].sortWithinPartitions("date_id")  # file layout only
+    star["dim_date"] = star["dim_date"].coalesce(1).sortWithinPartitions("date_id")  # one file of fixed size, in date order
     written = write_all({n: write("work" if n in SCD2_DIMS else "final", n, df,
                                   action=None if n == "dim_date" else stamp_action(run_ts)) for n, df in star.items()},
                         max_parallel)
@@ -609,26 +624,26 @@ def _build_run(spark, source_root, warehouse_root, run_ts, attempt, log, source_
         restated = {n: read(p) for n, p in written.items()}
     folders = {n: [p] if isinstance(p, str) else p for n, p in stored.items()}
     if fact_parts:
-        same = {n: prev_buckets.get(("final", n)) == (fact_parts, (fact_store.ORDER_KEY,)) for n in stored}
-
-        def merge(n: str):
-            seen = Observation()
-            old = {fact_store.part_number(p): p for p in folders.get(n, []) if same[n]} if not rebuild_facts else {}
-            if n in stored and not rebuild_facts and not same[n]:  # another number of partitions: all rows are dealt anew
-                rows = read(*folders[n])
-                whole = merge_facts({n: restated[n]}, {n: rows}, run_ts, delta=delta, with_action=True)[n]
-                return log.step("final", n, lambda: (found := fact_store.write_parts(
-                    counted_by(whole, seen), version_path(warehouse_root, "final", n, attempt), fact_parts), found), seen)
-            return log.step("final", n, lambda: fact_store.merge_parts(
-                restated[n], old, n, version_path(warehouse_root, "final", n, attempt), fact_parts, run_ts,
-                delta, lambda df: counted_by(df, seen)), None if delta else seen)
-        results = write_all({n: merge(n) for n in facts.FACT_KEYS}, max_parallel)
-        for n, (all_parts, new) in results.items():
-            buckets[("final", n)] = (fact_parts, (fact_store.ORDER_KEY,))
-            paths[("final", n)] = [all_parts[k] for k in sorted(all_parts)]
-        to_check = {n: read(*new.values()) for n, (_, new) in results.items() if new}
+        bucket = (fact_parts, (fact_store.ORDER_KEY,))
+
+        def store(n: str):
+            seen, path = Observation(), version_path(warehouse_root, "final", n, attempt)
+            few = delta and prev_buckets.get(("final", n)) == bucket  # else all rows are dealt anew
+
+            def job():
+                if few:
+                    return fact_store.store_changes(restated[n], folders[n], n, path, fact_parts, run_ts,
+                                                    lambda df: counted_by(df, seen))
+                return fact_store.store_all(restated[n], [] if rebuild_facts else folders.get(n, []), n, path, fact_parts,
+                                            run_ts, lambda df: counted_by(df, seen))
+            # Without restated rows nothing is written, and so nothing counted.
+            return log.step("final", n, job, None if few and restated[n].isEmpty() else seen)
+        results = write_all({n: store(n) for n in facts.FACT_KEYS}, max_parallel)
+        for n, (all_paths, _) in results.items():
+            paths[("final", n)], buckets[("final", n)] = all_paths, bucket
+        to_check = {n: read(*new) for n, (_, new) in results.items() if new}
     else:
-        current = {n: read(*f) for n, f in folders.items()}
+        current = {n: fact_store.read_stored(spark, n, f) for n, f in folders.items()} if not rebuild_facts else {}
         new_facts = merge_facts(restated, current, run_ts, rebuild_facts, delta, with_action=True)
         paths |= {("final", n): p for n, p in write_all({n: write("final", n, df, action="merge_action")
                                                          for n, df in new_facts.items()}, max_parallel).items()}

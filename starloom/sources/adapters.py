@@ -305,6 +305,29 @@ FROM hist_dim_customer
 WHERE current_flag = 'Current' AND customer_nk <> 'gone'"""
 
 
+# Four source days of customers for a replay: on each, some moved (and are back the day after),
+# some have no city, some are missing.
+PREV_VIEWS["customer_days"] = "\nUNION ALL\n".join(f"""
+SELECT cast('2024-06-0{d} 00:00:00' AS {{ts}}) AS run_ts, customer_unique_id AS customer_nk,
+       CASE WHEN try_cast(customer_unique_id AS bigint) % 4 = {d - 1} THEN concat(customer_city, ' moved')
+            WHEN try_cast(customer_unique_id AS bigint) % 9 = {d} THEN cast(NULL AS string)
+            ELSE customer_city END AS customer_city,
+       customer_state, cast(customer_zip_code_prefix % 50 AS double) AS customer_latitude,
+       cast(customer_zip_code_prefix % 90 AS double) AS customer_longitude, customer_id AS staging_key
+FROM src_customers WHERE try_cast(customer_unique_id AS bigint) % 7 <> {d}""" for d in (1, 2, 3, 4))
+
+# Customer versions whose ends were moved: gaps, overlaps, empty and reversed ones.
+PREV_VIEWS["broken_versions"] = """
+SELECT customer_nk, valid_from, current_flag,
+       CASE WHEN current_flag = 'Current' OR customer_nk = 'gone' THEN valid_to
+            WHEN try_cast(customer_nk AS bigint) % 10 = 0 THEN cast(valid_to - interval '1' day AS date)
+            WHEN try_cast(customer_nk AS bigint) % 10 = 2 THEN cast(valid_to + interval '1' day AS date)
+            WHEN try_cast(customer_nk AS bigint) % 10 = 4 THEN valid_from
+            WHEN try_cast(customer_nk AS bigint) % 10 = 6 THEN cast(valid_from - interval '1' day AS date)
+            ELSE valid_to END AS valid_to
+FROM hist_dim_customer"""
+
+
 def all_views() -> dict[str, str]:
     """Adapter then derived views, in dependency order."""
     out = dict(ADAPTERS)

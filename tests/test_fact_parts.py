@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from starloom.operators.quality import QualityError
 from starloom.operators.steplog import read_step_log
 from starloom.plans import facts
-from starloom.plans.fact_store import part_number, part_of
+from starloom.plans.fact_store import part_of, split_paths
 from starloom.plans.warehouse import (ORDER_KEYS_DDL, ManifestError, build_facts, latest_buckets, latest_manifest,
                                       publish_manifest, read_dimension, read_fact, read_version, run_elt, staging_schema_ddl)
 from starloom.schemas import SOURCE_TABLES
@@ -41,7 +41,9 @@ def _same(a, b, *drop):
     return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
 
-def test_only_partitions_with_affected_orders_are_written(spark, scratch, days):
+def test_runs_of_few_changes_leave_the_partitions_as_they_are(spark, scratch, days, monkeypatch):
+    import starloom.plans.fact_store as store
+    monkeypatch.setattr(store, "MAX_CHANGES", 1)
     whole, parts = f"{scratch}/whole", f"{scratch}/parts"
     run_elt(spark, days[0], whole, "2024-06-01", "r1")
     run_elt(spark, days[1], whole, "2024-06-02", "r2")
@@ -53,22 +55,32 @@ def test_only_partitions_with_affected_orders_are_written(spark, scratch, days):
     touched = {r[0] for r in changed.select(part_of(N)).collect()}
     assert 0 < len(touched) < N
     for n in facts.FACT_KEYS:
-        old, new = ({part_number(p): p for p in m[("final", n)]} for m in (first, second))
-        assert set(old) == set(new)
-        rewritten = {k for k in old if old[k] != new[k]}
-        assert rewritten <= touched and (rewritten or n == "fct_order_reviews"), n
-        for k, p in new.items():  # every row lies in its partition
+        old, new = first[("final", n)], second[("final", n)]
+        assert new[:len(old)] == old and [p.split("/")[-1] for p in new[len(old):]] in (["changes"], [])
+        for k, p in split_paths(new)[0].items():  # every row lies in its partition
             assert spark.read.parquet(p).filter(part_of(N) != k).isEmpty()
         assert _same(read_fact(spark, parts, n), read_fact(spark, whole, n), "updated_at"), n
-    # Another number of partitions, and full restatement: all is written anew.
-    run_elt(spark, days[1], parts, "2024-06-03", "r3", fact_parts=4, incremental_facts=True)
-    run_elt(spark, days[1], parts, "2024-06-04", "r4", fact_parts=4)
-    third = latest_manifest(spark, parts)
+    run_elt(spark, days[1], parts, "2024-06-03", "r3", fact_parts=N, incremental_facts=True)  # nothing changed
+    assert all(latest_manifest(spark, parts)[("final", n)] == second[("final", n)] for n in facts.FACT_KEYS)
+    # A second folder of changes is one too many: the partitions that changed are folded, the others stay.
+    run_elt(spark, days[0], parts, "2024-06-04", "r4", fact_parts=N, incremental_facts=True)
+    fourth = latest_manifest(spark, parts)
+    run_elt(spark, days[0], whole, "2024-06-04", "r4")
     for n in facts.FACT_KEYS:
-        assert {part_number(p) for p in third[("final", n)]} <= set(range(4))
+        old, (new, changes) = split_paths(first[("final", n)])[0], split_paths(fourth[("final", n)])
+        rewritten = {k for k in new if new[k] != old.get(k)}
+        assert not changes and rewritten <= touched and (rewritten or n == "fct_order_reviews"), n
+        assert _same(read_fact(spark, parts, n), read_fact(spark, whole, n), "updated_at"), n
+    # Another number of partitions deals all rows anew; a run without partitions gathers them.
+    run_elt(spark, days[1], parts, "2024-06-05", "r5", fact_parts=4, incremental_facts=True)
+    run_elt(spark, days[1], whole, "2024-06-05", "r5")
+    for n in facts.FACT_KEYS:
+        assert split_paths(latest_manifest(spark, parts)[("final", n)])[0].keys() <= set(range(4))
+        assert _same(read_fact(spark, parts, n), read_fact(spark, whole, n), "updated_at"), n
+    run_elt(spark, days[1], parts, "2024-06-06", "r6", incremental_facts=True)
+    for n in facts.FACT_KEYS:
+        assert isinstance(latest_manifest(spark, parts)[("final", n)], str)
         assert _same(read_fact(spark, parts, n), read_fact(spark, whole, n), "updated_at"), n
-    run_elt(spark, days[1], parts, "2024-06-05", "r5", fact_parts=4, incremental_facts=True)  # nothing changed
-    assert all(latest_manifest(spark, parts)[("final", n)] == third[("final", n)] for n in facts.FACT_KEYS)
 
 
 def test_bucketed_fact_plans_do_not_exchange_the_order_tables(spark, scratch, days):
