@@ -3,9 +3,10 @@
 ``TokenEncoder`` gives exactly the ids of the tokenizers library, but encodes
 each distinct space-separated word once per worker process: both byte-level and
 word-end BPE split text at a single space between two visible characters, so a
-document's ids are the concatenation of its words' ids. Texts where that does
-not hold (doubled spaces, spaces next to other white space, very long words)
-go through the library whole.
+document's ids are the concatenation of its words' ids. A chunk's words are told
+apart by Arrow, only distinct ones are looked up, by their bytes, and the ids are
+gathered in numpy. Texts where that does not hold (doubled spaces, spaces next to
+other white space, very long words) go through the library whole.
 
 ``write_token_files`` lays the ids of all documents out in ascending id order
 as flat unsigned integer files, one per partition, each with 64-bit document
@@ -18,6 +19,7 @@ from __future__ import annotations
 import os
 import uuid
 import zlib
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +32,8 @@ from .common import bound_batches, materialize, ranges, scratch_path, text_chunk
 CACHE_WORDS = 400_000
 #: Longer words are not cached: their text goes through the library whole.
 LONGEST_WORD = 200
+#: Bytes of text that are encoded at a time (or one document).
+TOKEN_BYTES = 4 << 20
 #: Number of the line break in every store.
 LINE_BREAK = 0
 #: Stands for a null id in the files, before all other ids.
@@ -106,37 +110,6 @@ class _Store:
         self.depth = [0] * len(self.size)
 
 
-class _Words(dict):
-    """word -> number in the store. ``lead`` stands before every word here.
-
-    Both kinds of vocabulary split text before and after a line break between
-    visible characters, and between a letter and a comma or full stop that ends
-    the word: such words are joined from their parts."""
-
-    def __init__(self, lead: str, store: _Store, heads: "_Words | None" = None):
-        super().__init__()
-        self.lead, self.store, self.heads = lead, store, heads
-
-    def __missing__(self, word):
-        if len(word) <= LONGEST_WORD and word.isalpha():
-            self[word] = n = self.store.add(self.lead + word)
-            return n
-        if (len(word) > LONGEST_WORD or not word or word[0].isspace() or word[-1].isspace()
-                or "<|" in word):
-            return -1
-        heads, parts = self if self.heads is None else self.heads, None
-        if "\n" in word:
-            first, *lines = word.split("\n")
-            if not any(x == "" or x[0].isspace() or x[-1].isspace() for x in (first, *lines)):
-                parts = [self[first]]
-                for x in lines:
-                    parts += [LINE_BREAK, heads[x]]
-        elif word[-1] in ".," and word[-2:-1].isalpha():
-            parts = [self[word[:-1]], heads[word[-1]]]
-        self[word] = n = self.store.join(parts) if parts else self.store.add(self.lead + word)
-        return n
-
-
 class TokenEncoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per Spark task
@@ -148,9 +121,9 @@ class TokenEncoder:
                  if t.special and t.content.startswith("<|") and not (t.lstrip or t.rstrip or t.single_word)]
         self.mark = marks[-1] if marks else None
         self.store = _Store()
-        self.first = _Words("", self.store)
-        self.rest = _Words(" ", self.store, self.first)
         self.store.add("\n")  # takes the number LINE_BREAK
+        self.known: dict[bytes, int] = {}  # a word with the space before it, if there is one -> its number
+        self.ends_in_letter: dict[str, bool] = {}
 
     @staticmethod
     def of(path: str) -> "TokenEncoder":
@@ -166,57 +139,86 @@ class TokenEncoder:
         keep[LINE_BREAK] = True
         self.store.keep(keep)
         number = np.cumsum(keep) - 1
-        for table in (self.first, self.rest):
-            kept = [(w, int(number[n])) for w, n in table.items() if keep[n]]
-            table.clear()
-            table.update(kept)
+        self.known = {w: int(number[n]) for w, n in self.known.items() if n >= 0 and keep[n]}
+
+    def _letter_at_end(self, char: str) -> bool:
+        """Is ``char``, and what the vocabulary's normalizer makes of it, a letter at its end? (Some
+        letters become a letter and a mark.)"""
+        found = self.ends_in_letter.get(char)
+        if found is None:
+            plain = char if self.tok.normalizer is None else self.tok.normalizer.normalize_str(char)
+            found = self.ends_in_letter[char] = char.isalpha() and plain[-1:].isalpha()
+        return found
+
+    def _number(self, unit: str) -> int:
+        """The number of a word (with its leading space); -1 if its text must be encoded whole.
+
+        Both kinds of vocabulary split text before and after a line break between
+        visible characters, and between a letter and a comma or full stop that ends the
+        word: such words are joined from their parts."""
+        key = unit.encode()
+        n = self.known.get(key)
+        if n is not None:
+            return n
+        lead = unit[:1] if unit[:1] == " " else ""
+        word, parts = unit[len(lead):], None
+        if not word or len(word) > LONGEST_WORD or word[0].isspace() or word[-1].isspace() or "<|" in word:
+            return -1
+        if "\n" in word:
+            first, *lines = word.split("\n")
+            if not any(x == "" or x[0].isspace() or x[-1].isspace() for x in (first, *lines)):
+                parts = [self._number(lead + first)]
+                for x in lines:
+                    parts += [LINE_BREAK, self._number(x)]
+        elif word[-1] in ".," and len(word) > 1 and self._letter_at_end(word[-2]):
+            parts = [self._number(lead + word[:-1]), self._number(word[-1])]
+        self.known[key] = n = self.store.join(parts) if parts else self.store.add(unit)
+        return n
+
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts in a row, number of ids of each text)."""
+    def encode(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row, number of ids of each) of concatenated UTF-8 texts."""
+        n_texts, raw = len(offs) - 1, data.tobytes()
         if self.mark is None:  # nothing to tell words apart by
-            out = [np.array(e.ids, np.uint32) for e in self.tok.encode_batch_fast(
-                texts, add_special_tokens=False)]
-            return (np.concatenate(out) if out else np.zeros(0, np.uint32),
-                    np.fromiter(map(len, out), np.int64, len(out)))
+            out = self._whole([raw[offs[i]:offs[i + 1]].decode() for i in range(n_texts)])
+            return np.concatenate([np.zeros(0, np.uint32), *out]), np.fromiter(map(len, out), np.int64, n_texts)
         store = self.store
         if len(store.depth) > CACHE_WORDS:
             self._make_room()
-        parts = [t.split(" ") for t in texts]
-        n_words = np.fromiter(map(len, parts), np.int64, len(parts))
-        head, rest = self.first.__getitem__, self.rest.__getitem__
-        heads = np.fromiter((head(p[0]) for p in parts), np.int64, len(parts))
-        tails = np.fromiter((rest(w) for p in parts for w in p[1:]), np.int64,
-                            int(n_words.sum()) - len(parts))
+        begins = data == 32
+        begins[offs[:-1][offs[:-1] < len(data)]] = True
+        starts = np.flatnonzero(begins)
+        units = pa.Array.from_buffers(pa.binary(), len(starts), [
+            None, pa.py_buffer(np.append(starts, len(data)).astype(np.int32)), pa.py_buffer(raw)]).dictionary_encode()
+        codes, distinct = units.indices.to_numpy(), units.dictionary.to_pylist()
+        number = np.fromiter(map(self.known.get, distinct, repeat(-2)), np.int64, len(distinct))
+        for k in np.flatnonzero(number == -2):
+            number[k] = self._number(distinct[k].decode())
         store.fill(self.tok, self.mark)
-        at_head = np.cumsum(n_words) - n_words
-        word = np.empty(int(n_words.sum()), np.int64)
-        is_head = np.zeros(len(word), bool)
-        is_head[at_head] = True
-        word[~is_head], word[is_head] = tails, heads
-        odd = np.logical_or.reduceat(word < 0, at_head) if len(word) else np.zeros(0, bool)
-        use = ~np.repeat(odd, n_words)
-        word = word[use]
-        np.add.at(store.uses, word, 1)
+        np.add.at(store.uses, number[number >= 0], np.bincount(codes, minlength=len(distinct))[number >= 0])
+        word = number[codes]
+        first = np.searchsorted(starts, offs)  # each text's first word
+        bad = np.concatenate(([0], np.cumsum(word < 0)))[first]
+        odd = bad[1:] > bad[:-1]
+        word = word[~np.repeat(odd, np.diff(first))]
         size = store.size[word]
         flat = store.ids[ranges(store.start[word], size)]
+        n_words = np.where(odd, 0, np.diff(first))
+        cum = np.concatenate(([0], np.cumsum(size)))[np.concatenate(([0], np.cumsum(n_words)))]
         if not odd.any():
-            return flat, np.add.reduceat(size, at_head) if len(texts) else n_words
-        cum = np.concatenate(([0], np.cumsum(size)))
-        last = np.cumsum(np.where(odd, 0, n_words))
-        first = last - np.where(odd, 0, n_words)
-        whole = iter(self.tok.encode_batch_fast([texts[i] for i in np.flatnonzero(odd)],
-                                                add_special_tokens=False))
-        out = [np.array(next(whole).ids, np.uint32) if odd[i] else flat[cum[first[i]]:cum[last[i]]]
-               for i in range(len(texts))]
-        return np.concatenate(out), np.fromiter(map(len, out), np.int64, len(out))
+            return flat, np.diff(cum)
+        whole = iter(self._whole([raw[offs[i]:offs[i + 1]].decode() for i in np.flatnonzero(odd)]))
+        out = [next(whole) if odd[i] else flat[cum[i]:cum[i + 1]] for i in range(n_texts)]
+        return np.concatenate(out), np.fromiter(map(len, out), np.int64, n_texts)
 
 
 def encode_chunks(batch: pa.RecordBatch, enc: TokenEncoder, end_id: int):
     """Encode a batch with columns (doc, text) a few megabytes at a time: yields
     (doc column, ids with ``end_id`` after each document, document offsets)."""
-    for lo, hi, data, offs in text_chunks(batch, "text"):
-        raw = data.tobytes()
-        ids, n = enc.encode([raw[offs[i]:offs[i + 1]].decode() for i in range(hi - lo)])
+    for lo, hi, data, offs in text_chunks(batch, "text", TOKEN_BYTES):
+        ids, n = enc.encode(data, offs)
         out_offs = np.concatenate(([0], np.cumsum(n + 1)))
         out = np.full(int(out_offs[-1]), end_id, np.uint32)
         is_end = np.zeros(len(out), bool)

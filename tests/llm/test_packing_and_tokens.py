@@ -1,12 +1,14 @@
+import random
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pytest
 from tokenizers import Tokenizer
 
 from starloom.llm.packing import cut_plan, pack_documents
-from starloom.llm.tokens import read_token_files, write_token_files
+from starloom.llm.tokens import TokenEncoder, read_token_files, write_token_files
 
 BYTES, WORDS = (public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "word_bpe_49k.json"))
 
@@ -66,3 +68,39 @@ def test_cut_plan_fills_slots():
     for r, pieces in enumerate(plan):
         assert sum(n for n, _ in pieces) == r
         assert all(0 < n <= 1024 // k for n, k in pieces)
+
+
+def _mine(path, texts):
+    """Ids by ``TokenEncoder``, all texts as one chunk."""
+    raws = [t.encode() for t in texts]
+    offs = np.concatenate(([0], np.cumsum([len(r) for r in raws])))
+    ids, n = TokenEncoder.of(path).encode(np.frombuffer(b"".join(raws), np.uint8), offs)
+    return [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])]
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_every_character_at_every_kind_of_cut(path):
+    """Beside a full stop, a comma, a line break and a space, first and last: the library's ids."""
+    tok = Tokenizer.from_file(path)
+    chars = [chr(c) for c in range(1, 0x30000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(chars), 8192):
+        texts = []
+        for c in chars[at:at + 8192]:
+            texts.append(f"a{c}. B{c}, {c}. x{c}\n{c}y {c} z{c}")
+        want = tok.encode_batch_fast(texts, add_special_tokens=False)
+        bad = [t for t, e, m in zip(texts, want, _mine(path, texts), strict=True) if e.ids != m]
+        assert not bad, bad[:5]
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_odd_texts_and_a_small_cache(path, monkeypatch):
+    import starloom.llm.tokens as tokens
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 50)
+    rng = random.Random(7)
+    bits = ["a", "PARTİSİ,", "TARİHİ.", "\u09dc.", "it's", " ", "  ", "\n", "\n\n", "\t", "x.y", "1,000", "...", "<|endoftext|>",
+            "<|", "ΟΔΟΣ.", "e\u0301.", "\u1100\u1161\u11a8.", "w" * 250, "\u00a0", "é,", "don't.", "\x1f", "\x85"]
+    texts = ["", " ", "\n"] + ["".join(rng.choice(bits) + rng.choice(["", " ", " ", "\n"]) for _ in range(rng.randrange(1, 12)))
+                              for _ in range(3000)]
+    want = [e.ids for e in Tokenizer.from_file(path).encode_batch_fast(texts, add_special_tokens=False)]
+    for at in range(0, len(texts), 500):
+        assert _mine(path, texts[at:at + 500]) == want[at:at + 500]
