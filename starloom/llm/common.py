@@ -126,34 +126,41 @@ def mix64(x: np.ndarray) -> np.ndarray:
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0xD6E8FEB86659FD93  # odd: invertible modulo 2**64
 BYTE_CODE = mix64(np.arange(1, 257, dtype=np.uint64) * _STEP)
-_POWERS: dict[str, np.ndarray] = {}
+#: Bytes that are hashed at a time, and the low bits of an exponent.
+_BLOCK, _LOW = 1 << 16, 12
 
 
-def powers(n: int, inverse: bool = False) -> np.ndarray:
-    """The first ``n`` powers of the hash base (or of its inverse) modulo 2**64."""
-    key = "inv" if inverse else "pow"
-    have = _POWERS.get(key)
-    if have is None or len(have) < n:
-        size = max(n, CHUNK_BYTES + 4096)
-        base = pow(_BASE, -1, 1 << 64) if inverse else _BASE
-        p = np.full(size, base, np.uint64)
-        p[0] = 1
-        have = np.multiply.accumulate(p)
-        if size <= 4 * CHUNK_BYTES:
-            _POWERS[key] = have
-    return have[:n]
+def _powers(base: int, n: int) -> np.ndarray:
+    """The first ``n`` powers of ``base`` modulo 2**64."""
+    p = np.full(n, base, np.uint64)
+    p[0] = 1
+    return np.multiply.accumulate(p)
+
+
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_BLOCK_POWERS, _LOW_INVERSE = _powers(_BASE, _BLOCK), _powers(_INVERSE, 1 << _LOW)
 
 
 def prefix_hash(data: np.ndarray) -> np.ndarray:
     """P with P[j] - P[i] = hash of bytes i..j-1 times base**i."""
     out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(BYTE_CODE[data] * powers(len(data)), out=out[1:])
+    for lo in range(0, len(data), _BLOCK):
+        x = BYTE_CODE[data[lo:lo + _BLOCK]]
+        x *= _BLOCK_POWERS[:len(x)]
+        x *= np.uint64(pow(_BASE, lo, 1 << 64))
+        x[:1] += out[lo]
+        np.cumsum(x, out=out[lo + 1:lo + 1 + len(x)])
     return out
 
 
 def span_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Position-independent hash of the byte spans starts..ends."""
-    return (prefix[ends] - prefix[starts]) * powers(len(prefix), inverse=True)[starts]
+    high = _powers(pow(_INVERSE, 1 << _LOW, 1 << 64), (len(prefix) >> _LOW) + 1)
+    out = prefix[ends]
+    out -= prefix[starts]
+    out *= _LOW_INVERSE[starts & ((1 << _LOW) - 1)]
+    out *= high[starts >> _LOW]
+    return out
 
 
 def words(data: np.ndarray, offs: np.ndarray, alphabet: np.ndarray):
@@ -174,12 +181,34 @@ def words(data: np.ndarray, offs: np.ndarray, alphabet: np.ndarray):
     return starts, ends, np.searchsorted(starts, offs)
 
 
+#: Codes of (place in the word, byte) for the first places of a word.
+_PLACES = 64
+_PLACE_CODE = mix64(np.arange(1, _PLACES * 256 + 1, dtype=np.uint64) * _STEP)
+
+
 def word_hashes(data: np.ndarray, offs: np.ndarray, alphabet: np.ndarray,
                 lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hash of every word, and the word offsets of the documents."""
+    """64-bit hash of every word, and the word offsets of the documents.
+
+    A word's hash sums a code of its own for every (place, byte): there is no
+    polynomial in a power of two, for which whole families of words collide."""
     b = lower_ascii(data) if lower else data
     starts, ends, wofs = words(b, offs, alphabet)
-    return mix64(span_hash(prefix_hash(b), starts, ends) + (ends - starts).astype(np.uint64)), wofs
+    size = ends - starts
+    out = np.zeros(len(starts), np.uint64)
+    cum = np.concatenate(([0], np.cumsum(size)))
+    lo = 0
+    while lo < len(starts):  # words of about a block of bytes at a time
+        hi = max(lo + 1, int(np.searchsorted(cum, cum[lo] + _BLOCK, "right")) - 1)
+        n = size[lo:hi]
+        code = b[ranges(starts[lo:hi], n)] + (ranges(np.zeros(hi - lo, np.int64), n) << 8)
+        far = code >= len(_PLACE_CODE)
+        x = _PLACE_CODE[np.where(far, 0, code)]
+        if far.any():
+            x[far] = mix64((code[far].astype(np.uint64) + np.uint64(1)) * _STEP)
+        out[lo:hi] = np.add.reduceat(x, cum[lo:hi] - cum[lo])
+        lo = hi
+    return mix64(out + size.astype(np.uint64)), wofs
 
 
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

@@ -34,7 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, materialize, mix64, prefix_hash, ranges, span_hash, text_chunks
+from .common import (CHUNK_BYTES, bound_batches, give_back, materialize, mix64, prefix_hash, ranges, span_hash,
+                     text_chunks)
 
 _POS = np.uint64((1 << 31) - 1)  # a Spark string is shorter than this
 
@@ -108,8 +109,8 @@ class BucketQueue:
     """First-in-first-out queues of suffix positions, one per first symbol.
     Arrays stay in memory up to ``budget`` bytes in all, then go to files."""
 
-    def __init__(self, folder: str, buckets: int, budget: int):
-        self.folder, self.budget, self.held = folder, budget, 0
+    def __init__(self, folder: str, buckets: int, budget: int, kind: type = np.int64):
+        self.folder, self.budget, self.held, self.kind = folder, budget, 0, kind
         self.parts: list[list] = [[] for _ in range(buckets)]
         self.files = 0
 
@@ -128,7 +129,7 @@ class BucketQueue:
             return None
         x = self.parts[bucket].pop(0)
         if isinstance(x, str):
-            path, x = x, np.fromfile(x, np.int64)
+            path, x = x, np.fromfile(x, self.kind)
             os.unlink(path)
         else:
             self.held -= x.nbytes
@@ -151,9 +152,15 @@ def s_types(t: np.ndarray) -> np.ndarray:
     step = np.zeros(n, np.int8)
     step[:-1] = np.sign(t[1:].astype(np.int32) - t[:-1])
     step[-1] = -1
-    last = np.where(step != 0, np.arange(n), n)
-    nxt = np.minimum.accumulate(last[::-1])[::-1]
-    return step[nxt] > 0
+    last = np.arange(n, dtype=_places(n))
+    last[step == 0] = n
+    np.minimum.accumulate(last[::-1], out=last[::-1])
+    return step[last] > 0
+
+
+def _places(n: int) -> type:
+    """What holds a place of a text of ``n`` symbols."""
+    return np.int32 if n < 1 << 30 else np.int64
 
 
 def rank_leftmost(t: np.ndarray, s: np.ndarray, lms: np.ndarray, depth: int) -> np.ndarray:
@@ -161,6 +168,7 @@ def rank_leftmost(t: np.ndarray, s: np.ndarray, lms: np.ndarray, depth: int) ->
 
     The pieces between them get names in their order, and the sequence of names
     is sorted by prefix doubling."""
+    lms = lms.astype(np.int64)
     end = np.append(lms[1:] + 1, len(t))
     sym = (t.astype(np.uint16) << 1) | s  # a piece is never a prefix of another
     as_bytes = sym.astype(">u2").view(np.uint8)
@@ -188,19 +196,19 @@ def rank_leftmost(t: np.ndarray, s: np.ndarray, lms: np.ndarray, depth: int) ->
         if name[order[-1]] == n:
             break
         step *= 2
-    return lms[order]
+    return lms[order].astype(_places(len(t)))
 
 
 def sorted_buckets(t: np.ndarray, symbols: int, depth: int, folder: str, budget: int) -> Iterator[np.ndarray]:
     """All suffixes of ``t`` in ascending order of their first ``depth`` symbols
     within a bucket; buckets (by first symbol) come last to first."""
-    s = s_types(t)
-    lms = np.flatnonzero(s[1:] & ~s[:-1]) + 1
+    s, kind = s_types(t), _places(len(t))
+    lms = (np.flatnonzero(s[1:] & ~s[:-1]) + 1).astype(kind)
     stars = rank_leftmost(t, s, lms, depth) if len(lms) else lms
     at = np.searchsorted(t[stars], np.arange(symbols + 1))
-    todo = BucketQueue(folder, symbols, budget)
-    done = BucketQueue(folder, symbols, budget)
-    todo.push(int(t[-1]), np.array([len(t) - 1]))  # the end induces the last suffix
+    todo = BucketQueue(folder, symbols, budget, kind)
+    done = BucketQueue(folder, symbols, budget, kind)
+    todo.push(int(t[-1]), np.array([len(t) - 1], kind))  # the end induces the last suffix
     for c in range(symbols):
         while (x := todo.pop(c)) is not None:
             done.push(c, x)
@@ -255,11 +263,14 @@ def _sort_shard(p: Repeats):
             t = data.astype(np.uint16) + 1
             t[start + size] = 0  # a run's end, smaller than any byte
             n_windows = size - p.length + 1
-            at = ranges(start, n_windows)
+            at = ranges(start, n_windows).astype(_places(len(t)))
             run_of = np.full(len(t), -1, np.int32)
-            run_of[at] = np.repeat(np.arange(len(row)), n_windows)
-            fp = np.zeros(len(t), np.uint64)
-            fp[at] = mix64(span_hash(prefix_hash(data), at, at + p.length))
+            run_of[at] = np.repeat(np.arange(len(row), dtype=np.int32), n_windows)
+            fp, pre = np.zeros(len(t), np.uint64), prefix_hash(data)
+            for lo in range(0, len(at), _SEND):
+                x = at[lo:lo + _SEND]
+                fp[x] = mix64(span_hash(pre, x, x + p.length))
+            del at, pre, data
             dup = np.zeros(len(t) + 1, bool)
             classes = []
             for bucket in sorted_buckets(t, 257, p.length, folder, p.queue_bytes):
@@ -288,6 +299,7 @@ def _sort_shard(p: Repeats):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(lone[k]), pa.array(place[k]), pa.array(place[k] + 1),
                          pa.array(fp[x[k]].view(np.int64)), pa.array(w[k])], names=names)
+        give_back()
     return go
 
 
@@ -310,17 +322,27 @@ def _cut(p: Repeats):
     """The bytes of the wanted runs of each document."""
     def go(batches):
         for batch in batches:
-            at = batch.schema.get_field_index
+            at, out, size = batch.schema.get_field_index, [], 0
             for row, text, runs in zip(batch.column(at("row")).to_pylist(), batch.column(at("text")),
                                        batch.column(at("runs")).to_pylist(), strict=True):
-                raw = bytes(text.as_buffer())
-                yield pa.RecordBatch.from_pylist(
-                    [{"row": row, "first": r["first"], "weight": r["weight"], "shared": r["shared"],
-                      "shard": r["shard"], "bytes": raw[r["first"]:r["end"] + p.length - 1]} for r in runs],
-                    _CUT)
+                raw = text.as_buffer()
+                for r in runs:
+                    piece = raw[r["first"]:r["end"] + p.length - 1].to_pybytes()
+                    out.append((row, r["first"], r["weight"], r["shared"], r["shard"], piece))
+                    size += len(piece)
+                    if size >= CHUNK_BYTES:
+                        yield _pieces(out)
+                        out, size = [], 0
+            if out:
+                yield _pieces(out)
     return go
 
 
+def _pieces(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _CUT, strict=True)],
+                                      schema=_CUT)
+
+
 _CUT = pa.schema([("row", pa.int64()), ("first", pa.int64()), ("weight", pa.int64()),
                   ("shared", pa.int64()), ("shard", pa.int64()), ("bytes", pa.binary())])
 
