@@ -33,11 +33,12 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 @dataclass(frozen=True)
 class QualityModel:
     """Sorted feature hashes; per target their weights (the last one: intercept)
-    and the rate among the labelled rows."""
+    and the rate among the labelled rows; the number of these."""
 
     hashes: np.ndarray
     weights: dict
     base: dict
+    labelled: int
 
 
 def _share_bins(part: np.ndarray, whole: np.ndarray) -> np.ndarray:
@@ -176,6 +177,8 @@ def logistic(doc: np.ndarray, feature: np.ndarray, y: np.ndarray, size: int, l2:
         s = p * (1 - p)
         step, r = np.zeros_like(w), -grad
         d, rr = r.copy(), float(r @ r)
+        if rr == 0:
+            break
         for _ in range(60):
             hd = back(s * times(d)) + ridge * d
             a = rr / max(float(d @ hd), 1e-30)
@@ -231,7 +234,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, max_labe
     label = rows.column("label").to_numpy()
     weights = {t: logistic(doc, f, (label >> bit & 1).astype(float), len(hashes), l2)
                for bit, t in enumerate(TARGETS)}
-    return QualityModel(hashes, weights, base)
+    return QualityModel(hashes, weights, base, len(label))
 
 
 def site_rates(sites: DataFrame, target: str) -> DataFrame:
@@ -273,8 +276,12 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     Labels other than 0 and 1, or without an id, teach nothing; an id labelled
     several times takes the larger labels. Null text counts as empty. Null hosts
     and paths are sites of their own; a path without labels takes its host's
-    rate, an unseen host the global rate. Without labels all posteriors are one
-    half or more for quality and under it for toxic: everything is kept.
+    rate, an unseen host the global rate. ``kept`` follows the posteriors (quality at
+    least, toxic under ``threshold``) however few labels there are; without any labelled
+    document there is nothing to judge by, and everything is kept. Words are chosen by
+    the significance of their counts (``min_g``, at most ``max_features`` a target), a
+    part of the fit that the bounded sample feeds. Other columns, whatever their
+    names, are not looked at.
     """
     return _judged(docs, labels, F.lit(0).cast("long"), id_col, text_col, host_col, path_col, max_labels,
                    max_features, min_g, l2, threshold).drop("row")
@@ -308,7 +315,7 @@ def _judged(docs: DataFrame, labels: DataFrame, row: Column, id_col: str = "doc_
         out = out.withColumns({t: 1 / (1 + F.exp(-odds)), f"site_{t}": rate}).drop("h", "p", "hh", "rate", "of_host")
     kept = (F.col("quality") >= threshold) & (F.col("toxic") < threshold)
     return out.select("row", F.col("doc").alias(id_col), *TARGETS, "site_quality", "site_toxic",
-                      (kept if len(model.hashes) else F.lit(True)).alias("kept"))
+                      (kept if model.labelled else F.lit(True)).alias("kept"))
 
 
 def drop_rejected(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:

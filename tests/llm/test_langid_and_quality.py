@@ -43,6 +43,19 @@ def test_quality_catches_toxic_and_junk_and_keeps_clean(spark, sf):
     assert r > 0.96
 
 
+def test_site_posteriors_decide_when_no_word_is_significant(spark):
+    """Too few labels for any word: the sites' rates alone judge, and follow by hand."""
+    rows = [(i, f"word{i}", "bad.org" if i < 6 else "good.org", "x") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    labels = spark.createDataFrame([(i, int(i >= 6), 0) for i in range(12)], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r for r in classify(docs, labels).collect()}
+    assert [got[i]["kept"] for i in range(12)] == [i >= 6 for i in range(12)]
+    # Rates 0 and 1 of 6 rows each around a mean of (6 + 1) / (12 + 2): the beta prior's strength
+    # by moments is its least, 1; the only path of a host lies at the host's rate.
+    assert abs(got[7]["site_quality"] - (6 + 0.5) / (6 + 1)) < 1e-3 and abs(got[0]["site_quality"] - 0.5 / 7) < 1e-3
+    assert got[0]["quality"] < 0.5 < got[7]["quality"]
+
+
 def test_quality_edges(spark, make_docs, edge_texts):
     labels = spark.createDataFrame([(None, 1, 0), (3, None, 1), (4, 7, 0), (0, 1, 0), (0, 0, 1)],
                                    "doc_id long, quality int, toxic int")
