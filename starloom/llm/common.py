@@ -89,10 +89,18 @@ def utf8(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[o[0]:o[-1]], o - o[0]
 
 
-def text_chunks(batch: pa.RecordBatch, text_col: str,
-                limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+#: What operators keep in a worker process from task to task.
+WORKER_CACHES: list[dict] = []
+
+
+def text_chunks(batch: pa.RecordBatch, text_col: str, limit: int = CHUNK_BYTES,
+                keep: dict | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Row ranges of a batch with at most ``limit`` bytes of text (or one row):
-    yields (first row, end row, bytes, offsets)."""
+    yields (first row, end row, bytes, offsets). Caches other than ``keep`` that
+    other operators' tasks left in this worker process are dropped."""
+    for cache in WORKER_CACHES:
+        if cache is not keep:
+            cache.clear()
     data, offs = utf8(batch.column(batch.schema.get_field_index(text_col)))
     at, n = 0, len(offs) - 1
     while at < n:

@@ -19,14 +19,14 @@ from __future__ import annotations
 import os
 import uuid
 import zlib
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import bound_batches, materialize, ranges, scratch_path, text_chunks
+from .common import WORKER_CACHES, bound_batches, materialize, ranges, scratch_path, text_chunks
 
 #: Words kept by a worker's cache; beyond it, words used once make room.
 CACHE_WORDS = 400_000
@@ -40,6 +40,7 @@ LINE_BREAK = 0
 NULL_ID = -(1 << 63)
 
 _ENCODERS: dict[str, "TokenEncoder"] = {}
+WORKER_CACHES.append(_ENCODERS)
 
 
 def _room(x: np.ndarray, need: int) -> np.ndarray:
@@ -52,13 +53,16 @@ def _room(x: np.ndarray, need: int) -> np.ndarray:
 
 
 class _Store:
-    """Ids of numbered words, in one array; unseen words wait in ``new`` (to be
-    encoded) or ``joined`` (made of other words, by how deep they nest)."""
+    """Ids of numbered words, in one array; unseen words wait in ``plain`` (letters after
+    a space) or ``new`` (any others), to be encoded, or in ``joined`` (made of other words, by
+    how deep they nest)."""
 
     def __init__(self):
         self.start, self.size, self.uses = np.zeros((3, 1024), np.int64)
         self.ids, self.used = np.zeros(1024, np.uint32), 0
         self.depth: list[int] = []  # of every word; 0: encoded by the library
+        self.plain: list[str] = []
+        self.plain_at: list[int] = []
         self.new: list[str] = []
         self.new_at: list[int] = []
         self.joined: dict[int, list[tuple[int, list[int]]]] = {}
@@ -71,9 +75,9 @@ class _Store:
         return n
 
     def join(self, parts: list[int]) -> int:
-        n = len(self.depth)
-        self.depth.append(1 + max(self.depth[p] for p in parts))
-        self.joined.setdefault(self.depth[n], []).append((n, parts))
+        n, depth = len(self.depth), 1 + max(map(self.depth.__getitem__, parts))
+        self.depth.append(depth)
+        self.joined.setdefault(depth, []).append((n, parts))
         return n
 
     def _put(self, at: list[int], size: np.ndarray, ids: np.ndarray) -> None:
@@ -83,18 +87,29 @@ class _Store:
         self.ids[self.used:self.used + len(ids)] = ids
         self.used += len(ids)
 
-    def fill(self, tok, mark: str) -> None:
-        """Encode the waiting words, many to a call: the special token ``mark``,
-        which no cached word holds, ends each of them."""
+    def _encode(self, tok, at: list[int], texts: list[str]) -> None:
+        """Encode each text by itself."""
+        out = [e.ids for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
+        size = np.fromiter(map(len, out), np.int64, len(out))
+        self._put(at, size, np.fromiter(chain.from_iterable(out), np.uint32, int(size.sum())))
+
+    def fill(self, tok, edge: np.ndarray, at_end: bool) -> None:
+        """Encode the waiting words. ``edge`` tells the ids that end (``at_end``) or begin a word:
+        plain words are encoded many to a text and told apart by them."""
         self.start, self.size, self.uses = (_room(x, len(self.depth)) for x in (self.start, self.size, self.uses))
+        groups = [slice(i, i + 500) for i in range(0, len(self.plain), 500)]
+        texts = ["".join(self.plain[g]) for g in groups]
+        for g, e in zip(groups, tok.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            ids, n = np.array(e.ids, np.uint32), len(self.plain[g])
+            cut = np.flatnonzero(edge[ids])
+            if len(cut) != n:  # a word has an edge at least, so each has one if there are as many
+                self._encode(tok, self.plain_at[g], self.plain[g])
+                continue
+            size = np.diff(cut + 1, prepend=0) if at_end else np.diff(cut, append=len(ids))
+            self._put(self.plain_at[g], size, ids)
         if self.new:
-            mark_id, words = tok.token_to_id(mark), self.new
-            texts = [mark.join(words[i:i + 500]) + mark for i in range(0, len(words), 500)]
-            flat = np.concatenate([np.array(e.ids, np.uint32)
-                                   for e in tok.encode_batch_fast(texts, add_special_tokens=False)])
-            ends = np.flatnonzero(flat == mark_id) - np.arange(len(words))
-            self._put(self.new_at, np.diff(ends, prepend=0), flat[flat != mark_id])
-            self.new, self.new_at = [], []
+            self._encode(tok, self.new_at, self.new)
+        self.plain, self.plain_at, self.new, self.new_at = [], [], [], []
         for depth in sorted(self.joined):
             rows = self.joined.pop(depth)
             n_parts = np.fromiter((len(p) for _, p in rows), np.int64, len(rows))
@@ -117,9 +132,11 @@ class TokenEncoder:
 
         self.tok = Tokenizer.from_file(path)
         self.vocab_size = self.tok.get_vocab_size()
-        marks = [t.content for t in self.tok.get_added_tokens_decoder().values()
-                 if t.special and t.content.startswith("<|") and not (t.lstrip or t.rstrip or t.single_word)]
-        self.mark = marks[-1] if marks else None
+        # Vocabularies with word ends mark each word's last token, byte-level ones a space's first.
+        suffix = self.tok.model.end_of_word_suffix
+        self.at_end = bool(suffix)
+        self.edge = np.zeros(self.vocab_size, bool)
+        self.edge[[n for t, n in self.tok.get_vocab().items() if (t.endswith(suffix) if suffix else t.startswith("\u0120"))]] = True
         self.store = _Store()
         self.store.add("\n")  # takes the number LINE_BREAK
         self.known: dict[bytes, int] = {}  # a word with the space before it, if there is one -> its number
@@ -151,14 +168,23 @@ class TokenEncoder:
         return found
 
     def _number(self, unit: str) -> int:
-        """The number of a word (with its leading space); -1 if its text must be encoded whole.
+        """The number of a word (with its leading space); -1 if its text must be encoded whole."""
+        key = unit.encode()
+        n = self.known.get(key)
+        return self._new_word(unit, key) if n is None else n
+
+    def _new_word(self, unit: str, key: bytes) -> int:
+        """Number a word that isn't known.
 
         Both kinds of vocabulary split text before and after a line break between
         visible characters, and between a letter and a comma or full stop that ends the
         word: such words are joined from their parts."""
-        key = unit.encode()
-        n = self.known.get(key)
-        if n is not None:
+        store = self.store
+        if len(unit) <= LONGEST_WORD and unit[0] == " " and unit[1:].isalpha():
+            self.known[key] = n = len(store.depth)
+            store.depth.append(0)
+            store.plain.append(unit)
+            store.plain_at.append(n)
             return n
         lead = unit[:1] if unit[:1] == " " else ""
         word, parts = unit[len(lead):], None
@@ -172,7 +198,7 @@ class TokenEncoder:
                     parts += [LINE_BREAK, self._number(x)]
         elif word[-1] in ".," and len(word) > 1 and self._letter_at_end(word[-2]):
             parts = [self._number(lead + word[:-1]), self._number(word[-1])]
-        self.known[key] = n = self.store.join(parts) if parts else self.store.add(unit)
+        self.known[key] = n = store.join(parts) if parts else store.add(unit)
         return n
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
@@ -181,9 +207,6 @@ class TokenEncoder:
     def encode(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, number of ids of each) of concatenated UTF-8 texts."""
         n_texts, raw = len(offs) - 1, data.tobytes()
-        if self.mark is None:  # nothing to tell words apart by
-            out = self._whole([raw[offs[i]:offs[i + 1]].decode() for i in range(n_texts)])
-            return np.concatenate([np.zeros(0, np.uint32), *out]), np.fromiter(map(len, out), np.int64, n_texts)
         store = self.store
         if len(store.depth) > CACHE_WORDS:
             self._make_room()
@@ -194,9 +217,9 @@ class TokenEncoder:
             None, pa.py_buffer(np.append(starts, len(data)).astype(np.int32)), pa.py_buffer(raw)]).dictionary_encode()
         codes, distinct = units.indices.to_numpy(), units.dictionary.to_pylist()
         number = np.fromiter(map(self.known.get, distinct, repeat(-2)), np.int64, len(distinct))
-        for k in np.flatnonzero(number == -2):
-            number[k] = self._number(distinct[k].decode())
-        store.fill(self.tok, self.mark)
+        for k in np.flatnonzero(number == -2).tolist():
+            number[k] = self._new_word(distinct[k].decode(), distinct[k])
+        store.fill(self.tok, self.edge, self.at_end)
         np.add.at(store.uses, number[number >= 0], np.bincount(codes, minlength=len(distinct))[number >= 0])
         word = number[codes]
         first = np.searchsorted(starts, offs)  # each text's first word
@@ -217,7 +240,7 @@ class TokenEncoder:
 def encode_chunks(batch: pa.RecordBatch, enc: TokenEncoder, end_id: int):
     """Encode a batch with columns (doc, text) a few megabytes at a time: yields
     (doc column, ids with ``end_id`` after each document, document offsets)."""
-    for lo, hi, data, offs in text_chunks(batch, "text", TOKEN_BYTES):
+    for lo, hi, data, offs in text_chunks(batch, "text", TOKEN_BYTES, _ENCODERS):
         ids, n = enc.encode(data, offs)
         out_offs = np.concatenate(([0], np.cumsum(n + 1)))
         out = np.full(int(out_offs[-1]), end_id, np.uint32)
