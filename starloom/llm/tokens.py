@@ -125,6 +125,31 @@ class _Store:
         self.depth = [0] * len(self.size)
 
 
+# Classes of bytes that decide on cuts: ASCII letters, visible ASCII characters, comma and full stop.
+_LETTER, _VISIBLE, _STOP = np.zeros((3, 256), bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_VISIBLE[0x21:0x7F] = True
+_STOP[[44, 46]] = True
+
+
+def _cuts(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """Where words begin: at a text's start and at spaces, and, as far as ASCII neighbours show
+    it, around a line break between visible characters and before a comma or full stop
+    between a letter and the word's end. (``_new_word`` finds the cuts beside other letters.)"""
+    n = len(data)
+    begins = np.zeros(n + 1, bool)
+    begins[offs] = True
+    edge = begins.copy()  # no cut looks over a text's edge
+    begins[:n] |= data == 32
+    line = np.zeros(n + 2, bool)
+    line[1:n - 1] = (data[1:-1] == 10) & _VISIBLE[data[:-2]] & _VISIBLE[data[2:]] & ~edge[1:n - 1] & ~edge[2:n]
+    begins |= line[:-1]
+    begins[1:] |= line[:n]
+    stop = np.zeros(n + 1, bool)
+    stop[1:n] = _STOP[data[1:]] & _LETTER[data[:-1]] & ~edge[1:n] & begins[2:n + 1]
+    return (begins | stop)[:n]
+
+
 class TokenEncoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per Spark task
@@ -139,7 +164,8 @@ class TokenEncoder:
         self.edge[[n for t, n in self.tok.get_vocab().items() if (t.endswith(suffix) if suffix else t.startswith("\u0120"))]] = True
         self.store = _Store()
         self.store.add("\n")  # takes the number LINE_BREAK
-        self.known: dict[bytes, int] = {}  # a word with the space before it, if there is one -> its number
+        # A word with the space before it, if there is one -> its number.
+        self.known: dict[bytes, int] = {b"\n": LINE_BREAK}
         self.ends_in_letter: dict[str, bool] = {}
 
     @staticmethod
@@ -210,9 +236,7 @@ class TokenEncoder:
         store = self.store
         if len(store.depth) > CACHE_WORDS:
             self._make_room()
-        begins = data == 32
-        begins[offs[:-1][offs[:-1] < len(data)]] = True
-        starts = np.flatnonzero(begins)
+        starts = np.flatnonzero(_cuts(data, offs))
         units = pa.Array.from_buffers(pa.binary(), len(starts), [
             None, pa.py_buffer(np.append(starts, len(data)).astype(np.int32)), pa.py_buffer(raw)]).dictionary_encode()
         codes, distinct = units.indices.to_numpy(), units.dictionary.to_pylist()
