@@ -9,9 +9,9 @@ followed by an end byte, so probabilities are those of whole texts.
 
 The model is a table of grams (context and byte), never broadcast. A chunk of
 documents lists its distinct grams; the grams meet their tree nodes by key, and
-each chunk gets back the probabilities of just its own grams, in its own order.
-A chunk is one input split, so its size is bounded by
-``spark.sql.files.maxPartitionBytes``. The deep part of the tree is computed in
+each chunk gets back just its own grams with their probabilities, then reads its
+texts beside them, one chunk a partition. A chunk is one input split, so its size
+is bounded by ``spark.sql.files.maxPartitionBytes``. The deep part of the tree is computed in
 groups that share their most recent ``TOP`` context bytes (with a depth of 5, at
 most 2**24 grams a prefix), the top part by grouped sums of the nodes below.
 """
@@ -37,20 +37,21 @@ TOP = 3  # most recent bytes that the grams of a tree group share
 def gram_codes(data: np.ndarray, offs: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Code of every byte and end of the documents (lower-cased), and offsets:
     context bytes, most recent highest, and the byte itself lowest."""
-    nd = len(offs) - 1
+    nd, width = len(offs) - 1, depth + 1
     out_offs = offs + np.arange(nd + 1)
-    s = np.full(len(data) + nd + depth, END, np.uint8)
-    body = np.ones(len(data) + nd, bool)
-    body[out_offs[1:] - 1] = False
-    s[depth:][body] = lower_ascii(data)
-    n = len(data) + nd
-    code = s[depth:].astype(np.uint64)
-    since = np.arange(n) - np.repeat(out_offs[:-1], np.diff(out_offs))
-    for k in range(1, depth + 1):
-        prev = s[depth - k:depth - k + n].astype(np.uint64)
-        prev[since < k] = END
-        code |= prev << np.uint64(8 * (depth + 1 - k))
-    return code, out_offs
+    if not nd:
+        return np.zeros(0, np.uint64), out_offs
+    padded = offs + width * np.arange(nd + 1)  # each document after ``depth`` ends, before one
+    here = np.ones(padded[-1], bool)
+    here[(padded[:-1, None] + np.arange(depth)).ravel()] = False
+    body = here.copy()
+    body[padded[1:] - 1] = False
+    s = np.full(len(here), END, np.uint64)
+    s[body] = lower_ascii(data)
+    code = s[depth:].copy()
+    for k in range(1, width):
+        code |= s[depth - k:-k] << np.uint64(8 * (width - k))
+    return code[here[depth:]], out_offs
 
 
 def counted(codes: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -67,6 +68,28 @@ def counted(codes: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.nda
     return s[edge], n
 
 
+class Lookup:
+    """Values of sorted distinct keys, found in one step by a hash of the key; the
+    keys that lost their slot to another by binary search."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.keys, self.values = keys, values
+        bits = max(len(keys), 2).bit_length() + 1
+        self.shift = np.uint64(64 - bits)
+        self.slots = np.zeros(1 << bits, np.int32)
+        self.slots[self._slot(keys)] = np.arange(len(keys), dtype=np.int32)
+
+    def _slot(self, keys):
+        return (keys * np.uint64(0x9E3779B97F4A7C15)) >> self.shift
+
+    def __call__(self, wanted: np.ndarray) -> np.ndarray:
+        """Values of ``wanted``, which are all among the keys."""
+        at = self.slots[self._slot(wanted)]
+        other = np.flatnonzero(self.keys[at] != wanted)
+        at[other] = np.searchsorted(self.keys, wanted[other])
+        return self.values[at]
+
+
 def log_gamma(x: np.ndarray) -> np.ndarray:
     """By Stirling's series, after lifting small arguments."""
     x = np.asarray(x, float)
@@ -191,9 +214,11 @@ class _Distinct:
         self.parts: list = []
 
     def add(self, keys, train):
-        k, n = counted(keys, train.astype(np.int64))
+        k, n = counted(keys[train])
         self.parts.append((k, n))
-        if len(self.parts) >= 8:
+        k, n = counted(keys[~train])
+        self.parts.append((k, np.zeros_like(n)))
+        if len(self.parts) >= 16:
             self.parts = [self.all()]
 
     def all(self):
@@ -324,12 +349,12 @@ def _predict(depth: int):
             value += np.log10(descend(nodes, code, depth, range(TOP, depth + 1), level, done, left_of[at])[0])
         value = value.astype(np.float32)
         return pa.table({"kind": pa.array([0] * len(parts), pa.int32()), "bucket": table.column("bucket"),
-                         "chunk": table.column("chunk"),
+                         "chunk": table.column("chunk"), "keys": table.column("keys"),
                          "vals": pa.array([_squeeze(value[np.searchsorted(code, k)]) for k in parts], pa.binary())})
     return run
 
 
-_VALUES = "kind int, bucket long, chunk long, vals binary"
+_VALUES = "kind int, bucket long, chunk long, keys binary, vals binary"
 
 
 def _count_words(table: pa.Table) -> pa.Table:
@@ -338,44 +363,53 @@ def _count_words(table: pa.Table) -> pa.Table:
     return pa.table({"kind": pa.array([1] * len(parts) + [2], pa.int32()),
                      "bucket": pa.array([*table.column("bucket").to_pylist(), int((n > 0).sum())], pa.int64()),
                      "chunk": pa.array([*table.column("chunk").to_pylist(), int(n.sum())], pa.int64()),
+                     "keys": pa.array([*table.column("keys").to_pylist(), None], pa.binary()),
                      "vals": pa.array([*back, None], pa.binary())})
 
 
-def _score(depth: int, buckets: int, total: int, distinct: int):
-    def run(docs: pa.Table, values: pa.Table) -> pa.Table:
-        batches = docs.combine_chunks().to_batches()
-        found = (_Distinct(), _Distinct())
-        for batch in batches:
-            for _, _, data, offs in text_chunks(batch, "text"):
-                for d, (k, _) in zip(found, (gram_codes(data, offs, depth), _tokens(data, offs)), strict=True):
-                    d.add(k, np.zeros(len(k), np.int64))
-        tables = []
-        kinds, at_bucket = values.column("kind").to_numpy(), values.column("bucket").to_numpy()
-        for kind, d, place, dtype in ((0, found[0], lambda k: _gram_bucket(k, depth, buckets), np.float32),
-                                      (1, found[1], lambda k: _word_bucket(k, buckets), np.uint32)):
-            keys, _ = d.all()
-            order, _ = _by_bucket(keys, place(keys), buckets)
-            rows = np.flatnonzero(kinds == kind)
-            rows = rows[np.argsort(at_bucket[rows])]
-            out = np.empty(len(keys), float)
-            out[order] = np.concatenate([_expand(values.column("vals")[int(i)].as_py(), dtype) for i in rows])
-            tables.append((keys, out))
-        (grams, log_p), (words, count) = tables
-        out = []
+def _joined(blobs: list, kind) -> Lookup:
+    """Values of all buckets of a chunk by key."""
+    keys = np.concatenate([_keys(k) for k, _ in blobs])
+    order = np.argsort(keys)
+    return Lookup(keys[order], np.concatenate([_expand(v, kind) for _, v in blobs])[order])
+
+
+def _score(depth: int, total: int, distinct: int):
+    """Rows of a chunk: the values of its grams and words first, then its texts."""
+    def scored(batch, grams, words):
+        for lo, hi, data, offs in text_chunks(batch, "text"):
+            code, co = gram_codes(data, offs, depth)
+            score = np.add.reduceat(grams(code).astype(float), co[:-1])
+            tok, to = _tokens(data, offs)
+            c = words(tok).astype(np.int64)
+            n = np.diff(to)
+            base = np.add.reduceat(np.log10(c + 1), to[:-1]) - n * math.log10(total + distinct + 1)
+            known = np.add.reduceat((c > 0).astype(np.int64), to[:-1])
+            rows = batch.slice(lo, hi - lo)
+            yield pa.RecordBatch.from_arrays(
+                [rows.column("doc"), rows.column("held"), pa.array(n), pa.array(known),
+                 pa.array(np.full(len(n), total)), pa.array(base), pa.array(score), pa.array(np.diff(co))],
+                names=["doc", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes"])
+
+    def run(batches):
+        chunk, blobs, tables = None, None, None
         for batch in batches:
-            for lo, hi, data, offs in text_chunks(batch, "text"):
-                code, co = gram_codes(data, offs, depth)
-                score = np.add.reduceat(log_p[np.searchsorted(grams, code)], co[:-1])
-                tok, to = _tokens(data, offs)
-                c = count[np.searchsorted(words, tok)]
-                n = np.diff(to)
-                base = np.add.reduceat(np.log10(c + 1), to[:-1]) - n * math.log10(total + distinct + 1)
-                known = np.add.reduceat((c > 0).astype(np.int64), to[:-1])
-                rows = batch.slice(lo, hi - lo)
-                out.append(pa.table({"doc": rows.column("doc"), "held_out": rows.column("held"), "n_tokens": n,
-                                     "n_known": known, "train_tokens": np.full(len(n), total),
-                                     "base_score": base, "score": score, "n_bytes": np.diff(co)}))
-        return pa.concat_tables(out)
+            at, is_text = batch.column("chunk").to_numpy(), batch.column("is_text").to_numpy(zero_copy_only=False)
+            edge = np.flatnonzero((at[1:] != at[:-1]) | (is_text[1:] != is_text[:-1])) + 1
+            for lo, hi in zip([0, *edge], [*edge, batch.num_rows], strict=True):
+                if lo == hi:
+                    continue
+                rows = batch.slice(int(lo), int(hi - lo))
+                if at[lo] != chunk:
+                    chunk, blobs, tables = at[lo], ([], []), None
+                if is_text[lo]:
+                    if tables is None:
+                        tables = _joined(blobs[0], np.float32), _joined(blobs[1], np.uint32)
+                        blobs = None
+                    yield from scored(rows, *tables)
+                else:
+                    for kind, k, v in zip(*(rows.column(c).to_pylist() for c in ("kind", "keys", "vals")), strict=True):
+                        blobs[kind].append((k, v))
     return run
 
 
@@ -411,7 +445,10 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sums = values.filter("kind = 2").agg(F.sum("chunk").alias("n"), F.sum("bucket").alias("v")).first()
     schema = ("doc long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
               "score double, n_bytes long")
-    out = src.groupBy("chunk").cogroup(values.filter("kind < 2").groupBy("chunk")).applyInArrow(
-        _score(depth, buckets, int(sums["n"] or 0), int(sums["v"] or 0)), schema)
+    chunks = parts.agg(F.max("chunk")).first()[0]
+    rows = values.filter("kind < 2").select("chunk", F.lit(False).alias("is_text"), "kind", "keys", "vals").unionByName(
+        src.withColumn("is_text", F.lit(True)), allowMissingColumns=True)
+    out = rows.repartitionById((chunks or 0) + 1, F.col("chunk").cast("int")).sortWithinPartitions(
+        "chunk", "is_text").mapInArrow(_score(depth, int(sums["n"] or 0), int(sums["v"] or 0)), schema)
     return out.withColumn("bits_per_byte", -F.col("score") / math.log10(2) / F.col("n_bytes")).drop(
         "n_bytes").withColumnRenamed("doc", id_col)
