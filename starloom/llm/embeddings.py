@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import connected_components, materialize
+from .common import connected_components, materialize, numbered, without_rows
 
 
 @dataclass(frozen=True)
@@ -141,27 +141,26 @@ def _compare(rotations: dict, p: Similar):
     return run
 
 
-def similar_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
-                    label_col: str = "label", params: Similar = Similar()) -> DataFrame:
-    """One row per vector: ``id_col, n_links`` (other vectors of its label with
-    cosine >= threshold), ``component_id`` (smallest id reachable over links,
-    itself included) and ``kept`` (it is its own component id).
-
-    Rows with a null id or label, and vectors that are null, empty, zero or hold
-    null or non-finite components, link with nothing. Vectors of different length
-    are never compared. An id that repeats is one vector with several values.
-    """
-    p = params
-    width = math.sqrt(2 - 2 * p.threshold) * (1 + _SLACK)
-    src = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("string").alias("label"),
-                         F.col(vec_col).alias("vec"))
+def _rows(vectors: DataFrame, id_col: str, vec_col: str, label_col: str, row) -> DataFrame:
+    """(row, id, label, vec, good) of every vector; ``good`` ones may have links."""
+    src = vectors.select(row.alias("row"), F.col(id_col).cast("long").alias("id"),
+                         F.col(label_col).cast("string").alias("label"), F.col(vec_col).alias("vec"))
     good = F.col("id").isNotNull() & F.col("label").isNotNull() & (F.size("vec") > 0) & ~F.exists(
         "vec", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf"))) & F.exists("vec", lambda v: v != 0)
-    src = src.withColumn("good", F.coalesce(good, F.lit(False)))
-    classes = (src.filter("good").groupBy("label", "vec").agg(F.min("id").alias("rep"), F.count("*").alias("n"))
+    return src.withColumn("good", F.coalesce(good, F.lit(False)))
+
+
+def _linked(src: DataFrame, p: Similar) -> DataFrame:
+    """(row, id, n_links, component, component_id) of the good rows of ``_rows``.
+
+    Equal vectors of a label are one class with a number of its own, so that an id
+    with several vectors has a class for each."""
+    width = math.sqrt(2 - 2 * p.threshold) * (1 + _SLACK)
+    classes = (src.filter("good").groupBy("label", "vec").agg(F.min("id").alias("first"), F.count("*").alias("n"))
                .withColumn("size", F.size("vec")))
-    classes = materialize(classes, "vec-classes")
-    sample = classes.orderBy(F.xxhash64("rep"), "rep").limit(p.sample).select("vec").collect()
+    firsts = numbered(classes, "vec-classes").withColumnRenamed("__row", "rep")
+    classes = firsts.drop("first")
+    sample = firsts.orderBy(F.xxhash64("first"), "first").limit(p.sample).select("vec").collect()
     rotations = fit_rotations([r["vec"] for r in sample])
     schema = StructType([*classes.schema.fields, StructField("c1", LongType()), StructField("c2", LongType())])
     placed = materialize(classes.mapInArrow(_cells(rotations, width), schema), "vec-cells")
@@ -191,21 +190,45 @@ def similar_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     found = materialize(found, "vec-links")
     linked = found.groupBy("rep").agg(F.sum("links").alias("links"))
     roots = connected_components(found.filter("rep <> low").select(F.col("rep").alias("a"), F.col("low").alias("b")))
-    roots = roots.withColumnRenamed("node", "rep")
-    known = materialize(
-        classes.select("label", "vec", "rep", "n").join(linked, "rep", "left").join(roots, "rep", "left").select(
-            "label", "vec", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
-            F.coalesce("root", "rep").alias("component_id")), "vec-known")
-    out = src.filter("good").join(known, ["label", "vec"]).select("id", "n_links", "component_id")
+    met = firsts.select("label", "vec", "rep", "n", "first").join(linked, "rep", "left").join(
+        roots.withColumnRenamed("node", "rep"), "rep", "left")
+    met = materialize(met.select(
+        "label", "vec", "first", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
+        F.coalesce("root", "rep").alias("component"), F.col("links").isNotNull().alias("joined")), "vec-met")
+    lowest = met.filter("joined").groupBy("component").agg(F.min("first").alias("lowest"))
+    known = materialize(met.join(lowest, "component", "left").select(
+        "label", "vec", "n_links", "component", F.coalesce("lowest", "first").alias("component_id")), "vec-known")
+    return src.filter("good").join(known, ["label", "vec"]).select(
+        "row", "id", "n_links", "component", "component_id")
+
+
+def similar_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
+                    label_col: str = "label", params: Similar = Similar()) -> DataFrame:
+    """One row per vector: ``id_col, n_links`` (other vectors of its label with
+    cosine >= threshold), ``component_id`` (smallest id reachable over links,
+    itself included) and ``kept`` (it is its own component id).
+
+    Rows with a null id or label, and vectors that are null, empty, zero or hold
+    null or non-finite components, link with nothing. Vectors of different length
+    are never compared. Rows that share an id are vectors of their own, with links
+    and a component each. Other columns, whatever their names, are ignored.
+    """
+    src = _rows(vectors, id_col, vec_col, label_col, F.lit(0))
+    out = _linked(src, params).select("id", "n_links", "component_id")
     out = out.unionByName(src.filter("not good").select(
         "id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id")))
     return out.select(F.col("id").alias(id_col), "n_links", "component_id",
                       F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
-def drop_similar(vectors: DataFrame, id_col: str = "vec_id", **options) -> DataFrame:
-    """``vectors``, all columns as they were, one of each linked group; rows with
-    a null id stay."""
-    gone = similar_vectors(vectors, id_col, **options).filter("not kept")
-    gone = materialize(gone.select(F.col(id_col).alias("__gone")).distinct(), "vec-gone")
-    return vectors.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+def drop_similar(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
+                 label_col: str = "label", params: Similar = Similar()) -> DataFrame:
+    """``vectors``, all columns as they were, one row of each linked group (the
+    smallest id; of rows that share it, any one); rows that link with nothing stay,
+    null ids and labels included."""
+    rows = numbered(vectors, "vec-rows")
+    found = materialize(_linked(_rows(rows, id_col, vec_col, label_col, F.col("__row")), params).select(
+        "component", F.struct("id", "row").alias("at")), "vec-found")
+    best = found.groupBy("component").agg(F.min("at").alias("best"))
+    gone = found.join(best, "component").filter("at <> best").select(F.col("at.row").alias("__row"))
+    return without_rows(rows, gone, "vec-gone")

@@ -169,8 +169,8 @@ def identify(rows: DataFrame, labelled: DataFrame, text_col: str = "text", marku
              host_col: str = "host", train_text_col: str = "text", train_lang_col: str = "lang",
              block_languages: int = 64, effective: int = 60, strength: float = 5.0,
              smoothing: float = 0.5) -> DataFrame:
-    """``rows`` with all columns but ``text_col`` and ``markup_col``, plus
-    ``lang_id`` (most probable language), ``confidence`` (its posterior) and
+    """``rows`` with all columns but ``text_col`` and ``markup_col`` (and but those
+    named like the three that follow, which are replaced), plus ``lang_id`` (most probable language), ``confidence`` (its posterior) and
     ``text_lang`` (by the text alone). Evidence columns are null where absent.
 
     Null or short texts have no text evidence: the other evidence decides, and
@@ -179,14 +179,17 @@ def identify(rows: DataFrame, labelled: DataFrame, text_col: str = "text", marku
     the language is null and the confidence zero. ``block_languages`` bounds the
     languages of one pass, not those known.
     """
-    keep = [c for c in rows.columns if c not in (text_col, markup_col)]
+    made = {c.lower() for c in (text_col, markup_col, "lang_id", "confidence", "text_lang")}
+    names_kept = [c for c in rows.columns if c.lower() not in made]
+    keep = [f"__kept{i}" for i in range(len(names_kept))]  # no name of ours meets one of theirs
     bound_batches(rows)
     languages = label_names(labelled, train_lang_col)
     if not languages:
-        return rows.select(*keep, F.lit(None).cast("string").alias("lang_id"), F.lit(0.0).alias("confidence"),
+        return rows.select(*(F.col(f"`{c}`") for c in names_kept), F.lit(None).cast("string").alias("lang_id"), F.lit(0.0).alias("confidence"),
                            F.lit(None).cast("string").alias("text_lang"))
     host = F.col(host_col)
-    src = rows.select(*keep, F.col(markup_col).alias("__markup"), host.alias("__host"),
+    src = rows.select(*(F.col(f"`{c}`").alias(k) for c, k in zip(names_kept, keep, strict=True)),
+                      F.col(markup_col).alias("__markup"), host.alias("__host"),
                       F.nullif(F.regexp_extract(host, r"\.([^.]+)$", 1), F.lit("")).alias("__suffix"),
                       F.coalesce(F.nullif(F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1), F.lit("")), host)
                       .alias("__domain"), F.col(text_col).alias("text"))
@@ -246,5 +249,5 @@ def identify(rows: DataFrame, labelled: DataFrame, text_col: str = "text", marku
             F.max_by("__lang", F.struct("__best", first)).alias("__lang"),
             F.max_by("__text_lang", F.struct("__text_best", first)).alias("__text_lang")).withColumn(
             "__norm", F.aggregate("of", F.lit(0.0), lambda a, x: a + x["__norm"] * F.exp(x["__best"] - F.col("m"))))
-    return found.select(*keep, F.col("__lang").alias("lang_id"), (1 / F.col("__norm")).alias("confidence"),
+    return found.select(*(F.col(k).alias(c) for c, k in zip(names_kept, keep, strict=True)), F.col("__lang").alias("lang_id"), (1 / F.col("__norm")).alias("confidence"),
                         F.col("__text_lang").alias("text_lang"))

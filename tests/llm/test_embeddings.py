@@ -3,7 +3,7 @@ import pytest
 
 import brute
 
-from starloom.llm.embeddings import Similar, similar_vectors
+from starloom.llm.embeddings import Similar, drop_similar, similar_vectors
 
 
 @pytest.mark.parametrize("tile", [8, 512])
@@ -40,3 +40,23 @@ def test_null_ids_and_no_rows(spark):
     got = sorted((str(r[0]), r[1], r[2], r[3]) for r in similar_vectors(df).collect())
     assert got == [("5", 0, 5, True), ("None", 0, None, True)]
     assert similar_vectors(df.limit(0)).collect() == []
+
+
+def test_repeated_ids_are_rows_of_their_own(spark):
+    rows = [(5, [1.0, 0.0], 1), (5, [0.0, 1.0], 1), (6, [1.0, 0.01], 1), (6, [1.0, 0.01], 1), (9, [0.0, 1.0], 2),
+            (None, [1.0, 0.0], 1), (7, [1.0, 0.0], None), (2, [0.01, 1.0], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").selectExpr(
+        "*", "1 AS row", "2 AS component", "3 AS good", "4 AS id", "5 AS first")
+    got = sorted(tuple(r) for r in similar_vectors(df.filter("vec_id is not null")).collect())
+    assert got == [(2, 1, 2, True), (5, 1, 2, False), (5, 2, 5, True), (6, 2, 5, False), (6, 2, 5, False),
+                   (7, 0, 7, True), (9, 0, 9, True)]
+    left = drop_similar(df)
+    assert left.columns == df.columns
+    assert sorted((str(r["vec_id"]), [round(x, 2) for x in r["embedding"]]) for r in left.collect()) == [
+        ("2", [0.01, 1.0]), ("5", [1.0, 0.0]), ("7", [1.0, 0.0]), ("9", [0.0, 1.0]), ("None", [1.0, 0.0])]
+
+
+def test_copies_of_one_row_leave_one(spark):
+    df = spark.createDataFrame([(1, [1.0, 2.0], 1)] * 3 + [(0, [2.0, -1.0], 1)],
+                               "vec_id long, embedding array<float>, label int")
+    assert sorted(r["vec_id"] for r in drop_similar(df).collect()) == [0, 1]

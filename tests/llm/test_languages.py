@@ -101,3 +101,18 @@ def test_edges_with_several_blocks(spark):
     assert [r["lang_id"] for r in got.collect()] == ["l000"] * 3
     assert identify(df.limit(0), train, block_languages=2).collect() == []
     assert {r["lang_id"] for r in identify(df, train.limit(0), block_languages=2).collect()} == {None}
+
+
+@pytest.mark.parametrize("block", [2, 64])
+def test_names_that_clash(spark, block):
+    texts = {"aa": "lorem ipsum dolor sit amet", "bb": "the quick brown fox jumps", "cc": "zwölf boxkämpfer jagen"}
+    rows = [(i, t, x, "old", 0.5, "old", "kept", 7, "k0") for i, (x, t) in enumerate(sorted(texts.items()) * 4)]
+    df = spark.createDataFrame(rows, "id long, body string, lang string, lang_id string, Confidence double, "
+                                     "text_lang string, text string, m int, __kept0 string").selectExpr(
+        "*", "CAST(NULL AS string) AS markup", "CAST(NULL AS string) AS host", "1 AS share", "2 AS z")
+    got = identify(df, df, text_col="body", train_text_col="body", block_languages=block)
+    assert got.columns == ["id", "lang", "text", "m", "__kept0", "host", "share", "z", "lang_id", "confidence",
+                           "text_lang"]
+    for r in got.collect():
+        assert (r["text"], r["m"], r["__kept0"], r["share"], r["z"]) == ("kept", 7, "k0", 1, 2)
+        assert r["lang_id"] == r["text_lang"] == r["lang"] and 0.3 < r["confidence"] <= 1
