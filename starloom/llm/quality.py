@@ -33,12 +33,12 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 @dataclass(frozen=True)
 class QualityModel:
     """Sorted feature hashes; per target their weights (the last one: intercept)
-    and the rate among the labelled rows; the number of these."""
+    and the rate among the labelled rows; the targets of which these show both values."""
 
     hashes: np.ndarray
     weights: dict
     base: dict
-    labelled: int
+    judged: list[str]
 
 
 def _share_bins(part: np.ndarray, whole: np.ndarray) -> np.ndarray:
@@ -213,12 +213,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, max_labe
               .agg(*(F.sum(F.when(F.col("label") == k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in range(4))))
     counts = materialize(counts, "features")
     size = {r["label"]: r["n"] for r in mine.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    chosen, base = [], {}
+    chosen, base, judged = [], {}, []
     for bit, t in enumerate(TARGETS):
         yes = [k for k in range(4) if k >> bit & 1]
         n1 = sum(size.get(k, 0) for k in yes)
         n0 = sum(size.values()) - n1
         base[t] = (n1 + 1) / (n1 + n0 + 2)
+        judged += [t] if n1 and n0 else []
         a = sum(F.col(f"n{k}") for k in yes).cast("double")
         b = sum(F.col(f"n{k}") for k in range(4) if k not in yes).cast("double")
         p1, p0 = (a + 0.5) / (n1 + 1.0), (b + 0.5) / (n0 + 1.0)
@@ -234,7 +235,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, max_labe
     label = rows.column("label").to_numpy()
     weights = {t: logistic(doc, f, (label >> bit & 1).astype(float), len(hashes), l2)
                for bit, t in enumerate(TARGETS)}
-    return QualityModel(hashes, weights, base, len(label))
+    return QualityModel(hashes, weights, base, judged)
 
 
 def site_rates(sites: DataFrame, target: str) -> DataFrame:
@@ -277,8 +278,9 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     several times takes the larger labels. Null text counts as empty. Null hosts
     and paths are sites of their own; a path without labels takes its host's
     rate, an unseen host the global rate. ``kept`` follows the posteriors (quality at
-    least, toxic under ``threshold``) however few labels there are; without any labelled
-    document there is nothing to judge by, and everything is kept. Words are chosen by
+    least, toxic under ``threshold``) however few labels there are; a target whose
+    labelled documents are all alike, or none, tells nothing apart and rejects
+    nothing. Words are chosen by
     the significance of their counts (``min_g``, at most ``max_features`` a target), a
     part of the fit that the bounded sample feeds. Other columns, whatever their
     names, are not looked at.
@@ -313,9 +315,12 @@ def _judged(docs: DataFrame, labels: DataFrame, row: Column, id_col: str = "doc_
         shift = F.log(rate / (1 - rate)) - F.lit(_logit(base))
         odds = F.col(t) + shift
         out = out.withColumns({t: 1 / (1 + F.exp(-odds)), f"site_{t}": rate}).drop("h", "p", "hh", "rate", "of_host")
-    kept = (F.col("quality") >= threshold) & (F.col("toxic") < threshold)
+    passes = {"quality": F.col("quality") >= threshold, "toxic": F.col("toxic") < threshold}
+    kept = F.lit(True)
+    for t in model.judged:
+        kept = kept & passes[t]
     return out.select("row", F.col("doc").alias(id_col), *TARGETS, "site_quality", "site_toxic",
-                      (kept if model.labelled else F.lit(True)).alias("kept"))
+                      kept.alias("kept"))
 
 
 def drop_rejected(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:

@@ -65,3 +65,12 @@ def test_quality_edges(spark, make_docs, edge_texts):
     assert classify(df.limit(0), labels).collect() == []
     kept = drop_rejected(df, labels)
     assert kept.columns == df.columns and not kept.filter("doc_id is null").isEmpty()
+
+
+def test_labels_that_are_all_alike_reject_nothing(spark):
+    docs = spark.createDataFrame([(i, f"word{i}", "a.org", "x") for i in range(8)],
+                                 "doc_id long, text string, source string, lang string")
+    labels = spark.createDataFrame([(i, int(i > 1), 1) for i in range(4)], "doc_id long, quality int, toxic int")
+    got = classify(docs, labels).collect()
+    assert [r["kept"] for r in got] == [r["quality"] >= 0.5 for r in got]
+    assert classify(docs, labels.filter("doc_id < 2")).filter("not kept").isEmpty()
