@@ -5,15 +5,19 @@ A document streams through it word by word; the state and the match length
 (matching statistics) say at each word how long a piece of some template ends
 there. Pieces that cannot be extended are chained, in text order and template
 order, into covered spans of a template; the covered share decides the labels.
+
+Templates are a parameter: pairs (label, text), or a table of them, such as the
+whole licence texts that ``read_templates`` takes from files.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
 from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import WORD_CHARS, bound_batches, text_chunks, word_hashes
@@ -24,7 +28,7 @@ BASE_PHRASES = {
     "general public license": "gpl",
     "all rights reserved": "reserved",
 }
-# Public license notices and usual one-line declarations.
+# Excerpts of public license notices, and usual one-line declarations.
 TEMPLATES = [
     ("apache", "licensed under the apache license version 2.0"),
     ("apache", "licensed under the apache license version 2.0 the license you may not use this file "
@@ -55,46 +59,59 @@ def _hashes(text: str) -> list[int]:
 
 
 class SuffixAutomaton:
-    """Of several word sequences; ``ends[state]``: (sequence, end) of its occurrences."""
+    """Of several word sequences."""
 
     def __init__(self, sequences: list[list[int]]):
-        self.next, self.link, self.size, ends = [{}], [-1], [0], [set()]
+        self.next, self.link, self.size, self.own = [{}], [-1], [0], [[]]
         for t, seq in enumerate(sequences):
             last = 0
             for i, c in enumerate(seq):
-                last = self._extend(last, c, ends)
-                ends[last].add((t, i + 1))
-        for v in sorted(range(1, len(self.next)), key=lambda v: -self.size[v]):
-            ends[self.link[v]] |= ends[v]
-        self.ends = [sorted(e) for e in ends]
-
-    def _state(self, size, nxt, link, ends):
+                last = self._extend(last, c)
+                self.own[last].append((t, i + 1))
+        self.below = [[] for _ in self.next]
+        for v in range(1, len(self.next)):
+            self.below[self.link[v]].append(v)
+        self._ends: dict[int, list[tuple[int, int]]] = {}
+
+    def ends(self, state: int) -> list[tuple[int, int]]:
+        """(sequence, end) of the state's occurrences, gathered when first asked for:
+        whole licence texts share long passages, whose states nobody may visit."""
+        if state not in self._ends:
+            found, todo = [], [state]
+            while todo:
+                v = todo.pop()
+                found += self.own[v]
+                todo += self.below[v]
+            self._ends[state] = sorted(found)
+        return self._ends[state]
+
+    def _state(self, size, nxt, link):
         self.next.append(nxt)
         self.link.append(link)
         self.size.append(size)
-        ends.append(set())
+        self.own.append([])
         return len(self.next) - 1
 
-    def _clone(self, p, q, c, ends):
-        clone = self._state(self.size[p] + 1, dict(self.next[q]), self.link[q], ends)
+    def _clone(self, p, q, c):
+        clone = self._state(self.size[p] + 1, dict(self.next[q]), self.link[q])
         while p >= 0 and self.next[p].get(c) == q:
             self.next[p][c] = clone
             p = self.link[p]
         self.link[q] = clone
         return clone
 
-    def _extend(self, last, c, ends):
+    def _extend(self, last, c):
         if c in self.next[last]:  # another sequence has been here
             q = self.next[last][c]
-            return q if self.size[q] == self.size[last] + 1 else self._clone(last, q, c, ends)
-        cur = self._state(self.size[last] + 1, {}, 0, ends)
+            return q if self.size[q] == self.size[last] + 1 else self._clone(last, q, c)
+        cur = self._state(self.size[last] + 1, {}, 0)
         p = last
         while p >= 0 and c not in self.next[p]:
             self.next[p][c] = cur
             p = self.link[p]
         if p >= 0:
             q = self.next[p][c]
-            self.link[cur] = q if self.size[q] == self.size[p] + 1 else self._clone(p, q, c, ends)
+            self.link[cur] = q if self.size[q] == self.size[p] + 1 else self._clone(p, q, c)
         return cur
 
     def step(self, state: int, length: int, c: int) -> tuple[int, int]:
@@ -111,11 +128,12 @@ class SuffixAutomaton:
         v = 0
         for c in seq:
             v = self.next[v][c]
-        below = {v}
-        for s in sorted(range(1, len(self.next)), key=lambda s: self.size[s]):
-            if self.link[s] in below:
-                below.add(s)
-        return below
+        found, todo = set(), [v]
+        while todo:
+            v = todo.pop()
+            found.add(v)
+            todo += self.below[v]
+        return found
 
 
 class Scanner:
@@ -156,23 +174,39 @@ class Scanner:
         return places, pieces
 
     def cover(self, pieces) -> list[tuple[int, int, int, int]]:
-        """Chain pieces: (template, covered words, first, end) of the best chain each."""
-        open_: dict[int, list[int]] = {}
-        best: dict[int, tuple[int, int, int]] = {}
+        """Chains of pieces: (template, covered words, first, end).
+
+        A piece that ends at some place of a template extends a chain that ends
+        before that place and at most ``max_gap`` words before the piece; it adds
+        the words that are new in both text and template. Of all chains that end at
+        a piece and place the best (most words, then latest start) is kept. Of a
+        template, its best chain is returned, and all others over ``min_cover`` that
+        overlap none better (more words, then earlier) in the text."""
+        seen = defaultdict(list)  # template -> (end, end in the template, covered, first)
         for first, end, state in pieces:
-            n = end - first
-            for t, t_end in self.auto.ends[state]:
-                chain = open_.get(t)  # covered, first, end, end in the template
-                if chain and first - chain[2] <= self.max_gap and t_end > chain[3]:
-                    new = min(n, t_end - chain[3], end - max(first, chain[2]) if first < chain[2] else n)
-                    chain = [chain[0] + new, chain[1], end, t_end]
-                else:
-                    chain = [n, first, end, t_end]
-                if t not in open_ or chain[0] >= open_[t][0] or first - open_[t][2] > self.max_gap:
-                    open_[t] = chain
-                if chain[0] > best.get(t, (0,))[0]:
-                    best[t] = (chain[0], chain[1], chain[2])
-        return [(t, *b) for t, b in sorted(best.items())]
+            n, new = end - first, []
+            for t, place in self.auto.ends(state):
+                best = (n, first)
+                for e, q, covered, start in reversed(seen[t]):
+                    if first - e > self.max_gap:
+                        break
+                    if q < place:
+                        best = max(best, (covered + min(n, place - q, end - max(first, e)), start))
+                new.append((t, (end, place, *best)))
+            for t, chain in new:
+                seen[t].append(chain)
+        out = []
+        for t, chains in sorted(seen.items()):
+            ranked = sorted((-covered, first, end) for end, _, covered, first in chains)
+            taken: list[tuple[int, int]] = []
+            for covered, first, end in ranked:
+                if taken and -covered < self.min_cover * self.lengths[t]:
+                    break
+                k = bisect_left(taken, (first, end))
+                if (k == 0 or taken[k - 1][1] <= first) and (k == len(taken) or end <= taken[k][0]):
+                    insort(taken, (first, end))
+                    out.append((t, -covered, first, end))
+        return out
 
 
 def _scan(options: tuple, with_spans: bool):
@@ -208,7 +242,7 @@ def _row(scanner: Scanner, runs, with_spans: bool) -> tuple:
     chains = scanner.cover(pieces) if pieces else ()
     base = {label for _, label in places}
     share = [(n / scanner.lengths[t], scanner.labels[t], a, b) for t, n, a, b in chains]
-    found = [x for x in share if x[0] >= scanner.min_cover]
+    found = sorted((x for x in share if x[0] >= scanner.min_cover), key=lambda x: (x[2], x[3], x[1], x[0]))
     at = [w for w, _ in places]
     out = (len(at), min(at, default=None), max(at, default=None), ",".join(sorted(base)),
            ",".join(sorted(base | {x[1] for x in found})),
@@ -226,9 +260,29 @@ def _names(with_spans: bool) -> list[str]:
             *["spans"] * with_spans]
 
 
+def read_templates(spark: SparkSession, path: str) -> DataFrame:
+    """(label, text) of a folder of whole licence texts: the label is the file's
+    name in lower case, up to its extension (``.txt``, ``.md`` or ``.html``)."""
+    name = F.regexp_replace(F.lower(F.element_at(F.split(F.input_file_name(), "/"), -1)), r"\.(txt|md|html)$", "")
+    return spark.read.text(path, wholetext=True).select(name.alias("label"), F.col("value").alias("text"))
+
+
+def _template_pairs(templates, limit: int) -> tuple:
+    """Templates with words as sorted pairs, at most ``limit`` bytes: each task
+    builds its automaton from them."""
+    if isinstance(templates, DataFrame):
+        known = templates.select("label", "text").filter("label is not null and text is not null").distinct()
+        size = known.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        if size > limit:
+            raise ValueError(f"templates of {size} bytes, more than {limit}: raise max_template_bytes")
+        templates = [(r["label"], r["text"]) for r in known.orderBy("label", "text").collect()]
+    return tuple((label, text) for label, text in templates if _hashes(text))
+
+
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   templates=tuple(TEMPLATES), phrases: dict | None = None, min_match: int = 3,
-                  max_gap: int = 6, min_cover: float = 0.75, with_spans: bool = False) -> DataFrame:
+                  max_gap: int = 6, min_cover: float = 0.75, with_spans: bool = False,
+                  max_template_bytes: int = 4 << 20) -> DataFrame:
     """One row per document: ``id_col, n_words, n_base`` (places of the base
     phrases), ``first_word, last_word`` (their smallest and largest start, else
     null), ``base_labels, labels`` (sorted, comma-joined, '' for none) and
@@ -236,10 +290,18 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     A template counts when chained pieces of at least ``min_match`` words, with
     gaps of at most ``max_gap``, cover ``min_cover`` of it. ``with_spans`` adds
-    the covered spans in words. Null text counts as empty: no words, no labels.
-    Repeated or null ids are scanned row by row. Nothing is shuffled.
+    all covered spans in words, by place: a notice that stands several times has
+    several. Null text counts as empty: no words, no labels. Repeated or null ids
+    are scanned row by row. Columns of other names aren't looked at.
+    Nothing is shuffled.
+
+    ``templates``: pairs (label, text), or a table with these columns; those
+    without words or with a null match nothing. The built-in ones are excerpts; whole
+    texts come from ``read_templates``. A table of more than ``max_template_bytes``
+    raises ValueError.
     """
-    options = (templates, phrases or BASE_PHRASES, min_match, max_gap, min_cover)
+    options = (_template_pairs(templates, max_template_bytes), BASE_PHRASES if phrases is None else phrases,
+               min_match, max_gap, min_cover)
     schema = ("doc long, n_words long, n_base long, first_word long, last_word long, base_labels string, "
               "labels string, score double"
               + ", spans array<struct<label:string,first:long,end:long,cover:double>>" * with_spans)

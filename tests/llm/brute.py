@@ -87,3 +87,37 @@ def contamination(texts, items, window=13):
 
 def sha(text):
     return hashlib.sha256(text if isinstance(text, bytes) else text.encode()).hexdigest()
+
+
+def license_chains(words, templates, min_match, max_gap, min_cover):
+    """(template, covered, first, end): every chain of every piece, tried one by one."""
+    def places(run):
+        return [(t, k + len(run)) for t, w in enumerate(templates) for k in range(len(w)) if w[k:k + len(run)] == run]
+
+    vocab = {x for w in templates for x in w}
+    longest = []  # at each word, the words of the longest run of a template that ends there
+    for i in range(len(words)):
+        longest.append(next((n for n in range(i + 1, 0, -1) if places(words[i + 1 - n:i + 1])), 0))
+    pieces = []
+    for i, n in enumerate(longest):
+        lone = n == 1 and not (i and words[i - 1] in vocab) and not (i + 1 < len(words) and words[i + 1] in vocab)
+        if n >= min_match and not lone and (i + 1 == len(words) or longest[i + 1] != n + 1):
+            pieces.append((i + 1 - n, i + 1, places(words[i + 1 - n:i + 1])))
+    out = []
+    for t, template in enumerate(templates):
+        mine = [(a, b, p) for a, b, at in pieces for u, p in at if u == t]
+        best = []
+        for a, b, p in mine:
+            n, options = b - a, [(b - a, a)]
+            options += [(c + min(n, p - q, b - max(a, e)), s) for (_, e, q), (c, s) in zip(mine, best)  # noqa: B905
+                        if e < b and q < p and a - e <= max_gap]
+            best.append(max(options))
+        taken = []
+        for c, a, b in sorted(((c, s, b) for (_, b, _), (c, s) in zip(mine, best, strict=True)),
+                              key=lambda x: (-x[0], x[1], x[2])):
+            if taken and c < min_cover * len(template):
+                break
+            if all(b <= x or y <= a for _, x, y in taken):
+                taken.append((c, a, b))
+        out += [(t, c, a, b) for c, a, b in taken]
+    return out

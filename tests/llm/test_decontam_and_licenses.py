@@ -1,8 +1,10 @@
+import random
+
 import brute
 import pytest
 
 from starloom.llm.decontam import contamination, drop_contaminated, longest_matches
-from starloom.llm.licenses import BASE_PHRASES, TEMPLATES, scan_licenses
+from starloom.llm.licenses import BASE_PHRASES, TEMPLATES, read_templates, scan_licenses
 
 
 @pytest.fixture()
@@ -78,3 +80,54 @@ def test_templates_are_found_whole_and_with_gaps(make_docs):
     assert got[100]["labels"] == "mit" and 0.75 <= got[100]["score"] < 1
     assert got[101]["labels"] == "" and got[None]["n_words"] == 0
     assert scan_licenses(make_docs([])).collect() == []
+
+
+def test_chains_against_brute_force(make_docs):
+    rng = random.Random(11)
+    templates = [("x", "a b c d e f g h"), ("y", "c d e x a b c"), ("y", "a a a b"), ("z", "h g f e d c b a"),
+                 ("none", " -- ")]
+    rows = []
+    for i in range(150):
+        parts = []
+        for _ in range(rng.randrange(1, 9)):
+            w = rng.choice(templates)[1].split()
+            a = rng.randrange(len(w))
+            parts += [*w[a:a + rng.randrange(2, 9)], *rng.choices("abq", k=rng.randrange(3))]
+        rows.append((i, " ".join(parts)))
+    rows += [(1000, None), (1001, ""), (1002, "a b c d e f g h " * 3), (1002, "a b c d e f g h " * 3)]
+    got = scan_licenses(make_docs(rows), templates=templates, phrases={"b c": "bc"}, min_match=2, max_gap=2,
+                        min_cover=0.6, with_spans=True).collect()
+    texts = [(label, t.split()) for label, t in [*templates[:4], ("bc", "b c")]]
+    want = []
+    for i, t in rows:
+        words = brute.words(t, brute.LETTERS)
+        base = [k for k in range(len(words)) if words[k:k + 2] == ["b", "c"]]
+        chains = brute.license_chains(words, [w for _, w in texts], 2, 2, 0.6)
+        share = [(texts[t][0], a, b, n / len(texts[t][1])) for t, n, a, b in chains]
+        found = [x for x in share if x[3] >= 0.6]
+        labels = sorted({x[0] for x in found} | ({"bc"} if base else set()))
+        score = min(1.0, max([1.0 if base else 0.0, *(x[3] for x in share)]))
+        want.append((i, len(words), len(base), ",".join(labels), score, sorted(found)))
+    assert sorted((r["doc_id"], r["n_words"], r["n_base"], r["labels"], r["score"],
+                   sorted((s["label"], s["first"], s["end"], s["cover"]) for s in r["spans"])) for r in got) == sorted(want)
+    twice = [s for s in next(r for r in got if r["doc_id"] == 1002)["spans"] if s["label"] == "x"]
+    assert [(s["first"], s["end"], s["cover"]) for s in twice] == [(0, 8, 1.0), (8, 16, 1.0), (16, 24, 1.0)]
+
+
+def test_templates_from_files(spark, make_docs, tmp_path):
+    rng = random.Random(3)
+    words = [f"w{k}" for k in range(400)]
+    whole = {"One-1.0": rng.choices(words, k=3000), "Two": rng.choices(words, k=500)}
+    whole["One-2.0"] = [*whole["One-1.0"][:1500], *rng.choices(words, k=1500)]  # versions share passages
+    for name, w in whole.items():
+        (tmp_path / f"{name}.txt").write_text("\n".join(w))
+    table = read_templates(spark, str(tmp_path))
+    rows = [(1, "See. " + " ".join(whole["One-1.0"])), (2, " ".join(whole["Two"]).upper()),
+            (3, " ".join(whole["One-1.0"][:700])), (4, " ".join(whole["One-2.0"][:2900])), (5, None)]
+    got = {r["doc_id"]: r for r in scan_licenses(make_docs(rows), templates=table).collect()}
+    assert [got[i]["labels"] for i in (1, 2, 3, 4, 5)] == ["one-1.0", "two", "", "one-2.0", ""]
+    assert got[1]["score"] == 1.0 and abs(got[3]["score"] - 700 / 3000) < 1e-3
+    no_templates = scan_licenses(make_docs(rows), templates=table.limit(0)).collect()
+    assert {r["labels"] for r in no_templates} == {""}
+    with pytest.raises(ValueError):
+        scan_licenses(make_docs(rows), templates=table, max_template_bytes=1000)
