@@ -59,8 +59,10 @@ def shapes(data: np.ndarray, offs: np.ndarray, h: np.ndarray, wofs: np.ndarray)
     symbol = ~_ALNUM[lower_ascii(data)] & ~space
     pair = np.zeros(len(data), bool)
     pair[1:] = symbol[1:] & symbol[:-1]
+    pair[offs[:-1][size > 0]] = False  # a document's first byte or word has none before it
     same = np.zeros(len(h), bool)
     same[1:] = h[1:] == h[:-1]
+    same[wofs[:-1][n > 0]] = False
     kinds = np.fromiter((len(np.unique(h[a:b], sorted=False)) for a, b in zip(wofs[:-1], wofs[1:], strict=True)),
                         np.int64, len(n))
     bins = [

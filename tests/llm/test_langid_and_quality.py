@@ -1,3 +1,6 @@
+import random
+
+import brute
 from pyspark.sql import functions as F
 
 from starloom.llm.langid import declared_language, identify, page_text, url_host
@@ -74,3 +77,28 @@ def test_labels_that_are_all_alike_reject_nothing(spark):
     got = classify(docs, labels).collect()
     assert [r["kept"] for r in got] == [r["quality"] >= 0.5 for r in got]
     assert classify(docs, labels.filter("doc_id < 2")).filter("not kept").isEmpty()
+
+
+def test_quality_against_brute_force(spark):
+    """Posteriors, site rates and decisions row by row; hosts and paths seen, unseen, sparse and null."""
+    rng = random.Random(8)
+    good, bad, toxic = ["river", "theorem", "garden", "method"], ["click", "buy", "$$$", "!!"], ["vile", "scum"]
+    docs, labels = [], {}
+    for i in range(240):
+        q, t = int(rng.random() < 0.6), int(rng.random() < 0.3)
+        words = rng.choices(["the", "a", "of", "Zeit", "été", *(good if q else bad), *(toxic if t else [])], k=rng.randrange(40))
+        host = rng.choice(["a.org", "b.org", "c.org", None]) if q else rng.choice(["a.org", "spam.net", "spam.net", None])
+        docs.append((i, rng.choice([" ", "\n", "|"]).join(words), host, rng.choice(["x", "y", None])))
+        if i % 3:
+            labels[i] = (q, t)
+    docs += [(900, None, "new.org", "x"), (901, "", "a.org", "new"), (902, "river!! " * 3000, None, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string, lang string").repartition(3)
+    table = spark.createDataFrame([(i, *v) for i, v in labels.items()], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r for r in classify(df, table, min_g=4.0, l2=0.01).collect()}
+    want = brute.quality(docs, labels, 4.0, 0.01)
+    assert got.keys() == want.keys()
+    for i, (q, t, sq, st, kept) in want.items():
+        r = got[i]
+        assert max(abs(r["quality"] - q), abs(r["toxic"] - t)) < 1e-2, (i, r, want[i])
+        assert max(abs(r["site_quality"] - sq), abs(r["site_toxic"] - st)) < 1e-9
+        assert r["kept"] == kept or min(abs(q - 0.5), abs(t - 0.5)) < 1e-2
