@@ -200,10 +200,11 @@ def logistic(doc: np.ndarray, feature: np.ndarray, y: np.ndarray, size: int, l2:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, max_labels: int,
-        max_features: int, min_g: float, l2: float) -> QualityModel:
+        min_g: float, l2: float) -> QualityModel:
     """Fit document evidence on at most ``max_labels`` labelled rows (those with
     the smallest hash of their id; the bound makes them safe to broadcast and
-    their feature numbers safe to gather on the driver)."""
+    their feature numbers safe to gather on the driver). All words whose G statistic
+    is over ``min_g`` take part."""
     known = labels.filter(" and ".join(f"{t} in (0, 1)" for t in TARGETS)).filter(F.col(id_col).isNotNull())
     sample = (known.groupBy(F.col(id_col).cast("long").alias("doc"))
               .agg(F.max("quality").alias("q"), F.max("toxic").alias("t"))
@@ -227,9 +228,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, max_labe
         p1, p0 = (a + 0.5) / (n1 + 1.0), (b + 0.5) / (n0 + 1.0)
         share = (a + b + 1.0) / (n1 + n0 + 2.0)
         g = 2 * (a * F.log(p1 / share) + b * F.log(p0 / share))
-        chosen += (counts.select("feature", g.alias("g")).filter(F.col("g") > min_g)
-                   .orderBy(F.desc("g"), "feature").limit(max_features).collect())
-    hashes = np.array(sorted({r["feature"] % (1 << 64) for r in chosen}), np.uint64)
+        chosen.append(counts.filter(g > min_g).select("feature").toArrow().column(0).to_numpy())
+    hashes = np.unique(np.concatenate(chosen).view(np.uint64))
     rows = mine.mapInArrow(_rows(hashes), "label long, features array<long>").toArrow()
     features = rows.column("features").combine_chunks()
     n_of = np.diff(features.offsets.to_numpy()) if len(features) else np.zeros(0, np.int64)
@@ -272,7 +272,7 @@ def _strength(df: DataFrame, s, n, centre, mean: float) -> float:
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              host_col: str = "source", path_col: str = "lang", max_labels: int = 20_000,
-             max_features: int = 1_000, min_g: float = 12.0, l2: float = 1e-4, threshold: float = 0.5) -> DataFrame:
+             min_g: float = 12.0, l2: float = 1e-6, threshold: float = 0.5) -> DataFrame:
     """One row per document: ``id_col, quality, toxic`` (posterior probabilities),
     ``site_quality, site_toxic`` (the site's shrunk rates) and ``kept``.
 
@@ -282,20 +282,19 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     rate, an unseen host the global rate. ``kept`` follows the posteriors (quality at
     least, toxic under ``threshold``) however few labels there are; a target whose
     labelled documents are all alike, or none, tells nothing apart and rejects
-    nothing. Words are chosen by
-    the significance of their counts (``min_g``, at most ``max_features`` a target), a
-    part of the fit that the bounded sample feeds. Other columns, whatever their
+    nothing. All words whose counts
+    in the bounded sample tell a target apart significantly (G over ``min_g``) take part. Other columns, whatever their
     names, are not looked at.
     """
     return _judged(docs, labels, F.lit(0).cast("long"), id_col, text_col, host_col, path_col, max_labels,
-                   max_features, min_g, l2, threshold).drop("row")
+                   min_g, l2, threshold).drop("row")
 
 
 def _judged(docs: DataFrame, labels: DataFrame, row: Column, id_col: str = "doc_id", text_col: str = "text",
             host_col: str = "source", path_col: str = "lang", max_labels: int = 20_000,
-            max_features: int = 1_000, min_g: float = 12.0, l2: float = 1e-4, threshold: float = 0.5) -> DataFrame:
+            min_g: float = 12.0, l2: float = 1e-6, threshold: float = 0.5) -> DataFrame:
     """``classify``, with ``row`` of each document."""
-    model = fit(bound_batches(docs), labels, id_col, text_col, max_labels, max_features, min_g, l2)
+    model = fit(bound_batches(docs), labels, id_col, text_col, max_labels, min_g, l2)
     site = docs.select(row.alias("row"), F.col(id_col).cast("long").alias("doc"), F.col(host_col).cast("string").alias("host"),
                        F.col(path_col).cast("string").alias("path"), F.col(text_col).alias("text"))
     schema = "row long, doc long, host string, path string, " + ", ".join(f"{t} double" for t in TARGETS)
