@@ -272,7 +272,7 @@ def _strength(df: DataFrame, s, n, centre, mean: float) -> float:
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              host_col: str = "source", path_col: str = "lang", max_labels: int = 20_000,
-             min_g: float = 12.0, l2: float = 1e-6, threshold: float = 0.5) -> DataFrame:
+             min_g: float = 12.0, l2: float = 1e-5, threshold: float = 0.5) -> DataFrame:
     """One row per document: ``id_col, quality, toxic`` (posterior probabilities),
     ``site_quality, site_toxic`` (the site's shrunk rates) and ``kept``.
 
@@ -292,7 +292,7 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
 def _judged(docs: DataFrame, labels: DataFrame, row: Column, id_col: str = "doc_id", text_col: str = "text",
             host_col: str = "source", path_col: str = "lang", max_labels: int = 20_000,
-            min_g: float = 12.0, l2: float = 1e-6, threshold: float = 0.5) -> DataFrame:
+            min_g: float = 12.0, l2: float = 1e-5, threshold: float = 0.5) -> DataFrame:
     """``classify``, with ``row`` of each document."""
     model = fit(bound_batches(docs), labels, id_col, text_col, max_labels, min_g, l2)
     site = docs.select(row.alias("row"), F.col(id_col).cast("long").alias("doc"), F.col(host_col).cast("string").alias("host"),
