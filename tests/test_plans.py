@@ -136,3 +136,17 @@ def test_line_items_are_dealt_out_once_for_both_states(spark, scratch):
     from starloom.plans.registry import QUERIES
     plan = _executed(QUERIES["stg_order_payments"](spark, _tables(spark, scratch)))
     assert "ReusedExchange" in plan, plan
+
+
+def test_staging_merges_deal_out_narrow_lines_and_not_the_earlier_state(spark, scratch):
+    from starloom.plans.registry import QUERIES
+    _tables(spark, scratch)
+    for name in ("stg_order_items", "stg_order_payments"):
+        plan = _executed(QUERIES[name](spark, scratch))
+        own = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "Reused" not in x]
+        # The lines, and the one row that no longer arrives.
+        assert len([x for x in own if "ENSURE_REQUIREMENTS" in x]) == 1, plan
+        assert len([x for x in own if "REPARTITION_BY_NUM" in x]) == 1, plan
+    plan = _executed(spark.table("src_order_items"))
+    numbered, dealt = plan.split("Exchange hashpartitioning")
+    assert "AS product_id" in numbered and "AS product_id" not in dealt
