@@ -150,3 +150,12 @@ def test_staging_merges_deal_out_narrow_lines_and_not_the_earlier_state(spark, s
     plan = _executed(spark.table("src_order_items"))
     numbered, dealt = plan.split("Exchange hashpartitioning")
     assert "AS product_id" in numbered and "AS product_id" not in dealt
+
+
+def test_star_row_counts_stores_the_orders_once(spark, scratch):
+    from starloom.plans.registry import QUERIES, run_for
+    counts = {r["table_name"]: r["row_count"] for r in QUERIES["star_row_counts"](spark, _tables(spark, scratch)).collect()}
+    stored = [k for k in run_for(spark, scratch)._memo if k.startswith("by_order_keys_of_")]
+    assert len(stored) == 1
+    for name in ("fct_order_items", "fct_order_payments", "fct_order_reviews", "fct_order_delivery"):
+        assert counts[name] == QUERIES[name](spark, scratch).count()
