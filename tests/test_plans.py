@@ -159,3 +159,26 @@ def test_star_row_counts_stores_the_orders_once(spark, scratch):
     assert len(stored) == 1
     for name in ("fct_order_items", "fct_order_payments", "fct_order_reviews", "fct_order_delivery"):
         assert counts[name] == QUERIES[name](spark, scratch).count()
+
+
+def test_changed_key_check_by_action_needs_no_landed_rows(spark):
+    from pyspark.sql import functions as F
+    from starloom.operators.merge import KEPT, upsert_changed
+    from starloom.operators.quality import check_foreign_key_changed
+    old, new = "2024-01-01 00:00:00", "2024-06-01 00:00:00"
+    ddl = "k string, p string, v int, id string, created_at timestamp_ntz, updated_at timestamp_ntz"
+    prev = spark.createDataFrame([("a", "1", 1), ("b", "2", 1), ("c", "2", 1), (None, "2", 1), ("d", "2", 1)],
+                                 "k string, p string, v int") \
+        .selectExpr("*", "k as id", f"timestamp_ntz'{old}' as created_at", f"timestamp_ntz'{old}' as updated_at")
+    assert prev.columns == [x.split()[0] for x in ddl.split(", ")]
+    landed = spark.createDataFrame([("a", "1", 1), ("b", "2", 1), ("c", "2", 5), (None, "2", 1), ("e", "9", 1)],
+                                   "k string, p string, v int")
+    staged = upsert_changed(prev, landed, "k", ["p", "v"], new, with_action=True)
+    parents, staged_parents = (spark.createDataFrame([(x,) for x in ids], "pk string") for ids in ("1", "12"))
+    changed = F.col("updated_at") == F.lit(new).cast("timestamp_ntz")
+
+    def found(*a, **kw):
+        return sorted(map(repr, check_foreign_key_changed(staged, changed, "k", "p", *a, parents, staged_parents, "pk",
+                                                          **kw).collect()))
+    by_action = found(None, kept=F.col("merge_action") == KEPT)
+    assert by_action == found(landed) and len(by_action) == 4
