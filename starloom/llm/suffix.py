@@ -12,11 +12,12 @@ else. Strings are judged on the input.
 2. Sort. Where runs of one anchor differ, their bytes are sorted: a shard's
    suffixes by induced sorting. The types of all suffixes are found, the
    leftmost S suffixes are ranked, and the order of all others is induced from
-   them bucket by bucket through first-in-first-out queues. A shard is sorted in
-   memory: its text, types and fingerprints are held whole, and its queues of
-   positions go to disk only beyond ``queue_bytes``, which shards of
-   ``shard_bytes`` do not reach. Windows that share their first ``length`` bytes
-   stand side by side in the sorted order.
+   them bucket by bucket through first-in-first-out queues. A task sorts its
+   shards in memory, whole shards of about ``sort_bytes`` at a time: their text,
+   types and fingerprints are held whole, and their queues of positions go to
+   disk only beyond ``queue_bytes``, which shards of that size do not reach.
+   Windows that share their first ``length`` bytes stand side by side in the
+   sorted order.
 3. Shards hold whole anchors. An anchor with very many different runs is split
    over shards, and its windows meet again by a fingerprint count.
 """
@@ -31,6 +32,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,13 +46,15 @@ _POS = np.uint64((1 << 31) - 1)  # a Spark string is shorter than this
 class Repeats:
     """``length``: shortest repeated string. ``gram``: bytes of an anchor.
     ``split``: different runs of an anchor that stay in one shard.
-    ``shard_bytes``: bytes of runs a shard is meant to hold.
+    ``shard_bytes``: bytes of runs a task is meant to hold. ``sort_bytes``: bytes
+    of whole shards that are sorted at a time.
     ``queue_bytes``: memory of a shard's queues before they go to disk."""
 
     length: int = 200
     gram: int = 32
     split: int = 64
     shard_bytes: int = 2 << 20
+    sort_bytes: int = 1 << 18
     queue_bytes: int = 64 << 20
 
 
@@ -237,72 +241,95 @@ def sorted_buckets(t: np.ndarray, symbols: int, depth: int, folder: str, budget:
             yield np.concatenate([*large, *(x[::-1] for x in reversed(small))])
 
 
+def whole_shards(batches, limit: int) -> Iterator[list[pa.RecordBatch]]:
+    """Rows that come by shard, in groups of whole shards: a group ends with the
+    shard that brings it to ``limit`` bytes or more."""
+    held, size, last = [], 0, None
+    for batch in batches:
+        shard = batch.column(batch.schema.get_field_index("shard")).to_numpy()
+        n_bytes = pc.binary_length(batch.column(batch.schema.get_field_index("bytes"))).to_numpy()
+        cum = np.concatenate(([0], np.cumsum(n_bytes, dtype=np.int64)))
+        new = np.flatnonzero(np.concatenate(([True], shard[1:] != shard[:-1]))) if len(shard) else []
+        lo = 0
+        for a, b in zip(new, [*new[1:], len(shard)], strict=True):
+            if size >= limit and shard[a] != last:
+                yield [*held, batch.slice(lo, a - lo)]
+                held, size, lo = [], 0, a
+            size, last = size + cum[b] - cum[a], shard[a]
+        held.append(batch.slice(lo))
+    if size:
+        yield held
+
+
 def _sort_shard(p: Repeats):
     """Per shard: the repeated windows of its runs, as spans. Where several shards
     share an anchor, every class of equal windows is also named by its fingerprint:
-    a lone window with its place and 1, a larger class without and with 2."""
-    names = ["row", "first", "end", "mark", "weight"]
-
+    a lone window with its place and 1, a larger class without and with 2. Rows come
+    by shard."""
     def go(batches):
         with tempfile.TemporaryDirectory() as folder:
-            path, meta = os.path.join(folder, "text"), []
-            with open(path, "wb") as f:
-                for batch in batches:
-                    raw = batch.column(batch.schema.get_field_index("bytes"))
-                    for x in raw:
-                        f.write(x.as_buffer())
-                        f.write(b"\0")
-                    size = np.array([len(x.as_buffer()) for x in raw], np.int64)
-                    cols = batch.select(["row", "first", "weight", "shared"]).to_pandas()
-                    meta.append(np.column_stack((cols.to_numpy(np.int64), size)))
-            if not meta:
-                return
-            row, first, weight, shared, size = np.concatenate(meta).T
-            data = np.fromfile(path, np.uint8)
-            start = np.cumsum(size + 1) - size - 1
-            t = data.astype(np.uint16) + 1
-            t[start + size] = 0  # a run's end, smaller than any byte
-            n_windows = size - p.length + 1
-            at = ranges(start, n_windows).astype(_places(len(t)))
-            run_of = np.full(len(t), -1, np.int32)
-            run_of[at] = np.repeat(np.arange(len(row), dtype=np.int32), n_windows)
-            fp, pre = np.zeros(len(t), np.uint64), prefix_hash(data)
-            for lo in range(0, len(at), _SEND):
-                x = at[lo:lo + _SEND]
-                fp[x] = mix64(span_hash(pre, x, x + p.length))
-            del at, pre, data
-            dup = np.zeros(len(t) + 1, bool)
-            classes = []
-            for bucket in sorted_buckets(t, 257, p.length, folder, p.queue_bytes):
-                x = bucket[run_of[bucket] >= 0]
-                if not len(x):
-                    continue
-                f = fp[x]
-                edge = np.flatnonzero(np.concatenate(([True], f[1:] != f[:-1])))
-                total = np.add.reduceat(weight[run_of[x]], edge)
-                dup[x[np.repeat(total >= 2, np.diff(np.append(edge, len(x))))]] = True
-                split = np.maximum.reduceat(shared[run_of[x]], edge) > 0
-                classes.append((x[edge[split]], np.minimum(total[split], 2)))
-            dup[start + n_windows] = False  # a span ends with its run
-            flips = np.flatnonzero(dup != np.concatenate(([False], dup[:-1])))
-            a, b = flips[::2], flips[1::2]
-            r = run_of[a]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(row[r]), pa.array(a - start[r] + first[r]), pa.array(b - start[r] + first[r]),
-                 pa.nulls(len(r), pa.int64()), pa.nulls(len(r), pa.int64())], names=names)
-            x = np.concatenate([c for c, _ in classes]) if classes else np.zeros(0, np.int64)
-            if len(x):
-                w, r = np.concatenate([c for _, c in classes]), run_of[x]
-                lone, place = np.where(w > 1, -1, row[r]), x - start[r] + first[r]
-                for i in range(0, len(x), _SEND):
-                    k = slice(i, i + _SEND)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(lone[k]), pa.array(place[k]), pa.array(place[k] + 1),
-                         pa.array(fp[x[k]].view(np.int64)), pa.array(w[k])], names=names)
-        give_back()
+            for group in whole_shards(batches, p.sort_bytes):
+                yield from _sort_group(p, group, folder)
+                give_back()
     return go
 
 
+def _sort_group(p: Repeats, group: list[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
+    names = ["row", "first", "end", "mark", "weight"]
+    path, meta = os.path.join(folder, "text"), []
+    with open(path, "wb") as f:
+        for batch in group:
+            raw = batch.column(batch.schema.get_field_index("bytes"))
+            for x in raw:
+                f.write(x.as_buffer())
+                f.write(b"\0")
+            size = np.array([len(x.as_buffer()) for x in raw], np.int64)
+            cols = batch.select(["row", "first", "weight", "shared"]).to_pandas()
+            meta.append(np.column_stack((cols.to_numpy(np.int64), size)))
+    row, first, weight, shared, size = np.concatenate(meta).T
+    data = np.fromfile(path, np.uint8)
+    start = np.cumsum(size + 1) - size - 1
+    t = data.astype(np.uint16) + 1
+    t[start + size] = 0  # a run's end, smaller than any byte
+    n_windows = size - p.length + 1
+    at = ranges(start, n_windows).astype(_places(len(t)))
+    run_of = np.full(len(t), -1, np.int32)
+    run_of[at] = np.repeat(np.arange(len(row), dtype=np.int32), n_windows)
+    fp, pre = np.zeros(len(t), np.uint64), prefix_hash(data)
+    for lo in range(0, len(at), _SEND):
+        x = at[lo:lo + _SEND]
+        fp[x] = mix64(span_hash(pre, x, x + p.length))
+    del at, pre, data
+    dup = np.zeros(len(t) + 1, bool)
+    classes = []
+    for bucket in sorted_buckets(t, 257, p.length, folder, p.queue_bytes):
+        x = bucket[run_of[bucket] >= 0]
+        if not len(x):
+            continue
+        f = fp[x]
+        edge = np.flatnonzero(np.concatenate(([True], f[1:] != f[:-1])))
+        total = np.add.reduceat(weight[run_of[x]], edge)
+        dup[x[np.repeat(total >= 2, np.diff(np.append(edge, len(x))))]] = True
+        split = np.maximum.reduceat(shared[run_of[x]], edge) > 0
+        classes.append((x[edge[split]], np.minimum(total[split], 2)))
+    dup[start + n_windows] = False  # a span ends with its run
+    flips = np.flatnonzero(dup != np.concatenate(([False], dup[:-1])))
+    a, b = flips[::2], flips[1::2]
+    r = run_of[a]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(row[r]), pa.array(a - start[r] + first[r]), pa.array(b - start[r] + first[r]),
+         pa.nulls(len(r), pa.int64()), pa.nulls(len(r), pa.int64())], names=names)
+    x = np.concatenate([c for c, _ in classes]) if classes else np.zeros(0, np.int64)
+    if len(x):
+        w, r = np.concatenate([c for _, c in classes]), run_of[x]
+        lone, place = np.where(w > 1, -1, row[r]), x - start[r] + first[r]
+        for i in range(0, len(x), _SEND):
+            k = slice(i, i + _SEND)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(lone[k]), pa.array(place[k]), pa.array(place[k] + 1),
+                 pa.array(fp[x[k]].view(np.int64)), pa.array(w[k])], names=names)
+
+
 #: Classes of a batch that a shard sends.
 _SEND = 50_000
 
@@ -375,7 +402,7 @@ def repeated_runs(src: DataFrame, p: Repeats) -> DataFrame:
         "runs", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["first"] + p.length))).first()[0] or 0
     pieces = src.join(by_row, "row").mapInArrow(
         _cut(p), "row long, first long, weight long, shared long, shard long, bytes binary")
-    shards = pieces.repartition(max(1, -(-size // p.shard_bytes)), "shard")
+    shards = pieces.repartition(max(1, -(-size // p.shard_bytes)), "shard").sortWithinPartitions("shard")
     found = materialize(shards.mapInArrow(_sort_shard(p), "row long, first long, end long, mark long, weight long"),
                         "suffix-found")
     met = meeting_windows(found.filter("mark is not null"))

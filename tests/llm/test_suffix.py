@@ -62,3 +62,27 @@ def test_induced_order_is_the_suffix_order(symbols, budget):
         buckets = list(sorted_buckets(t, 4, 400, folder, budget))
     order = [int(i) for b in reversed(buckets) for i in b]
     assert order == sorted(range(len(t)), key=lambda i: tuple(t[i:]))
+
+
+def test_a_task_sorts_whole_shards_a_few_bytes_at_a_time(spark):
+    import pyarrow as pa
+    from starloom.llm.suffix import Repeats, repeated_runs, whole_shards
+    shard = [1, 1, 1, 2, 3, 3, 3, 3, 4, 5, 6, 6]
+    rows = pa.table({"shard": pa.array(shard, pa.int64()), "bytes": [b"x" * 10] * len(shard), "n": range(len(shard))})
+    for size in (1, 5, 100):
+        batches = rows.to_batches(max_chunksize=size)
+        for limit in (1, 25, 10_000):
+            groups = [[x for b in g for x in b.to_pydict()["n"]] for g in whole_shards(batches, limit)]
+            assert [n for g in groups for n in g] == list(range(len(shard)))
+            of = [{shard[n] for n in g} for g in groups]
+            assert sum(map(len, of)) == 6  # none is cut
+            assert all(10 * len(g) < limit + 10 * 4 for g in groups)  # the limit and a shard at most
+    assert list(whole_shards([], 5)) == []
+    text = "".join(chr(97 + i * i % 23) for i in range(300))
+    docs = spark.createDataFrame([(k, text[:120 + k] + str(k) + text[100:]) for k in range(40)], "row long, text string")
+
+    def spans(**kw):
+        found = repeated_runs(docs, Repeats(length=50, gram=8, **kw)).collect()
+        return {r["row"]: sorted({i for a, b in r["spans"] for i in range(a, b)}) for r in found}
+    want = spans(sort_bytes=1 << 30)
+    assert want and spans(sort_bytes=1) == want and spans(sort_bytes=1, split=2) == want
