@@ -129,14 +129,19 @@ class BucketQueue:
             self.parts[bucket].append(x)
 
     def pop(self, bucket: int) -> np.ndarray | None:
-        if not self.parts[bucket]:
+        """The oldest file of a queue, or all arrays before its first file."""
+        parts = self.parts[bucket]
+        if not parts:
             return None
-        x = self.parts[bucket].pop(0)
-        if isinstance(x, str):
-            path, x = x, np.fromfile(x, self.kind)
+        if isinstance(path := parts[0], str):
+            del parts[0]
+            x = np.fromfile(path, self.kind)
             os.unlink(path)
-        else:
-            self.held -= x.nbytes
+            return x
+        n = next((k for k, x in enumerate(parts) if isinstance(x, str)), len(parts))
+        x = np.concatenate(parts[:n]) if n > 1 else parts[0]
+        del parts[:n]
+        self.held -= x.nbytes
         return x
 
     def push_by(self, symbol: np.ndarray, x: np.ndarray) -> None:

@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from starloom.llm.suffix import Repeats, cut_repeats, repeat_digest, sorted_buckets
+from starloom.llm.suffix import BucketQueue, Repeats, cut_repeats, repeat_digest, sorted_buckets
 
 
 def _texts(edge_texts):
@@ -64,6 +64,30 @@ def test_induced_order_is_the_suffix_order(symbols, budget):
     assert order == sorted(range(len(t)), key=lambda i: tuple(t[i:]))
 
 
+def test_queued_arrays_are_dealt_together(tmp_path, monkeypatch):
+    q = BucketQueue(str(tmp_path), 2, 40)
+    for a in range(0, 12, 2):  # two arrays fit beside each other, the others go to files
+        q.push(0, np.array([a, a + 1]))
+    q.push(1, np.array([99]))
+    assert q.pop(0).tolist() == [0, 1, 2, 3]
+    q.push(0, np.array([12]))
+    q.push(0, np.array([13]))
+    got = []
+    while (x := q.pop(0)) is not None:
+        got.append(x.tolist())
+    assert got == [[4, 5], [6, 7], [8, 9], [10, 11], [12, 13]]
+    assert q.pop(1).tolist() == [99] and q.pop(1) is None and q.held == 0
+    assert not list(tmp_path.iterdir())
+
+    # The steps of a bucket are its generations, not the arrays that other buckets sent.
+    deals, deal = [], BucketQueue.push_by
+    monkeypatch.setattr(BucketQueue, "push_by", lambda self, s, x: (deals.append(len(x)), deal(self, s, x)))
+    rng = np.random.default_rng(3)
+    t = np.append(rng.integers(1, 41, 20_000), 0).astype(np.uint16)
+    assert sum(map(len, sorted_buckets(t, 41, 200, str(tmp_path), 1 << 20))) == len(t)
+    assert len(deals) < 41 * 16
+
+
 def test_a_task_sorts_whole_shards_a_few_bytes_at_a_time(spark):
     import pyarrow as pa
     from starloom.llm.suffix import Repeats, repeated_runs, whole_shards
