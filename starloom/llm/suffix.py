@@ -8,7 +8,9 @@ else. Strings are judged on the input.
    pick the same one, so a document becomes a short list of (anchor, run of
    windows). Equal windows have equal anchors: runs whose anchor occurs once in
    the corpus hold no repeated window. A run whose bytes equal another run's
-   with this anchor is repeated as a whole, and counting settles that.
+   with this anchor is repeated as a whole, and counting settles that: first
+   among the runs of a chunk of documents, which sends on one of several equal
+   runs, then among chunks. A text of short periods has a run for each of them.
 2. Sort. Where runs of one anchor differ, their bytes are sorted: a shard's
    suffixes by induced sorting. The types of all suffixes are found, the
    leftmost S suffixes are ranked, and the order of all others is induced from
@@ -95,15 +97,39 @@ def anchor_runs(data: np.ndarray, offs: np.ndarray, p: Repeats):
     return doc, first - offs[doc], end - offs[doc], gram[pick[first]], run
 
 
+def settle(doc: np.ndarray, first: np.ndarray, end: np.ndarray, anchor: np.ndarray, run: np.ndarray):
+    """What the runs of a chunk tell each other: the first of each set of equal
+    runs, how many it stands for (1, or 2 for more), and (document, first, end) of
+    the windows of all runs that have an equal one, runs side by side as one span."""
+    order = np.lexsort((run, anchor))
+    a, r = anchor[order], run[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (a[1:] != a[:-1]) | (r[1:] != r[:-1])
+    n = np.diff(np.append(np.flatnonzero(new), len(order)))
+    at = np.sort(order[np.repeat(n > 1, n)])
+    opens = np.ones(len(at), bool)
+    opens[1:] = (doc[at[1:]] != doc[at[:-1]]) | (first[at[1:]] != end[at[:-1]])
+    closes = np.append(opens[1:], True)[:len(at)]
+    return order[new], np.minimum(n, 2), (doc[at[opens]], first[at[opens]], end[at[closes]])
+
+
 def _runs(p: Repeats):
+    """Runs to be counted, one of equal ones of a chunk; and, without an anchor,
+    the spans of windows that the chunk has found repeated."""
     def go(batches):
         for batch in batches:
             for lo, hi, data, offs in text_chunks(batch, "text"):
                 doc, first, end, anchor, run = anchor_runs(data, offs, p)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo).take(pa.array(doc)), pa.array(first, pa.int32()),
-                     pa.array(end, pa.int32()), pa.array(anchor.view(np.int64)), pa.array(run.view(np.int64))],
-                    names=["row", "first", "end", "anchor", "run"])
+                some, n, settled = settle(doc, first, end, anchor, run)
+                rows = batch.column(0).slice(lo, hi - lo)
+                blank = pa.nulls(len(settled[0]), pa.int64())
+                for (d, a, b), rest in (
+                        ((doc[some], first[some], end[some]),
+                         [pa.array(anchor[some].view(np.int64)), pa.array(run[some].view(np.int64)), pa.array(n, pa.int32())]),
+                        (settled, [blank, blank, blank.cast(pa.int32())])):
+                    yield pa.RecordBatch.from_arrays(
+                        [rows.take(pa.array(d)), pa.array(a, pa.int32()), pa.array(b, pa.int32()), *rest],
+                        names=["row", "first", "end", "anchor", "run", "n"])
     return go
 
 
@@ -383,16 +409,21 @@ def repeated_runs(src: DataFrame, p: Repeats) -> DataFrame:
     """(row, spans) of the rows of ``src`` (row, text) with repeated windows;
     a span [first, end) of window starts covers bytes first .. end + length - 2."""
     runs = materialize(bound_batches(src).filter(F.octet_length("text") >= p.length).mapInArrow(
-        _runs(p), "row long, first int, end int, anchor long, run long"), "suffix-runs")
-    seen = materialize(runs.groupBy("anchor").agg(
-        F.count("*").alias("n"), F.min("run").alias("u"), F.max("run").alias("v")).filter("n > 1")
+        _runs(p), "row long, first int, end int, anchor long, run long, n int"), "suffix-runs")
+    settled = runs.filter("anchor is null").select("row", "first", "end")
+    counted = runs.filter("anchor is not null")
+    # Equal runs of an anchor are done with where every chunk that has them has settled them.
+    seen = materialize(counted.groupBy("anchor").agg(
+        F.sum("n").alias("n"), F.min("n").alias("least"), F.min("run").alias("u"), F.max("run").alias("v"))
+        .filter("u <> v or n > 1 and least = 1")
         .select("anchor", (F.col("u") == F.col("v")).alias("same")), "suffix-anchors")
-    again = materialize(runs.join(seen, "anchor"), "suffix-candidates")
+    again = materialize(counted.join(seen, "anchor"), "suffix-candidates")
     mixed = again.filter("not same")
     kinds = materialize(mixed.groupBy("anchor", "run").agg(
-        F.count("*").alias("n"), F.min(F.struct("row", "first", "end")).alias("at")), "suffix-kinds")
-    whole = again.filter("same").select("row", "first", "end").unionByName(
-        mixed.join(kinds.filter("n > 1").select("anchor", "run"), ["anchor", "run"]).select("row", "first", "end"))
+        F.sum("n").alias("n"), F.min(F.struct("row", "first", "end")).alias("at")), "suffix-kinds")
+    repeated = kinds.filter("n > 1").select("anchor", "run")
+    whole = settled.unionByName(again.filter("same and n = 1").select("row", "first", "end")).unionByName(
+        mixed.filter("n = 1").join(repeated, ["anchor", "run"]).select("row", "first", "end"))
     # Anchors with a run that no other run equals: its windows need the sort.
     open_ = materialize(kinds.groupBy("anchor").agg(
         F.count("*").alias("kinds"), F.min("n").alias("least")).filter("least = 1")

@@ -110,3 +110,28 @@ def test_a_task_sorts_whole_shards_a_few_bytes_at_a_time(spark):
         return {r["row"]: sorted({i for a, b in r["spans"] for i in range(a, b)}) for r in found}
     want = spans(sort_bytes=1 << 30)
     assert want and spans(sort_bytes=1) == want and spans(sort_bytes=1, split=2) == want
+
+
+def test_equal_runs_of_a_chunk_are_counted_as_one(spark, monkeypatch):
+    from starloom.llm import suffix
+    rng = random.Random(4)
+
+    def noise(n):
+        return "".join(rng.choice("stuvwxyz ") for _ in range(n))
+    passage = "".join(rng.choice("abcdefgh") for _ in range(600))
+    texts = [noise(rng.randrange(260)) + "Is onhe. " * 100 + noise(rng.randrange(260)) for _ in range(60)]
+    texts += [noise(90) + passage + noise(90) for _ in range(60)]
+    texts += [noise(400), passage[:350], "x" * 500, "", None]
+    rng.shuffle(texts)
+    raws = [(t or "").encode() for t in texts]
+    want = {i: (len(r), sum(b - a for a, b in s), len(s), brute.sha(brute.cut(r, s)))
+            for i, r, s in zip(range(len(raws)), raws, brute.repeated_spans(raws, 200), strict=True)}
+    stored, store = {}, suffix.materialize
+    monkeypatch.setattr(suffix, "materialize", lambda df, name: stored.setdefault(name, store(df, name)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for parts in (1, 4, 40):
+        stored.clear()
+        got = repeat_digest(docs.repartition(parts, "doc_id").sortWithinPartitions("doc_id")).collect()
+        assert {r["doc_id"]: tuple(r)[1:] for r in got} == want
+        # A run of each period of each text would be over 4,000 rows.
+        assert stored["suffix-candidates"].count() < 400 + 40 * parts
